@@ -12,19 +12,23 @@ from .text import unquote
 # First and last moment of a nanosecond timestamp; anything outside is no date.
 _FIRST, _LAST = "1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775"
 
-DAY_MICROS = 86_400_000_000
-
 
 def ntz(value: dt.datetime | str) -> Column:
     """Literal timestamp without zone, whatever the session time zone."""
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def timestamp_of(bare: Column) -> Column:
+    """ISO date or timestamp of an unquoted text, NULL for anything else (years and times alone too)."""
+    return F.when(F.substring(bare, 5, 1) == "-", bare.try_cast("timestamp_ntz"))
+
+
+def in_range(moment: Column) -> Column:
+    return F.when(moment.between(ntz(_FIRST), ntz(_LAST)), moment)
+
+
 def clean_timestamp(text: Column) -> Column:
-    """ISO date or timestamp of a text, NULL for anything else."""
-    bare = unquote(text)
-    value = F.when((F.length(bare) >= 8) & (F.substring(bare, 5, 1) == "-"), bare.try_cast("timestamp_ntz"))
-    return F.when(value.between(ntz(_FIRST), ntz(_LAST)), value)
+    return in_range(timestamp_of(unquote(text)))
 
 
 def clean_date(text: Column) -> Column:
@@ -35,10 +39,14 @@ def clean_date_with_sentinel(text: Column, sentinel: dt.date = TERMINATION_SENTI
     return F.coalesce(clean_date(text), F.lit(sentinel))
 
 
+def active_at(end: Column, sentinel: dt.date = TERMINATION_SENTINEL) -> Column:
+    """1 when the end is missing or is the sentinel itself, else 0."""
+    never = ntz(f"{sentinel} 00:00:00")
+    return (F.coalesce(end, never) == never).cast("int")
+
+
 def is_active_flag(text: Column, sentinel: dt.date = TERMINATION_SENTINEL) -> Column:
-    """1 when the end date is missing or is the sentinel itself, else 0."""
-    end = F.coalesce(clean_timestamp(text), ntz(f"{sentinel} 00:00:00"))
-    return (end == ntz(f"{sentinel} 00:00:00")).cast("int")
+    return active_at(clean_timestamp(text), sentinel)
 
 
 def calendar_parts(date: Column) -> dict[str, Column]:
@@ -51,21 +59,28 @@ def calendar_parts(date: Column) -> dict[str, Column]:
     }
 
 
-def micros_of_day(moment: Column) -> Column:
-    """Microseconds since midnight of a timestamp without zone."""
-    minutes = F.hour(moment) * 60 + F.minute(moment)
-    seconds = F.extract(F.lit("SECOND"), moment)
-    return minutes.cast("long") * 60_000_000 + (seconds * 1_000_000).cast("long")
+def _midnight(moment: Column) -> Column:
+    return moment.cast("date").cast("timestamp_ntz")
+
+
+def time_of_day(moment: Column) -> Column:
+    """Time since midnight of a timestamp without zone, as an interval, exact to the microsecond."""
+    return moment - _midnight(moment)
+
+
+def clock_time(clock: Column) -> Column:
+    """Time since midnight of a text such as ``09:00:00``."""
+    return time_of_day(F.concat(F.lit("1970-01-01 "), clock).try_cast("timestamp_ntz"))
 
 
-def clock_micros(clock: Column) -> Column:
-    """Microseconds since midnight of a text such as ``09:00:00``."""
-    return micros_of_day(F.concat(F.lit("1970-01-01 "), clock).try_cast("timestamp_ntz"))
+def minutes(n: int) -> Column:
+    return F.make_dt_interval(mins=F.lit(n))
 
 
-def shift_clock(micros: Column, minutes: int) -> Column:
+def shift_clock(time: Column, by_minutes: int) -> Column:
     """Move a time of day, wrapping at midnight."""
-    return F.pmod(micros + F.lit(minutes * 60_000_000), F.lit(DAY_MICROS))
+    moved, day, zero = time + minutes(by_minutes), F.make_dt_interval(days=F.lit(1)), minutes(0)
+    return F.when(moved >= day, moved - day).when(moved < zero, moved + day).otherwise(moved)
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import clean_string
+from .text import unquote
 
 # Plain decimal notation; Spark alone would also take suffixes such as "1d".
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -14,9 +14,19 @@ def parse_number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def number_of(bare: Column, default: float = 0.0) -> Column:
+    """Number in an unquoted text, defaulted. No placeholder has the form of a number."""
+    return F.coalesce(parse_number(bare), F.lit(float(default)))
+
+
 def clean_numeric(text: Column, default: float = 0.0) -> Column:
-    return F.coalesce(parse_number(clean_string(text)), F.lit(float(default)))
+    return number_of(unquote(text), default)
 
 
 def without_nan(number: Column) -> Column:
     return F.when(~F.isnan(number), number)
+
+
+def round_half_away(number: Column, digits: int = 0) -> Column:
+    """Round the magnitude, half up, and keep the sign, also of a negative that becomes zero."""
+    return F.signum(number) * F.round(F.abs(number), digits)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 # Characters that count as blank at either end of a text.
 BLANKS = (
@@ -56,69 +56,84 @@ OTHER, NO_COMMENT = "OTHER", "NA"
 
 
 def unquote(text: Column) -> Column:
-    """Strip outer blanks, then outer double quotes, then outer single quotes."""
-    return F.btrim(F.btrim(F.btrim(text, F.lit(BLANKS)), F.lit('"')), F.lit("'"))
+    """Strip outer blanks, then outer double quotes, then outer single quotes.
 
+    A missing text becomes empty, which means the same to all that follows. Without NULLs
+    the generated code of the cleaning steps stays small enough for the JIT compiler.
+    """
+    return F.btrim(F.btrim(F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS)), F.lit('"')), F.lit("'"))
 
-def clean_string(text: Column, default: str | None = None) -> Column:
+
+def value_of(bare: Column, default: str | None = None) -> Column:
     """Unquoted text with placeholders nulled, then defaulted."""
-    bare = unquote(text)
     value = F.when(~bare.isin(*NULL_PLACEHOLDERS), bare)
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
-def _contains_any(text: Column, words: tuple[str, ...]) -> Column:
-    # A word that contains another word of the same list adds nothing to the test.
-    needed = [w for w in words if not any(o != w and o in w for o in words)]
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in needed])
+def clean_string(text: Column, default: str | None = None) -> Column:
+    return value_of(unquote(text), default)
 
 
-def normalize_comment(text: Column) -> Column:
-    return F.upper(unquote(text))
+# Parts shared by all deciding keywords of a category: without one, its pattern is not tried.
+_SHARED_PARTS = {
+    "MISSED PUNCH": ["PUNCH", "CHAIN"],
+    "MEAL ISSUE": ["MEAL"],
+    "SHORT SHIFT": ["SHIFT"],
+    "CANCELLED DEDUCTION": ["DEDUCT"],
+}
 
 
-def category_of(normalized: Column) -> Column:
-    """Category of an already normalized comment."""
-    result = F.when(normalized.isNull() | normalized.isin(*COMMENT_PLACEHOLDERS), NO_COMMENT)
+def _contains_any(text: Column, words: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+
+
+def _mentions(text: Column, category: str, words: list[str]) -> Column:
+    """Whether a keyword occurs. Long lists are one pattern, as a test per word would make the
+    generated code of two comment columns too large for the JIT compiler."""
+    if len(words) <= 4:
+        return _contains_any(text, words)
+    pattern = text.rlike("|".join(words))
+    parts = _SHARED_PARTS.get(category)
+    return _contains_any(text, parts) & pattern if parts else pattern
+
+
+def _deciding_words() -> dict[str, list[str]]:
+    """Keywords that can decide: a word around another word of its own or an earlier category cannot."""
+    earlier: list[str] = []
+    deciding = {}
     for category, words in COMMENT_KEYWORDS.items():
-        result = result.when(_contains_any(normalized, words), category)
+        deciding[category] = [w for w in words if not any(o != w and o in w for o in (*earlier, *words))]
+        earlier += words
+    return deciding
+
+
+def category_of(normalized: Column) -> Column:
+    """Category of an unquoted comment in upper case."""
+    result = F.when(normalized.isin(*COMMENT_PLACEHOLDERS), NO_COMMENT)
+    for category, words in _deciding_words().items():
+        result = result.when(_mentions(normalized, category, words), category)
     missed, meal = F.contains(normalized, F.lit("MISSED")), F.contains(normalized, F.lit("MEAL"))
-    # A text with a separator needs no splitting: a keyword of a part is a keyword of the
-    # whole, so beyond this point a part can only hold MISSED or MEAL, never both.
-    listed = F.contains(normalized, F.lit("|"))
+    # Lists ("a|b") need no splitting: a keyword of a part is a keyword of the whole, so here
+    # a part can only hold MISSED or MEAL, and a list with both is a meal issue already.
     return (
-        result.when(missed & _contains_any(normalized, ("PUNCH", "IN", "OUT")), "MISSED PUNCH")
-        .when(meal & _contains_any(normalized, ("NOT", "TAKEN", "SKIP", "MISSED")), "MEAL ISSUE")
-        .when(listed & missed, "MISSED PUNCH")
-        .when(listed & meal, "MEAL ISSUE")
+        result.when(missed & _contains_any(normalized, ["PUNCH", "IN", "OUT"]), "MISSED PUNCH")
+        .when(meal & _contains_any(normalized, ["TAKEN", "SKIP", "MISSED", "|"]), "MEAL ISSUE")
+        .when(missed & F.contains(normalized, F.lit("|")), "MISSED PUNCH")
         .otherwise(OTHER)
     )
 
 
 def categorize_comment(text: Column) -> Column:
-    return category_of(normalize_comment(text))
+    return category_of(F.upper(unquote(text)))
 
 
 def recategorize_comment(category: Column) -> Column:
-    """``categorize_comment`` of a column that mostly holds categories already.
+    """``categorize_comment`` of a column that holds categories (or nothing) already.
 
-    Categories map to themselves, except OTHER, which contains the keyword OT; only
-    other texts go through the keyword tests.
+    Categories map to themselves, except OTHER, which contains the keyword OT.
     """
-    fixed = (*COMMENT_KEYWORDS, NO_COMMENT)
     return (
-        F.when(category.isin(*fixed), category)
+        F.when(category.isNull() | (category == ""), NO_COMMENT)
         .when(category == OTHER, "UNSCHEDULED")
-        .otherwise(categorize_comment(category))
+        .otherwise(category)
     )
-
-
-def with_categories(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace comment columns by their categories.
-
-    The normalized text gets a projection of its own, so that it is computed once a
-    row and not once for every keyword.
-    """
-    present = [c for c in columns if c in df.columns]
-    normalized = df.withColumns({c: normalize_comment(F.col(c)) for c in present})
-    return normalized.withColumns({c: category_of(F.col(c)) for c in present})

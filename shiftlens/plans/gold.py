@@ -77,7 +77,8 @@ def fact_timesheet(
     """Timesheets with the keys of their employee.
 
     The inner join also drops timesheets of unknown employees, so unfiltered clean
-    timesheets give the same result as staged ones.
+    timesheets give the same result as staged ones. Their comments are categories, which
+    ``recategorize`` passes through the keywords once more.
     """
     keys = employees.select("employee_id", "employee_key", "department_key")
     joined = sized_join(timesheets, keys, "employee_id", limits=limits).withColumns(

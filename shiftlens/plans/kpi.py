@@ -11,7 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULT_LIMITS, GRACE_MINUTES, TERMINATION_SENTINEL, Limits
-from ..functions.dates import clock_micros, days_between, micros_of_day, shift_clock
+from ..functions.dates import clock_time, days_between, minutes, shift_clock, time_of_day
+from ..functions.numbers import round_half_away
 from ..operators.joins import sized_join
 from ..operators.ordering import COPIES, PART, POSITION, count_copies, globally_ordered, repeat_rows
 from ..operators.sizing import hot_keys, is_one_of
@@ -91,7 +92,7 @@ def avg_tenure(dim_employee: DataFrame, dim_department: DataFrame, sentinel: dt.
     return (
         per_key.join(dim_department.select("department_key", "department_id", "department_name"), "department_key")
         .groupBy("department_name", "department_id")
-        .agg(F.round(F.try_divide(F.sum("years").cast("double"), F.sum("n")), 0).alias("avg_tenure_years"))
+        .agg(round_half_away(F.try_divide(F.sum("years").cast("double"), F.sum("n"))).alias("avg_tenure_years"))
         .orderBy("department_id", "department_name")
     )
 
@@ -106,7 +107,7 @@ def avg_hours(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     hours = F.coalesce(F.col("hours_worked"), F.lit(0.0)).cast("decimal(18,4)")
     per_key = fact.groupBy("employee_key").agg(F.sum(hours).alias("hours"), F.count(F.lit(1)).alias("n"))
     mean = F.sum("hours").cast("double") / F.sum("n")
-    return _by_name(per_key, dim_employee).agg(F.round(mean, 0).alias("avg_daily_hours")).orderBy(F.desc("avg_daily_hours"))
+    return _by_name(per_key, dim_employee).agg(round_half_away(mean).alias("avg_daily_hours")).orderBy(F.desc("avg_daily_hours"))
 
 
 def _days_per_employee(rows: DataFrame, dim_employee: DataFrame, name: str) -> DataFrame:
@@ -116,21 +117,21 @@ def _days_per_employee(rows: DataFrame, dim_employee: DataFrame, name: str) -> D
 
 def late_arrivals(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """KPI 5: punches in more than the grace period after the scheduled start."""
-    limit = shift_clock(clock_micros(F.col("scheduled_start")), GRACE_MINUTES)
-    return _days_per_employee(fact.where(micros_of_day(F.col("punch_in")) > limit), dim_employee, "late_days")
+    limit = shift_clock(clock_time(F.col("scheduled_start")), GRACE_MINUTES)
+    return _days_per_employee(fact.where(time_of_day(F.col("punch_in")) > limit), dim_employee, "late_days")
 
 
 def early_departures(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """KPI 6: punches out more than the grace period before the scheduled end."""
-    limit = shift_clock(clock_micros(F.col("scheduled_end")), -GRACE_MINUTES)
-    return _days_per_employee(fact.where(micros_of_day(F.col("punch_out")) < limit), dim_employee, "early_departure_days")
+    limit = shift_clock(clock_time(F.col("scheduled_end")), -GRACE_MINUTES)
+    return _days_per_employee(fact.where(time_of_day(F.col("punch_out")) < limit), dim_employee, "early_departure_days")
 
 
 def overtime(fact: DataFrame) -> DataFrame:
     """KPI 7: shifts longer than scheduled plus grace. Times of day are compared, so overnight shifts are negative."""
-    worked = micros_of_day(F.col("punch_out")) - micros_of_day(F.col("punch_in"))
-    scheduled = clock_micros(F.col("scheduled_end")) - clock_micros(F.col("scheduled_start"))
-    longer = F.col("work_date").isNotNull() & (worked > scheduled + F.lit(GRACE_MINUTES * 60_000_000))
+    worked = time_of_day(F.col("punch_out")) - time_of_day(F.col("punch_in"))
+    scheduled = clock_time(F.col("scheduled_end")) - clock_time(F.col("scheduled_start"))
+    longer = F.col("work_date").isNotNull() & (worked > scheduled + minutes(GRACE_MINUTES))
     return (
         fact.where(longer)
         .groupBy("employee_key")
@@ -146,7 +147,7 @@ _FRAME_ROWS = 7
 def _rolling_mean(*partition: str, order: list[Column]) -> Column:
     frame = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1 - _FRAME_ROWS, Window.currentRow)
     hours = F.col("hours_worked").cast("decimal(18,4)")
-    return F.round(F.sum(hours).over(frame).cast("double") / F.count(hours).over(frame), 0)
+    return round_half_away(F.try_divide(F.sum(hours).over(frame).cast("double"), F.count(hours).over(frame)))
 
 
 def _rolling_of_hot(fact: DataFrame) -> DataFrame:

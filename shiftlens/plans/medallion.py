@@ -66,7 +66,7 @@ def load_bronze(
 def _unprocessed(warehouse: Warehouse, table: str, mark: dt.datetime) -> DataFrame:
     """Raw rows after the mark. Folders of earlier days are not even listed."""
     raw = warehouse.read(table, with_helpers=True)
-    return silver.rows_after(raw.where(F.col(t.LOAD_DATE) >= F.lit(mark.date())), mark).drop(t.LOAD_DATE)
+    return silver.rows_after(raw.where(F.col(t.LOAD_DATE) >= ntz(mark).cast("date")), mark).drop(t.LOAD_DATE)
 
 
 def _advance(warehouse: Warehouse, table_name: str, last: dt.datetime, now: dt.datetime) -> None:

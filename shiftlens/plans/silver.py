@@ -5,72 +5,99 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT_LIMITS, TERMINATION_SENTINEL, Limits
-from ..functions.dates import clean_date, clean_date_with_sentinel, clean_timestamp, is_active_flag, ntz
-from ..functions.numbers import clean_numeric
-from ..functions.text import clean_string, with_categories
+from ..functions.dates import active_at, in_range, ntz, timestamp_of
+from ..functions.numbers import number_of
+from ..functions.text import category_of, unquote, value_of
 from ..operators.joins import sized_join
 from ..operators.merge import upsert_by_key
 
 BEGINNING = dt.datetime(1, 1, 1)
 
 
+def _staged(raw: DataFrame, names: dict[str, str], bare: dict, parsed: dict, last: dict, order: tuple[str, ...]) -> DataFrame:
+    """Rename, unquote, parse and finish the columns that exist, then take them in order.
+
+    Each step is a projection of its own. One expression per column would repeat the step
+    before for each of its uses, and a row would cost several times as much.
+    """
+    df = raw.withColumnsRenamed(names)
+
+    def step(now: DataFrame, functions: dict) -> DataFrame:
+        return now.withColumns({c: f(F.col(c)) for c, f in functions.items() if c in now.columns})
+
+    for functions in ({c: unquote for c in bare}, parsed, last):
+        df = step(df, functions)
+    return df.select(*[c for c in order if c in df.columns])
+
+
+def _text(default: str | None = None):
+    return lambda bare: value_of(bare, default)
+
+
+_EMPLOYEE_TEXT = {
+    "employee_id": _text("UNKNOWN"), "first_name": _text(""), "last_name": _text(""), "job_title": _text("Unknown"),
+    "department_id": _text(), "department_name": _text("Unknown"), "source_file": _text(),
+}
+_EMPLOYEE_ORDER = (
+    "employee_id", "first_name", "last_name", "job_title", "department_id", "department_name",
+    "hire_date", "termination_date", "is_active", "source_file", "bronze_loaded_at",
+)
+
+
 def clean_employee(raw: DataFrame) -> DataFrame:
     """Clean raw employees; absent optional columns get their defaults."""
-    have = set(raw.columns)
-    end = next((c for c in ("term_date", "termination_date") if c in have), None)
-    columns: dict[str, Column] = {
-        "employee_id": clean_string(F.col("client_employee_id" if "client_employee_id" in have else "employee_id"), "UNKNOWN"),
-        "first_name": clean_string(F.col("first_name"), ""),
-        "last_name": clean_string(F.col("last_name"), ""),
-        "job_title": clean_string(F.col("job_title"), "Unknown"),
-    }
-    if "department_id" in have:
-        columns["department_id"] = clean_string(F.col("department_id"))
-    if "department_name" in have:
-        columns["department_name"] = clean_string(F.col("department_name"), "Unknown")
-    columns["hire_date"] = clean_date(F.col("hire_date")) if "hire_date" in have else F.lit(None).cast("date")
-    columns["termination_date"] = clean_date_with_sentinel(F.col(end)) if end else F.lit(TERMINATION_SENTINEL)
-    columns["is_active"] = is_active_flag(F.col(end)) if end else F.lit(1)
-    if "source_file" in have:
-        columns["source_file"] = clean_string(F.col("source_file"))
-    if "loaded_at" in have:
-        columns["bronze_loaded_at"] = F.col("loaded_at")
-    return raw.select(*[c.alias(name) for name, c in columns.items()])
+    absent = {c: F.lit(None).cast("string") for c in ("hire_date",) if c not in raw.columns}
+    if not {"term_date", "termination_date"} & set(raw.columns):
+        absent["term_date"] = F.lit(None).cast("string")
+    elif "term_date" in raw.columns:
+        raw = raw.drop("termination_date")
+    parsed = {**_EMPLOYEE_TEXT, "hire_date": timestamp_of, "termination_date": timestamp_of}
+    names = {"client_employee_id": "employee_id", "term_date": "termination_date", "loaded_at": "bronze_loaded_at"}
+    ends = _staged(
+        raw.withColumns(absent), names, parsed, parsed, {c: in_range for c in ("hire_date", "termination_date")}, _EMPLOYEE_ORDER
+    )
+    end = F.col("termination_date")
+    flagged = ends.withColumns({
+        "hire_date": F.col("hire_date").cast("date"),
+        "is_active": active_at(end),
+        "termination_date": F.coalesce(end.cast("date"), F.lit(TERMINATION_SENTINEL)),
+    })
+    return flagged.select(*[c for c in _EMPLOYEE_ORDER if c in flagged.columns])
+
+
+_TIMESHEET_NAMES = {
+    "client_employee_id": "employee_id", "punch_apply_date": "work_date", "punch_in_datetime": "punch_in",
+    "punch_out_datetime": "punch_out", "loaded_at": "bronze_loaded_at",
+}
+_TIMESHEET_ORDER = (
+    "employee_id", "work_date", "punch_in", "punch_out", "hours_worked", "pay_code",
+    "punch_in_comment", "punch_out_comment", "source_file", "bronze_loaded_at",
+)
 
 
 def clean_timesheet(raw: DataFrame) -> DataFrame:
     """Clean raw timesheets; absent optional columns get their defaults."""
-    named = raw.withColumnsRenamed({
-        "client_employee_id": "employee_id",
-        "punch_apply_date": "work_date",
-        "punch_in_datetime": "punch_in",
-        "punch_out_datetime": "punch_out",
-    })
-    have = set(named.columns)
-
-    def given(name: str, cleaned: Column, default) -> Column:
-        return (cleaned if name in have else default).alias(name)
-
-    no_date, no_time = F.lit(None).cast("date"), F.lit(None).cast("timestamp_ntz")
-    columns = [
-        clean_string(F.col("employee_id"), "UNKNOWN").alias("employee_id"),
-        given("work_date", clean_date(F.col("work_date")), no_date),
-        given("punch_in", clean_timestamp(F.col("punch_in")), no_time),
-        given("punch_out", clean_timestamp(F.col("punch_out")), no_time),
-        given("hours_worked", clean_numeric(F.col("hours_worked")), F.lit(0.0)),
-        clean_string(F.col("pay_code"), "").alias("pay_code"),
-        given("punch_in_comment", F.col("punch_in_comment"), F.lit("")),
-        given("punch_out_comment", F.col("punch_out_comment"), F.lit("")),
-    ]
-    if "source_file" in have:
-        columns.append(clean_string(F.col("source_file")).alias("source_file"))
-    if "loaded_at" in have:
-        columns.append(F.col("loaded_at").alias("bronze_loaded_at"))
-    comments = [c for c in ("punch_in_comment", "punch_out_comment") if c in have]
-    return with_categories(named.select(*columns), comments)
+    comments = [c for c in ("punch_in_comment", "punch_out_comment") if c in raw.columns]
+    parsed = {
+        "employee_id": _text("UNKNOWN"), "pay_code": _text(""), "source_file": _text(),
+        "work_date": timestamp_of, "punch_in": timestamp_of, "punch_out": timestamp_of,
+        "hours_worked": number_of, **{c: F.upper for c in comments},
+    }
+    last = {
+        "work_date": lambda d: in_range(d).cast("date"), "punch_in": in_range, "punch_out": in_range,
+        **{c: category_of for c in comments},
+    }
+    rows = _staged(raw, _TIMESHEET_NAMES, parsed, parsed, last, _TIMESHEET_ORDER)
+    no_time = F.lit(None).cast("timestamp_ntz")
+    defaults = {
+        "work_date": no_time.cast("date"), "punch_in": no_time, "punch_out": no_time,
+        "hours_worked": F.lit(0.0), "punch_in_comment": F.lit(""), "punch_out_comment": F.lit(""),
+    }
+    complete = rows.withColumns({c: v for c, v in defaults.items() if c not in rows.columns})
+    return complete.select(*[c for c in _TIMESHEET_ORDER if c in complete.columns])
 
 
 def _employee_ids(employees: DataFrame) -> DataFrame:
