@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources import paths
+
 _RAW_EMPLOYEE = {
     "client_employee_id": """CASE c_custkey % 3 WHEN 0 THEN '"' || CAST(c_custkey AS STRING) || '"'
         WHEN 1 THEN '  ' || CAST(c_custkey AS STRING) || ' ' ELSE CAST(c_custkey AS STRING) END""",
@@ -50,8 +52,20 @@ def _columns(expressions: dict[str, str]) -> list[str]:
     return [f"{e} AS {name}" for name, e in expressions.items()]
 
 
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def version(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Changes when the table is written again."""
+    return paths.last_change(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_employee(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def insert_employees(dim_employee: DataFrame, new: DataFrame) -> DataFrame:
             for c, t in fields.items()
         ]
     )
-    keyed = surrogate_keys(prepared, "employee_key", ["employee_id"], "new-employees", start=last)
+    keyed = surrogate_keys(prepared, "employee_key", ["employee_id"], "new-employees", last)
     return dim_employee.unionByName(keyed)
 
 

@@ -72,14 +72,17 @@ def repeat_rows(df: DataFrame, times: str, number: str, chunk: int = 100_000) ->
     return chunks.withColumn(number, F.explode(F.sequence("__from", last))).drop("__from", times)
 
 
-def surrogate_keys(df: DataFrame, key: str, order: list[str], label: str = "keys", start: int = 0) -> DataFrame:
+def surrogate_keys(
+    df: DataFrame, key: str, order: list[str], label: str = "keys", start: int = 0, distinct: bool = False
+) -> DataFrame:
     """Add a dense key ``start + 1 .. start + n`` in the given order as the first column.
 
     All other columns follow in the order, so a frequent value of the order columns still
     spreads over partitions; exact copies travel as one row and get their keys at the end.
+    ``distinct`` promises that there are no copies, which saves a shuffle.
     """
     full = [F.col(c) for c in [*order, *(c for c in df.columns if c not in order)]]
-    ordered = globally_ordered(count_copies(df), full, label)
+    ordered = globally_ordered(df if distinct else count_copies(df), full, label)
     rows, number = ordered.rows, F.col(POSITION)
     if ordered.has_copies:
         rows = repeat_rows(ordered.rows, COPIES, "__copy")

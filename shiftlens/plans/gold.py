@@ -29,9 +29,9 @@ def dim_department(stg_employee: DataFrame, as_of: dt.date, by_arrival: bool = F
     names = ["department_id", "department_name"]
     if by_arrival:
         found = stg_employee.groupBy(*names).agg(F.min("bronze_loaded_at").alias("__first"))
-        keyed = surrogate_keys(found, "department_key", ["__first", *names], "departments").drop("__first")
+        keyed = surrogate_keys(found, "department_key", ["__first", *names], "departments", distinct=True).drop("__first")
     else:
-        keyed = surrogate_keys(stg_employee.select(*names).distinct(), "department_key", names, "departments")
+        keyed = surrogate_keys(stg_employee.select(*names).distinct(), "department_key", names, "departments", distinct=True)
     return keyed.withColumns({"is_active": F.lit(1), **_validity(as_of)})
 
 

@@ -40,6 +40,12 @@ def first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
+def last_change(spark: SparkSession, path: str) -> str:
+    fs, p = _open(spark, path)
+    status = fs.getFileStatus(p)
+    return f"{status.getLen()}@{status.getModificationTime()}"
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)
