@@ -8,7 +8,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import ntz
 from . import paths
@@ -26,6 +26,12 @@ def discover(spark: SparkSession, root: str, prefix: str, suffix: str = ".csv",
     return [p for p in names if base_name(p).startswith(prefix) and p.endswith(suffix)]
 
 
+def source_name() -> Column:
+    """Name of the file a scanned row comes from, as the listing shows it."""
+    encoded = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def header_of(spark: SparkSession, path: str, sep: str = "|") -> tuple[str, ...]:
     """Column names of a file, without blanks and quotes."""
     line = paths.first_line(spark, path).lstrip("﻿")
@@ -58,9 +64,8 @@ def scan_delimited(
             .options(sep=sep, quote='"', escape='"', header=True, multiLine=multi_line)
             .csv(members)
         )
-        source = F.url_decode(F.replace(F.element_at(F.split("_metadata.file_path", "/"), -1), F.lit("+"), F.lit("%2B")))
         wanted = [(F.nullif(F.col(c), F.lit("")) if c in header else F.lit(None).cast("string")).alias(c) for c in columns]
-        return scan.select(*wanted, source.alias("source_file"), ntz(loaded_at).alias("loaded_at"))
+        return scan.select(*wanted, source_name().alias("source_file"), ntz(loaded_at).alias("loaded_at"))
 
     if not layouts:
         empty = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "source_file")])

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import ntz
 from ..plans.silver import clean_timesheet, keep_known, stamp
+from ..sources.files import source_name
 
 
 def file_stream(spark: SparkSession, data_dir: str, prefix: str, header: Sequence[str], loaded_at: dt.datetime | str, sep: str = "|") -> DataFrame:
@@ -25,7 +26,7 @@ def file_stream(spark: SparkSession, data_dir: str, prefix: str, header: Sequenc
         .csv(data_dir)
         .select(
             *[F.nullif(F.col(c), F.lit("")).alias(c) for c in header],
-            F.col("_metadata.file_name").alias("source_file"), ntz(loaded_at).alias("loaded_at"),
+            source_name().alias("source_file"), ntz(loaded_at).alias("loaded_at"),
         )
     )
 
