@@ -70,7 +70,7 @@ def time_of_day(moment: Column) -> Column:
 
 def clock_time(clock: Column) -> Column:
     """Time since midnight of a text such as ``09:00:00``."""
-    return time_of_day(F.concat(F.lit("1970-01-01 "), clock).try_cast("timestamp_ntz"))
+    return F.concat(F.lit("1970-01-01 "), clock).try_cast("timestamp_ntz") - ntz("1970-01-01 00:00:00")
 
 
 def minutes(n: int) -> Column:

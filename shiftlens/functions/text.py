@@ -55,13 +55,21 @@ COMMENT_KEYWORDS = {
 OTHER, NO_COMMENT = "OTHER", "NA"
 
 
+def _plain(character: Column) -> Column:
+    """Whether a text starts with a character that is neither blank nor quote (from "(" to "~")."""
+    return F.ascii(character).between(40, 126)
+
+
 def unquote(text: Column) -> Column:
     """Strip outer blanks, then outer double quotes, then outer single quotes.
 
-    A missing text becomes empty, which means the same to all that follows. Without NULLs
-    the generated code of the cleaning steps stays small enough for the JIT compiler.
+    Most texts start and end with a plain character and skip the slow strips. A missing
+    text becomes empty, which means the same to all that follows; without NULLs the
+    generated code of the cleaning steps stays small enough for the JIT compiler.
     """
-    return F.btrim(F.btrim(F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS)), F.lit('"')), F.lit("'"))
+    given = F.coalesce(text, F.lit(""))
+    stripped = F.btrim(F.btrim(F.btrim(given, F.lit(BLANKS)), F.lit('"')), F.lit("'"))
+    return F.when(_plain(given) & _plain(F.substring(given, -1, 1)), given).otherwise(stripped)
 
 
 def value_of(bare: Column, default: str | None = None) -> Column:

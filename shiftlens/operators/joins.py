@@ -35,6 +35,7 @@ def sized_join(
     how: str = "inner",
     *,
     null_safe: bool = False,
+    hot: dict | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on one column, by the measured size of the right.
@@ -43,11 +44,12 @@ def sized_join(
     * otherwise a shuffle join, except for hot keys of the left. Their few right rows are
       broadcast, or, when even these are many, the hot keys are salted.
 
-    ``how`` is inner, left, left_semi or left_anti. All rows of every key are kept.
+    ``how`` is inner, left, left_semi or left_anti. All rows of every key are kept. The hot
+    keys are counted unless given.
     """
     if fits_broadcast(right, limits):
         return _equi_join(left, F.broadcast(right), key, how, null_safe)
-    hot = hot_keys(left, key, limits)
+    hot = hot_keys(left, key, limits) if hot is None else hot
     if not hot:
         return _equi_join(left, right, key, how, null_safe)
     is_hot = is_one_of(key, hot)

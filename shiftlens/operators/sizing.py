@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import DEFAULT_LIMITS, Limits
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [_value_bytes(value[f.name], f.dataType) for f in kind.fields], F.lit(16))
+    return F.lit(16)
+
+
 def _row_bytes(df: DataFrame) -> Column:
-    total = F.lit(16)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        else:
-            total = total + 16
-    return total
+    return reduce(lambda a, b: a + b, [_value_bytes(F.col(f.name), f.dataType) for f in df.schema.fields], F.lit(16))
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -110,37 +110,52 @@ def avg_hours(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     return _by_name(per_key, dim_employee).agg(round_half_away(mean).alias("avg_daily_hours")).orderBy(F.desc("avg_daily_hours"))
 
 
-def _days_per_employee(rows: DataFrame, dim_employee: DataFrame, name: str) -> DataFrame:
-    per_key = rows.groupBy("employee_key").agg(F.count(F.lit(1)).alias("n"))
+def _count_where(fact: DataFrame, condition: Column, name: str) -> DataFrame:
+    """Rows per employee key that meet the condition.
+
+    Counted by a conditional aggregate: as a filter the condition would move below the
+    projections it builds on and have their expressions evaluated twice.
+    """
+    return fact.groupBy("employee_key").agg(F.count_if(condition).alias(name)).where(F.col(name) > 0)
+
+
+def _days_per_employee(fact: DataFrame, condition: Column, dim_employee: DataFrame, name: str) -> DataFrame:
+    per_key = _count_where(fact, condition, "n")
     return _by_name(per_key, dim_employee).agg(F.sum("n").alias(name)).orderBy(F.desc(name))
 
 
+def _times(fact: DataFrame, **columns: Column) -> DataFrame:
+    """Times of day in a projection of their own, so that each is parsed once a row."""
+    return fact.select("employee_key", "work_date", *[c.alias(name) for name, c in columns.items()])
+
+
 def late_arrivals(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """KPI 5: punches in more than the grace period after the scheduled start."""
-    limit = shift_clock(clock_time(F.col("scheduled_start")), GRACE_MINUTES)
-    return _days_per_employee(fact.where(time_of_day(F.col("punch_in")) > limit), dim_employee, "late_days")
+    times = _times(fact, came=time_of_day(F.col("punch_in")), due=clock_time(F.col("scheduled_start")))
+    late = F.col("came") > shift_clock(F.col("due"), GRACE_MINUTES)
+    return _days_per_employee(times, late, dim_employee, "late_days")
 
 
 def early_departures(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """KPI 6: punches out more than the grace period before the scheduled end."""
-    limit = shift_clock(clock_time(F.col("scheduled_end")), -GRACE_MINUTES)
-    return _days_per_employee(fact.where(time_of_day(F.col("punch_out")) < limit), dim_employee, "early_departure_days")
+    times = _times(fact, left=time_of_day(F.col("punch_out")), due=clock_time(F.col("scheduled_end")))
+    early = F.col("left") < shift_clock(F.col("due"), -GRACE_MINUTES)
+    return _days_per_employee(times, early, dim_employee, "early_departure_days")
 
 
 def overtime(fact: DataFrame) -> DataFrame:
     """KPI 7: shifts longer than scheduled plus grace. Times of day are compared, so overnight shifts are negative."""
-    worked = time_of_day(F.col("punch_out")) - time_of_day(F.col("punch_in"))
-    scheduled = clock_time(F.col("scheduled_end")) - clock_time(F.col("scheduled_start"))
-    longer = F.col("work_date").isNotNull() & (worked > scheduled + minutes(GRACE_MINUTES))
-    return (
-        fact.where(longer)
-        .groupBy("employee_key")
-        .agg(F.count(F.lit(1)).alias("overtime_count"))
-        .orderBy(F.desc("overtime_count"))
+    times = _times(
+        fact,
+        worked=time_of_day(F.col("punch_out")) - time_of_day(F.col("punch_in")),
+        scheduled=clock_time(F.col("scheduled_end")) - clock_time(F.col("scheduled_start")),
     )
+    longer = F.col("work_date").isNotNull() & (F.col("worked") > F.col("scheduled") + minutes(GRACE_MINUTES))
+    return _count_where(times, longer, "overtime_count").orderBy(F.desc("overtime_count"))
 
 
 _ROLLING_ORDER = ("work_date", "punch_in", "punch_out", "hours_worked")
+_ROLLING_COLUMNS = ("employee_key", "first_name", "last_name", "work_date", "punch_in", "rolling_avg_7days")
 _FRAME_ROWS = 7
 
 
@@ -189,16 +204,19 @@ def rolling_avg_hours(
     The result is as large as the fact; ``ordered`` sorts it for display.
     """
     punches = fact.select("employee_key", *_ROLLING_ORDER)
-    hot = hot_keys(punches, "employee_key", limits)
     names = dim_employee.select("employee_key", "first_name", "last_name")
+    hot = hot_keys(punches, "employee_key", limits)
+    is_hot = is_one_of("employee_key", hot)
     order = [F.col(c).asc_nulls_first() for c in _ROLLING_ORDER]
-    cold = punches.where(~is_one_of("employee_key", hot)) if hot else punches
-    rolled = cold.withColumn("rolling_avg_7days", _rolling_mean("employee_key", order=order)).drop("punch_out", "hours_worked")
-    if hot:
-        rolled = rolled.unionByName(_rolling_of_hot(punches.where(is_one_of("employee_key", hot))))
-    result = sized_join(rolled, names, "employee_key", limits=limits).select(
-        "employee_key", "first_name", "last_name", "work_date", "punch_in", "rolling_avg_7days"
+    cold = (punches.where(~is_hot) if hot else punches).withColumn(
+        "rolling_avg_7days", _rolling_mean("employee_key", order=order)
     )
+    # A shuffle join on the key finds the rows where the window has put them.
+    result = sized_join(cold, names, "employee_key", hot={}, limits=limits).select(*_ROLLING_COLUMNS)
+    if hot:
+        few = F.broadcast(names.where(is_hot))  # one row for each of at most max_hot_keys keys
+        rolled = _rolling_of_hot(punches.where(is_hot)).join(few, "employee_key")
+        result = result.unionByName(rolled.select(*_ROLLING_COLUMNS))
     return result.orderBy("employee_key", "work_date") if ordered else result
 
 

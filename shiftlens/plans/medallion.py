@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import DEFAULT_LIMITS, Limits
 from ..functions.dates import ntz
@@ -20,12 +20,6 @@ class ValidationFailed(ValueError):
     """Staging validation failed and the run was told to stop then."""
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
-
-
 # Raw
 
 
@@ -44,9 +38,10 @@ def load_files(
     fresh = [f for f in discover(warehouse.spark, data_dir, prefix, recursive=recursive) if base_name(f) not in loaded]
     if not fresh:
         return 0
-    rows, seen = _counted(scan_delimited(warehouse.spark, fresh, columns, loaded_at, multi_line=multi_line))
-    warehouse.add(table, rows)
-    return seen.get["n"]
+    warehouse.add(table, scan_delimited(warehouse.spark, fresh, columns, loaded_at, multi_line=multi_line))
+    # Counted in the footers of the files written, not by a second scan of the text.
+    of_today = warehouse.read(table, with_helpers=True).where(F.col(t.LOAD_DATE) == ntz(loaded_at).cast("date"))
+    return of_today.where(F.col("loaded_at") == ntz(loaded_at)).count()
 
 
 def load_bronze(
@@ -87,10 +82,9 @@ def _transform(warehouse: Warehouse, raw_table: str, stg_table: str, clean, now:
         return batch, 0, 0
     # Later arrivals belong to the next run.
     cleaned = clean(rows.where(F.col("loaded_at") <= ntz(found.last)))
-    kept, seen = _counted(silver.stamp(cleaned, batch, now))
-    warehouse.add(stg_table, kept)
+    warehouse.add(stg_table, silver.stamp(cleaned, batch, now))
     _advance(warehouse, name, found.last, now)
-    return batch, found.n, seen.get["n"]
+    return batch, found.n, warehouse.read(stg_table).where(F.col("etl_batch_id") == batch).count()
 
 
 def transform_silver(
@@ -127,18 +121,15 @@ def check_gate(silver_result: dict, skip_on_validation_fail: bool) -> bool:
 
 
 def _write_fact(warehouse: Warehouse, fact: DataFrame, mode: str) -> int:
-    """Write the fact with row ids, which are unique but, to avoid a sort, not dense."""
-    current = warehouse.read(t.FACT_TIMESHEET)
-    first = 1
+    """Rows written, as a new version of the table or in addition to it."""
+    name, first = t.FACT_TIMESHEET, 1
     if mode == "append":
-        first += current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first().id
-    rows, seen = _counted(fact)
-    numbered = rows.withColumn("id", F.monotonically_increasing_id() + F.lit(first))
-    if mode == "append":
-        numbered = current.unionByName(numbered)
-    warehouse.replace(t.FACT_TIMESHEET, numbered)
-    warehouse.drop_old(t.FACT_TIMESHEET)
-    return seen.get["n"]
+        first += warehouse.read(name).agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first().id
+        warehouse.extend(name, fact, first)
+    else:
+        warehouse.replace(name, fact)
+        warehouse.drop_old(name)
+    return warehouse.read(name).where(F.col("id") >= first).count()
 
 
 def _dimensions(warehouse: Warehouse, as_of: dt.date, limits: Limits) -> tuple[DataFrame, DataFrame]:
@@ -171,7 +162,7 @@ def load_gold(
     warehouse.replace(t.DIM_DATE, known.unionByName(dates).coalesce(1))
     warehouse.drop_old(t.DIM_DATE)
     counts["dim_date"] = found.count()
-    fact = gold.fact_timesheet(timesheets, warehouse.read(t.DIM_EMPLOYEE), recategorize, limits)
+    fact = gold.fact_timesheet(timesheets, employees, recategorize, limits)
     counts["fact_timesheet"] = _write_fact(warehouse, fact, fact_mode)
     return {"status": "success", **counts}
 

@@ -44,6 +44,8 @@ PARTITIONS = {
     STG_TIMESHEET: ("etl_batch_id",),
     FACT_TIMESHEET: (WORK_MONTH,),
 }
+# Columns numbered while a table is written.
+ROW_IDS = {FACT_TIMESHEET: "id"}
 _HELPERS = {LOAD_DATE: T.DateType(), WORK_MONTH: T.StringType()}
 
 
@@ -74,7 +76,7 @@ class Warehouse:
         return self.spark.read.schema(stored).parquet(place).select(*columns)
 
     def _with_helpers(self, name: str, df: DataFrame) -> DataFrame:
-        out = df.select(*SCHEMAS[name].fieldNames())
+        out = df.select(*[c for c in SCHEMAS[name].fieldNames() if c != ROW_IDS.get(name)])
         if LOAD_DATE in PARTITIONS.get(name, ()):
             out = out.withColumn(LOAD_DATE, F.to_date("loaded_at"))
         if WORK_MONTH in PARTITIONS.get(name, ()):
@@ -91,18 +93,33 @@ class Warehouse:
             .parquet(self.path(name))
         )
 
-    def replace(self, name: str, df: DataFrame) -> None:
+    def replace(self, name: str, df: DataFrame, first_id: int = 1) -> None:
         """Write a new version. It may be computed from the current one, which stays until ``drop_old``."""
         versions = self._versions(name)
         number = int(versions[-1].rsplit("=", 1)[1]) + 1 if versions else 1
-        rows = self._with_helpers(name, df)
+        self._write(name, df, f"{self.path(name)}/version={number:08d}", "overwrite", first_id)
+
+    def extend(self, name: str, df: DataFrame, first_id: int = 1) -> None:
+        """Add rows to the current version in one commit."""
+        versions = self._versions(name)
+        if not versions:
+            return self.replace(name, df, first_id)
+        self._write(name, df, versions[-1], "append", first_id)
+
+    def _write(self, name: str, df: DataFrame, path: str, mode: str, first_id: int) -> None:
+        rows = df
         if name in PARTITIONS:
             # Files of even size per partition folder; AQE splits a partition that is too large.
-            rows = rows.hint("rebalance", *PARTITIONS[name])
-        writer = rows.write.mode("overwrite")
+            rows = self._with_helpers(name, rows).hint("rebalance", *PARTITIONS[name])
+        if name in ROW_IDS:
+            # Given by the task that writes the row, after the last shuffle: a repeated task
+            # replaces all it wrote, so ids stay unique. They are not dense, which would take a sort.
+            rows = rows.withColumn(ROW_IDS[name], F.monotonically_increasing_id() + F.lit(first_id))
+        rows = rows.select(*SCHEMAS[name].fieldNames(), *[c for c in PARTITIONS.get(name, ()) if c in _HELPERS])
+        writer = rows.write.mode(mode)
         if name in PARTITIONS:
             writer = writer.partitionBy(*PARTITIONS[name])
-        writer.parquet(f"{self.path(name)}/version={number:08d}")
+        writer.parquet(path)
 
     def drop_old(self, name: str, keep: int = 2) -> None:
         for old in self._versions(name)[:-keep]:
