@@ -59,9 +59,13 @@ def dim_employee(
 
 
 def calendar_of(timesheets: DataFrame) -> DataFrame:
-    """Distinct work dates with their calendar parts."""
-    dates = timesheets.select("work_date").where(F.col("work_date").isNotNull()).distinct()
-    return dates.withColumns(calendar_parts(F.col("work_date")))
+    """Distinct work dates with their calendar parts.
+
+    The missing date is dropped after grouping; a filter on the column would move below the
+    cleaning steps and parse every date a second time.
+    """
+    dates = timesheets.groupBy("work_date").agg(F.count("work_date").alias("n")).where("n > 0")
+    return dates.select("work_date").withColumns(calendar_parts(F.col("work_date")))
 
 
 def dim_date(timesheets: DataFrame, start: int = 0) -> DataFrame:
