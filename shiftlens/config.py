@@ -28,7 +28,7 @@ class Limits:
     hot_rows: int = 5_000_000  # a key with this many rows is too much for one task
     max_hot_keys: int = 1024  # only the most frequent keys are split; any other holds < 1/1024 of the rows
     max_salts: int = 512
-    deep_page_rows: int = 100_000  # pages that start beyond this use the distributed sort
+    deep_page_rows: int = 2_000  # a top-k gathers this many rows a partition; later pages sort in parallel
 
 
 DEFAULT_LIMITS = Limits()

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import clean_date
-from ..functions.numbers import parse_number
+from ..functions.numbers import parse_number, without_nan
 
 
 def _long(value) -> Column:
@@ -43,7 +43,7 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
 def _as_number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
     value = parse_number(F.col(column)) if isinstance(kind, T.StringType) else F.col(column)
-    return F.when(~F.isnan(value), value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+    return without_nan(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
 
 
 def _outside(value: Column, low, high, below: str, above: str, least: str, most: str) -> list[Column]:

@@ -34,7 +34,7 @@ def source_name() -> Column:
 
 def header_of(spark: SparkSession, path: str, sep: str = "|") -> tuple[str, ...]:
     """Column names of a file, without blanks and quotes."""
-    line = paths.first_line(spark, path).lstrip("﻿")
+    line = paths.first_line(spark, path).lstrip("\ufeff")
     fields = next(csv.reader([line], delimiter=sep, quotechar='"'), [])
     return tuple(f.strip().replace('"', "") for f in fields)
 
@@ -56,6 +56,7 @@ def scan_delimited(
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for f in files:
         layouts[header_of(spark, f, sep)].append(f)
+    layouts.pop((), None)  # empty files
 
     def read(header: tuple[str, ...], members: list[str]) -> DataFrame:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])

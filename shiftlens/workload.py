@@ -210,7 +210,7 @@ def date_parts(x: Layers) -> DataFrame:
 
 
 def _old_and_new_dates(x: Layers) -> tuple[DataFrame, DataFrame]:
-    dates = date_parts(x).select("work_date", "day", "quarter")
+    dates = x.dim_date.select("work_date", "day", "quarter")
     existing = dates.where("day <= 20").withColumn("quarter", F.lit(0))
     return existing.drop("day"), dates.where("day >= 10").drop("day")
 

@@ -65,9 +65,13 @@ def test_scan_keeps_text_and_reads_each_layout(spark, place):
     assert rows["3"].term_date == " " and rows["1"].term_date is None
     assert rows["1"].last_name == "Late" and rows["1"].department_name is None
     assert rows["1"].source_file == "employee_2.csv" and rows["1"].loaded_at == hour(1)
+    put("employee_3.csv", "")
+    put("employee_4.csv", "\ufeff" + MORE_EMPLOYEES.replace('"1"', '"4"'))
+    more = scan_delimited(spark, discover(spark, source, "employee"), ("client_employee_id", "term_date"), hour(1))
+    assert {(r.client_employee_id, r.term_date) for r in more.collect()} == {("00037", None), ("2", "2024-05-06"), ("3", " "), ("1", None), ("4", None)}
     put("deeper/employee_9.csv", MORE_EMPLOYEES)
-    assert len(discover(spark, source, "employee")) == 2
-    assert len(discover(spark, source, "employee", recursive=True)) == 3
+    assert len(discover(spark, source, "employee")) == 4
+    assert len(discover(spark, source, "employee", recursive=True)) == 5
 
 
 def test_line_breaks_inside_quotes(spark, place):
