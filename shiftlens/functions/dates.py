@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -18,21 +19,26 @@ def ntz(value: dt.datetime | str) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
-def timestamp_of(bare: Column) -> Column:
-    """ISO date or timestamp of an unquoted text, NULL for anything else (years and times alone too)."""
-    return F.when(F.substring(bare, 5, 1) == "-", bare.try_cast("timestamp_ntz"))
+def timestamp_of(bare: Column, formats: Sequence[str] = ()) -> Column:
+    """ISO date or timestamp of an unquoted text, NULL for anything else (years and times alone too).
+
+    ``formats`` names further patterns, such as ``MM/dd/yyyy``, to try in order.
+    """
+    iso = F.when(F.substring(bare, 5, 1) == "-", bare.try_cast("timestamp_ntz"))
+    others = [F.try_to_timestamp(bare, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(iso, *others) if others else iso
 
 
 def in_range(moment: Column) -> Column:
     return F.when(moment.between(ntz(_FIRST), ntz(_LAST)), moment)
 
 
-def clean_timestamp(text: Column) -> Column:
-    return in_range(timestamp_of(unquote(text)))
+def clean_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
+    return in_range(timestamp_of(unquote(text), formats))
 
 
-def clean_date(text: Column) -> Column:
-    return clean_timestamp(text).cast("date")
+def clean_date(text: Column, formats: Sequence[str] = ()) -> Column:
+    return clean_timestamp(text, formats).cast("date")
 
 
 def clean_date_with_sentinel(text: Column, sentinel: dt.date = TERMINATION_SENTINEL) -> Column:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..config import DEFAULT_LIMITS, Limits
+from ..config import DEFAULT_LIMITS, Limits, scratch_path
 from ..functions.dates import ntz
 from ..operators.merge import absent_rows, calendar_ids, upsert_by_key
 from ..schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS
@@ -88,13 +89,21 @@ def _transform(warehouse: Warehouse, raw_table: str, stg_table: str, clean, now:
 
 
 def transform_silver(
-    warehouse: Warehouse, processed_at: dt.datetime, validate: bool = True, limits: Limits = DEFAULT_LIMITS
+    warehouse: Warehouse,
+    processed_at: dt.datetime,
+    validate: bool = True,
+    date_formats: Sequence[str] = (),
+    limits: Limits = DEFAULT_LIMITS,
 ) -> dict:
     """Clean new raw rows, drop orphan timesheets, validate staging."""
-    batch, _, employees = _transform(warehouse, t.RAW_EMPLOYEE, t.STG_EMPLOYEE, silver.clean_employee, processed_at)
+
+    def clean_employees(raw: DataFrame) -> DataFrame:
+        return silver.clean_employee(raw, date_formats)
+
+    batch, _, employees = _transform(warehouse, t.RAW_EMPLOYEE, t.STG_EMPLOYEE, clean_employees, processed_at)
 
     def known_timesheets(raw: DataFrame) -> DataFrame:
-        return silver.keep_known(silver.clean_timesheet(raw), warehouse.read(t.STG_EMPLOYEE), limits)
+        return silver.keep_known(silver.clean_timesheet(raw, date_formats), warehouse.read(t.STG_EMPLOYEE), limits)
 
     ts_batch, found, kept = _transform(warehouse, t.RAW_TIMESHEET, t.STG_TIMESHEET, known_timesheets, processed_at)
     report = None
@@ -156,7 +165,9 @@ def load_gold(
         warehouse.replace(name, upsert_by_key(warehouse.read(name), rows, [key], limits))
         warehouse.drop_old(name)
     known = warehouse.read(t.DIM_DATE)
-    found = gold.calendar_of(timesheets)
+    days = scratch_path(warehouse.spark, "days")  # one row a day, so that staging is read once
+    gold.calendar_of(timesheets).write.parquet(days)
+    found = warehouse.spark.read.parquet(days)
     last = known.agg(F.coalesce(F.max("date_id"), F.lit(0)).alias("id")).first().id
     dates = calendar_ids(absent_rows(known, found, ["work_date"], limits), last).select(*known.columns)
     warehouse.replace(t.DIM_DATE, known.unionByName(dates).coalesce(1))
@@ -189,11 +200,12 @@ def run_medallion(
     loaded_at: dt.datetime,
     as_of: dt.date,
     skip_on_validation_fail: bool = False,
+    date_formats: Sequence[str] = (),
     limits: Limits = DEFAULT_LIMITS,
 ) -> dict:
     """All layers in order; results of each."""
     results: dict = {"bronze": load_bronze(warehouse, data_dir, loaded_at)}
-    results["silver"] = transform_silver(warehouse, loaded_at, limits=limits)
+    results["silver"] = transform_silver(warehouse, loaded_at, date_formats=date_formats, limits=limits)
     results["valid"] = check_gate(results["silver"], skip_on_validation_fail)
     results["gold"] = load_gold(warehouse, as_of, limits=limits)
     results["post_load_validation"] = quality.post_load_counts(**star_tables(warehouse))

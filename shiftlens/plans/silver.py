@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT_LIMITS, TERMINATION_SENTINEL, Limits
 from ..functions.dates import active_at, in_range, ntz, timestamp_of
-from ..functions.numbers import number_of
+from ..functions.numbers import finite_or, parse_number
 from ..functions.text import category_of, unquote, value_of
 from ..operators.joins import sized_join
 from ..operators.merge import upsert_by_key
@@ -47,14 +48,22 @@ _EMPLOYEE_ORDER = (
 )
 
 
-def clean_employee(raw: DataFrame) -> DataFrame:
-    """Clean raw employees; absent optional columns get their defaults."""
+def _moment(formats: Sequence[str]):
+    return lambda bare: timestamp_of(bare, formats)
+
+
+def clean_employee(raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+    """Clean raw employees; absent optional columns get their defaults.
+
+    Dates are ISO, or of one of ``date_formats``.
+    """
     absent = {c: F.lit(None).cast("string") for c in ("hire_date",) if c not in raw.columns}
     if not {"term_date", "termination_date"} & set(raw.columns):
         absent["term_date"] = F.lit(None).cast("string")
     elif "term_date" in raw.columns:
         raw = raw.drop("termination_date")
-    parsed = {**_EMPLOYEE_TEXT, "hire_date": timestamp_of, "termination_date": timestamp_of}
+    moment = _moment(date_formats)
+    parsed = {**_EMPLOYEE_TEXT, "hire_date": moment, "termination_date": moment}
     names = {"client_employee_id": "employee_id", "term_date": "termination_date", "loaded_at": "bronze_loaded_at"}
     ends = _staged(
         raw.withColumns(absent), names, parsed, parsed, {c: in_range for c in ("hire_date", "termination_date")}, _EMPLOYEE_ORDER
@@ -78,16 +87,21 @@ _TIMESHEET_ORDER = (
 )
 
 
-def clean_timesheet(raw: DataFrame) -> DataFrame:
-    """Clean raw timesheets; absent optional columns get their defaults."""
+def clean_timesheet(raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+    """Clean raw timesheets; absent optional columns get their defaults.
+
+    Dates and times are ISO, or of one of ``date_formats``.
+    """
+    moment = _moment(date_formats)
     comments = [c for c in ("punch_in_comment", "punch_out_comment") if c in raw.columns]
     parsed = {
         "employee_id": _text("UNKNOWN"), "pay_code": _text(""), "source_file": _text(),
-        "work_date": timestamp_of, "punch_in": timestamp_of, "punch_out": timestamp_of,
-        "hours_worked": number_of, **{c: F.upper for c in comments},
+        "work_date": moment, "punch_in": moment, "punch_out": moment,
+        "hours_worked": parse_number, **{c: F.upper for c in comments},
     }
     last = {
         "work_date": lambda d: in_range(d).cast("date"), "punch_in": in_range, "punch_out": in_range,
+        "hours_worked": finite_or,
         **{c: category_of for c in comments},
     }
     rows = _staged(raw, _TIMESHEET_NAMES, parsed, parsed, last, _TIMESHEET_ORDER)

@@ -24,7 +24,7 @@ def test_clean_string(spark):
 
 
 def test_clean_numeric(spark):
-    cases = {"7.25": 7.25, '"8"': 8.0, "abc": 0.0, "--": 0.0, "1d": 0.0, None: 0.0, "-1.5": -1.5, "1e2": 100.0, ".5": 0.5, "inf": 0.0, "0x1": 0.0}
+    cases = {"7.25": 7.25, '"8"': 8.0, "abc": 0.0, "--": 0.0, "1d": 0.0, None: 0.0, "-1.5": -1.5, "1e2": 100.0, ".5": 0.5, "inf": 0.0, "0x1": 0.0, '" 7 "': 7.0, "1e400": 0.0, "-1e400": 0.0, "1e-400": 0.0, "1_0": 0.0, "1,000": 0.0, "5f": 0.0}
     assert apply(spark, numbers.clean_numeric, list(cases)) == list(cases.values())
 
 
@@ -40,6 +40,12 @@ def test_clean_date(spark):
     assert apply(spark, dates.is_active_flag, [None, "2024-10-28", "2222-12-31", "2222-12-31 08:00:00"]) == [1, 0, 1, 0]
 
 
+def test_other_date_formats(spark):
+    day = dt.date(2024, 10, 28)
+    got = apply(spark, lambda c: dates.clean_date(c, ("MM/dd/yyyy", "yyyyMMdd")), ["10/28/2024", "20241028", "2024-10-28", "28/10/2024", None])
+    assert got == [day, day, day, None, None]
+
+
 def test_time_of_day(spark):
     moments = ["2024-03-10 02:30:00.000001", "2024-01-01 23:59:59.999999", None]
     got = apply(spark, lambda c: dates.time_of_day(c.cast("timestamp_ntz")), moments)
