@@ -52,20 +52,21 @@ def _columns(expressions: dict[str, str]) -> list[str]:
     return [f"{e} AS {name}" for name, e in expressions.items()]
 
 
-SCHEMAS = {
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-}
+# The test tables that the raw rows come from.
+INPUTS = ("customer", "nation", "events")
+
+
+def path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def version(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Changes when the table is written again."""
-    return paths.last_change(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return paths.last_change(spark, path(sf_dir, name))
 
 
 def raw_employee(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -214,8 +214,9 @@ def rolling_avg_hours(
     # A shuffle join on the key finds the rows where the window has put them.
     result = sized_join(cold, names, "employee_key", hot={}, limits=limits).select(*_ROLLING_COLUMNS)
     if hot:
-        few = F.broadcast(names.where(is_hot))  # one row for each of at most max_hot_keys keys
-        rolled = _rolling_of_hot(punches.where(is_hot)).join(few, "employee_key")
+        rolled = _rolling_of_hot(punches.where(is_hot))
+        few = names.where(is_hot)  # one row a key, so small enough to broadcast
+        rolled = sized_join(rolled, few, "employee_key", hot={}, limits=limits)
         result = result.unionByName(rolled.select(*_ROLLING_COLUMNS))
     return result.orderBy("employee_key", "work_date") if ordered else result
 

@@ -8,6 +8,7 @@ version whose write has finished.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -75,6 +76,12 @@ class Warehouse:
             return self.spark.createDataFrame([], stored).select(*columns)
         return self.spark.read.schema(stored).parquet(place).select(*columns)
 
+    def facts_between(self, first: dt.date, last: dt.date) -> DataFrame:
+        """Timesheet facts of a range of work dates; folders of other months are not listed."""
+        months = F.col(WORK_MONTH).between(f"{first:%Y-%m}", f"{last:%Y-%m}")
+        dates = F.col("work_date").between(F.lit(first), F.lit(last))
+        return self.read(FACT_TIMESHEET, with_helpers=True).where(months & dates).drop(WORK_MONTH)
+
     def _with_helpers(self, name: str, df: DataFrame) -> DataFrame:
         out = df.select(*[c for c in SCHEMAS[name].fieldNames() if c != ROW_IDS.get(name)])
         if LOAD_DATE in PARTITIONS.get(name, ()):

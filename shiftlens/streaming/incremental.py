@@ -17,12 +17,20 @@ from ..plans.silver import clean_timesheet, keep_known, stamp
 from ..sources.files import source_name
 
 
-def file_stream(spark: SparkSession, data_dir: str, prefix: str, header: Sequence[str], loaded_at: dt.datetime | str, sep: str = "|") -> DataFrame:
+def file_stream(
+    spark: SparkSession,
+    data_dir: str,
+    prefix: str,
+    header: Sequence[str],
+    loaded_at: dt.datetime | str,
+    sep: str = "|",
+    files_per_batch: int = 1000,
+) -> DataFrame:
     """Delimited files of one layout as a stream of text rows with lineage."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     return (
         spark.readStream.schema(schema)
-        .options(sep=sep, quote='"', escape='"', header=True, pathGlobFilter=f"{prefix}*.csv")
+        .options(sep=sep, quote='"', escape='"', header=True, pathGlobFilter=f"{prefix}*.csv", maxFilesPerTrigger=files_per_batch)
         .csv(data_dir)
         .select(
             *[F.nullif(F.col(c), F.lit("")).alias(c) for c in header],

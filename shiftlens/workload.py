@@ -36,7 +36,7 @@ class Layers:
         self.spark, self.sf_dir = spark, sf_dir
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        inputs = (fixtures.version(self.spark, self.sf_dir, table) for table in fixtures.SCHEMAS)
+        inputs = (fixtures.version(self.spark, self.sf_dir, table) for table in fixtures.INPUTS)
         place = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, *inputs, name)
         if place not in _STORED:
             _STORED[place] = build()
@@ -193,7 +193,8 @@ def query_recategorize(x: Layers) -> DataFrame:
 def stream_incremental_silver(x: Layers) -> DataFrame:
     """The staged timesheets, loaded by a file stream."""
     events = fixtures.table(x.spark, x.sf_dir, "events")
-    stream = x.spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(x.sf_dir)
+    files = fixtures.path(x.sf_dir, "events") + "*"  # as a pattern, the path may be a file or a folder
+    stream = x.spark.readStream.schema(events.schema).parquet(files)
     target = scratch_path(x.spark, "stream-silver")
     stream_silver_timesheets(
         fixtures.timesheets_from_events(stream), x.stg_employee, target, scratch_path(x.spark, "stream-state"), LOADED_AT

@@ -170,6 +170,10 @@ def test_lookups_on_stored_tables(spark, place, tmp_path):
     rows, total = lookup.list_employees(employees, size=2, search="n%n")
     assert [r.first_name for r in rows.collect()] == ["Ann"] and total.first().total == 1
     assert lookup.filter_timesheets(fact, department_key=99).isEmpty()
+    october = warehouse.facts_between(dt.date(2024, 10, 29), dt.date(2024, 11, 30))
+    assert [r.work_date for r in october.collect()] == [dt.date(2024, 10, 29)] and october.columns == fact.columns
+    scan = october._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(work_month" in scan
     pushed = fact.where(F.col("work_date") >= F.lit(AS_OF))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(work_date" in pushed
 
