@@ -36,15 +36,16 @@ _RAW_TIMESHEET = {
     "hours_worked": """CASE WHEN event_id % 41 = 0 THEN 'abc' WHEN event_id % 43 = 0 THEN '--' WHEN event_id % 47 = 0 THEN '-1.5'
         ELSE CAST(event_id * 7 % 26 AS STRING) || '.' || CAST(event_id * 3 % 4 * 25 AS STRING) END""",
     "pay_code": "CASE WHEN event_id % 53 = 0 THEN 'undefined' ELSE event_type END",
-    "punch_in_comment": """CASE event_id % 16 WHEN 0 THEN 'EARLY_OUT' WHEN 1 THEN 'late in' WHEN 2 THEN 'VERY_LATE_IN'
-        WHEN 3 THEN '"FORGOT PUNCH"' WHEN 4 THEN 'Employee Missed In Punch' WHEN 5 THEN 'MEAL_NOT_TAKEN'
-        WHEN 6 THEN 'meal skipped' WHEN 7 THEN 'LATE_IN|MISSED_PUNCH' WHEN 8 THEN 'MISSED|FOO'
-        WHEN 9 THEN 'MEAL|X' WHEN 10 THEN 'hello' WHEN 11 THEN '[null]' WHEN 12 THEN 'undefined'
-        WHEN 13 THEN 'SHORT_SHIFT' WHEN 14 THEN 'Cancelled Deduction' END""",
-    "punch_out_comment": """CASE event_id % 5 WHEN 0 THEN 'VACATION' WHEN 1 THEN 'LEFT EARLY'
-        WHEN 2 THEN 'stayed longer' WHEN 3 THEN 'EXTRA_SHIFT' END""",
-    "source_file": "'timesheet_' || CAST(event_id % 4 AS STRING) || '.csv'",
-    "loaded_at": "TIMESTAMP_NTZ '2025-01-01 00:00:00.500' + INTERVAL '1' HOUR * (event_id % 4)",
+    # Lists instead of CASE: a short constant lookup by remainder.
+    "punch_in_comment": """element_at(array('EARLY_OUT', 'late in', 'VERY_LATE_IN', '"FORGOT PUNCH"',
+        'Employee Missed In Punch', 'MEAL_NOT_TAKEN', 'meal skipped', 'LATE_IN|MISSED_PUNCH', 'MISSED|FOO', 'MEAL|X',
+        'hello', '[null]', 'undefined', 'SHORT_SHIFT', 'Cancelled Deduction', NULL), CAST(event_id % 16 + 1 AS INT))""",
+    "punch_out_comment": """element_at(array('VACATION', 'LEFT EARLY', 'stayed longer', 'EXTRA_SHIFT', NULL),
+        CAST(event_id % 5 + 1 AS INT))""",
+    "source_file": """element_at(array('timesheet_0.csv', 'timesheet_1.csv', 'timesheet_2.csv', 'timesheet_3.csv'),
+        CAST(event_id % 4 + 1 AS INT))""",
+    "loaded_at": """element_at(array(TIMESTAMP_NTZ '2025-01-01 00:00:00.500', TIMESTAMP_NTZ '2025-01-01 01:00:00.500',
+        TIMESTAMP_NTZ '2025-01-01 02:00:00.500', TIMESTAMP_NTZ '2025-01-01 03:00:00.500'), CAST(event_id % 4 + 1 AS INT))""",
 }
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Characters that count as blank at either end of a text.
 BLANKS = (
@@ -55,21 +56,20 @@ COMMENT_KEYWORDS = {
 OTHER, NO_COMMENT = "OTHER", "NA"
 
 
-def _plain(character: Column) -> Column:
-    """Whether a text starts with a character that is neither blank nor quote (from "(" to "~")."""
-    return F.ascii(character).between(40, 126)
+# A text that starts and ends with a character that is neither blank nor quote ("(" to "~").
+_PLAIN = r"(?s)^[(-~](?:.*[(-~])?$"
 
 
 def unquote(text: Column) -> Column:
     """Strip outer blanks, then outer double quotes, then outer single quotes.
 
-    Most texts start and end with a plain character and skip the slow strips. A missing
-    text becomes empty, which means the same to all that follows; without NULLs the
-    generated code of the cleaning steps stays small enough for the JIT compiler.
+    Most texts are plain at both ends and skip the slow strips. A missing text becomes
+    empty, which means the same to all that follows; without NULLs the generated code of
+    the cleaning steps stays small enough for the JIT compiler.
     """
     given = F.coalesce(text, F.lit(""))
     stripped = F.btrim(F.btrim(F.btrim(given, F.lit(BLANKS)), F.lit('"')), F.lit("'"))
-    return F.when(_plain(given) & _plain(F.substring(given, -1, 1)), given).otherwise(stripped)
+    return F.when(given.rlike(_PLAIN), given).otherwise(stripped)
 
 
 def value_of(bare: Column, default: str | None = None) -> Column:
@@ -84,6 +84,7 @@ def clean_string(text: Column, default: str | None = None) -> Column:
 
 # Parts shared by all deciding keywords of a category: without one, its pattern is not tried.
 _SHARED_PARTS = {
+    "LATE OUT": ["LATE"],
     "MISSED PUNCH": ["PUNCH", "CHAIN"],
     "MEAL ISSUE": ["MEAL"],
     "SHORT SHIFT": ["SHIFT"],
@@ -91,18 +92,21 @@ _SHARED_PARTS = {
 }
 
 
+def _contains(text: Column, word: str) -> Column:
+    return F.contains(text, F.lit(word))
+
+
 def _contains_any(text: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+    """One test for a word, one pattern for several: a test per word would make the generated
+    code of two comment columns too large for the JIT compiler."""
+    return _contains(text, words[0]) if len(words) == 1 else text.rlike("|".join(map(re.escape, words)))
 
 
 def _mentions(text: Column, category: str, words: list[str]) -> Column:
-    """Whether a keyword occurs. Long lists are one pattern, as a test per word would make the
-    generated code of two comment columns too large for the JIT compiler."""
-    if len(words) <= 4:
-        return _contains_any(text, words)
-    pattern = text.rlike("|".join(words))
-    parts = _SHARED_PARTS.get(category)
-    return _contains_any(text, parts) & pattern if parts else pattern
+    """Whether a keyword of the category occurs."""
+    found = _contains_any(text, words)
+    parts = [_contains(text, part) for part in _SHARED_PARTS.get(category, [])]
+    return reduce(lambda a, b: a | b, parts) & found if parts else found
 
 
 def _deciding_words() -> dict[str, list[str]]:
@@ -120,21 +124,28 @@ def category_of(normalized: Column) -> Column:
     result = F.when(normalized.isin(*COMMENT_PLACEHOLDERS), NO_COMMENT)
     for category, words in _deciding_words().items():
         result = result.when(_mentions(normalized, category, words), category)
-    missed, meal = F.contains(normalized, F.lit("MISSED")), F.contains(normalized, F.lit("MEAL"))
+    missed, meal = _contains(normalized, "MISSED"), _contains(normalized, "MEAL")
     # Lists ("a|b") need no splitting: a keyword of a part is a keyword of the whole, so here
     # a part can only hold MISSED or MEAL, and a list with both is a meal issue already.
     return (
         result.when(missed & _contains_any(normalized, ["PUNCH", "IN", "OUT"]), "MISSED PUNCH")
         .when(meal & _contains_any(normalized, ["TAKEN", "SKIP", "MISSED", "|"]), "MEAL ISSUE")
-        .when(missed & F.contains(normalized, F.lit("|")), "MISSED PUNCH")
+        .when(missed & _contains(normalized, "|"), "MISSED PUNCH")
         .otherwise(OTHER)
     )
 
 
 def categorize_comment(text: Column) -> Column:
+    """Category of a raw comment, as one expression; ``categorize_columns`` is faster on many rows."""
     return category_of(F.upper(unquote(text)))
 
 
+def categorize_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Replace raw comments by categories, preparing each text once for all its tests."""
+    prepared = df.withColumns({c: F.upper(unquote(F.col(c))) for c in columns})
+    return prepared.withColumns({c: category_of(F.col(c)) for c in columns})
+
+
 def recategorize_comment(category: Column) -> Column:
     """``categorize_comment`` of a column that holds categories (or nothing) already.
 

@@ -12,7 +12,7 @@ from . import fixtures
 from .config import REPORT_SENTINEL, scratch_path
 from .functions.dates import calendar_parts, clean_date, clean_date_with_sentinel, is_active_flag, ntz
 from .functions.numbers import clean_numeric
-from .functions.text import categorize_comment, clean_string, recategorize_comment
+from .functions.text import categorize_columns, clean_string, recategorize_comment
 from .operators import checks, merge
 from .plans import gold, kpi, lookup, medallion, quality, silver
 from .schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS, STG_TIMESHEET
@@ -179,9 +179,8 @@ def query_categorize(x: Layers) -> DataFrame:
 
 def query_categorize_pipe(x: Layers) -> DataFrame:
     listed = x.raw_timesheet.where(F.contains("punch_in_comment", F.lit("|")))
-    return listed.groupBy(F.col("punch_in_comment").alias("raw")).agg(_n()).select(
-        "raw", categorize_comment(F.col("raw")).alias("category"), "n"
-    )
+    counts = listed.groupBy(F.col("punch_in_comment").alias("raw")).agg(_n())
+    return categorize_columns(counts.withColumn("category", F.col("raw")), ["category"])
 
 
 def query_recategorize(x: Layers) -> DataFrame:
