@@ -73,9 +73,8 @@ def unquote(text: Column) -> Column:
 
 
 def value_of(bare: Column, default: str | None = None) -> Column:
-    """Unquoted text with placeholders nulled, then defaulted."""
-    value = F.when(~bare.isin(*NULL_PLACEHOLDERS), bare)
-    return value if default is None else F.coalesce(value, F.lit(default))
+    """Unquoted text, or the default in place of a placeholder."""
+    return F.when(bare.isin(*NULL_PLACEHOLDERS), F.lit(default)).otherwise(bare)
 
 
 def clean_string(text: Column, default: str | None = None) -> Column:
