@@ -55,11 +55,17 @@ def _outside(value: Column, low, high, below: str, above: str, least: str, most:
     ]
 
 
+def _nothing_outside(names: tuple[str, ...], kind: str) -> list[Column]:
+    """Measures of a column the table lacks."""
+    unknown = F.lit(None).cast(kind)
+    return [_long(0).alias(names[0]), _long(0).alias(names[1]), unknown.alias(names[2]), unknown.alias(names[3])]
+
+
 def numeric_range(df: DataFrame, column: str, low: float | None = None, high: float | None = None) -> DataFrame:
     """Values strictly outside the range, and the actual range. NULL is inside."""
     names = ("below_min", "above_max", "min_val", "max_val")
     if column not in df.columns:
-        return df.agg(_long(0).alias(names[0]), _long(0).alias(names[1]), F.lit(None).cast("double").alias(names[2]), F.lit(None).cast("double").alias(names[3]))
+        return df.agg(*_nothing_outside(names, "double"))
     return df.agg(*_outside(_as_number(df, column), low, high, *names))
 
 
@@ -67,7 +73,7 @@ def date_range(df: DataFrame, column: str, low: dt.date | None = None, high: dt.
     """Dates strictly outside the range, and the actual range. NULL is inside."""
     names = ("before_min", "after_max", "min_date", "max_date")
     if column not in df.columns:
-        return df.agg(_long(0).alias(names[0]), _long(0).alias(names[1]), F.lit(None).cast("date").alias(names[2]), F.lit(None).cast("date").alias(names[3]))
+        return df.agg(*_nothing_outside(names, "date"))
     value = clean_date(F.col(column)) if isinstance(df.schema[column].dataType, T.StringType) else F.col(column)
     return df.agg(*_outside(value, low, high, *names))
 

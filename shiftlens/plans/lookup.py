@@ -64,13 +64,17 @@ def total(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("total"))
 
 
-def list_employees(dim_employee: DataFrame, number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS, **filters) -> tuple[DataFrame, DataFrame]:
+def list_employees(
+    dim_employee: DataFrame, number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS, **filters
+) -> tuple[DataFrame, DataFrame]:
     """A page of employees by key, and the total."""
     rows = filter_employees(dim_employee, **filters)
     return page(rows, [F.asc("employee_key")], number, size, limits), total(rows)
 
 
-def list_timesheets(fact: DataFrame, number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS, **filters) -> tuple[DataFrame, DataFrame]:
+def list_timesheets(
+    fact: DataFrame, number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS, **filters
+) -> tuple[DataFrame, DataFrame]:
     """A page of timesheets, latest first, and the total."""
     rows = filter_timesheets(fact, **filters)
     return page(rows, latest_first(), number, size, limits), total(rows)

@@ -34,6 +34,10 @@ def _said(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
+def _ranged(opening: str, least: str, most: str, closing: str, outside: str) -> Column:
+    return F.concat_ws("", F.lit(opening), least, F.lit(", "), most, F.lit(closing), outside)
+
+
 def _at_least_one(table: str, rows: Column) -> Column:
     return _check(table, "row_count", F.when(rows >= 1, 0).otherwise(1), _said("Row count: ", rows))
 
@@ -117,10 +121,10 @@ def gold_suite(dim_employee: DataFrame, dim_department: DataFrame, dim_date: Dat
     fact_checks = _rows(measures, [
         _at_least_one(name, F.col("n")),
         _check(name, "null_check", F.col("nulls"), _said("Nulls in critical columns: ", F.col("nulls"))),
-        _check(name, "range_check_hours_worked", F.col("hours"), F.concat_ws("", F.lit("Range ["), "least", F.lit(", "), "most", F.lit("], outside: "), "hours")),
+        _check(name, "range_check_hours_worked", F.col("hours"), _ranged("Range [", "least", "most", "], outside: ", "hours")),
         _orphan_check(name, "employee_key", F.col("employees")),
         _orphan_check(name, "department_key", F.col("departments")),
-        _check(name, "date_range_work_date", F.col("early"), F.concat_ws("", F.lit("Dates ["), "first", F.lit(", "), "last", F.lit("], too early: "), "early")),
+        _check(name, "date_range_work_date", F.col("early"), _ranged("Dates [", "first", "last", "], too early: ", "early")),
     ])
     return reduce(DataFrame.unionByName, [department, employee, employee_orphans, date, fact_checks])
 

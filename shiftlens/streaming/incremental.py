@@ -45,7 +45,9 @@ def run_available(rows: DataFrame, write_batch: Callable[[DataFrame, int], None]
     query.awaitTermination()
 
 
-def batch_writer(target: str, transform: Callable[[DataFrame], DataFrame], processed_at: dt.datetime | str) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    target: str, transform: Callable[[DataFrame], DataFrame], processed_at: dt.datetime | str
+) -> Callable[[DataFrame, int], None]:
     """Write each micro-batch into the partition of its number."""
 
     def write(batch: DataFrame, number: int) -> None:

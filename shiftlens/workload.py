@@ -6,11 +6,11 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import fixtures
 from .config import REPORT_SENTINEL, scratch_path
-from .functions.dates import calendar_parts, clean_date, clean_date_with_sentinel, is_active_flag, ntz
+from .functions.dates import clean_date, clean_date_with_sentinel, is_active_flag
 from .functions.numbers import clean_numeric
 from .functions.text import categorize_columns, clean_string, recategorize_comment
 from .operators import checks, merge
@@ -100,7 +100,7 @@ class Layers:
         }
 
 
-def _n() -> "F.Column":
+def _n() -> Column:
     return F.count(F.lit(1)).alias("n")
 
 
