@@ -52,5 +52,33 @@ FROM judged
 """.replace("{stop_words}", "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]")
 
 
+NEAR_DEDUP = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 2
+      THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+      ELSE w END) AS s
+    FROM split)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION SELECT b, root FROM reached JOIN both_ways ON doc_id = a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id, d.doc_id = min(root) AS kept
+FROM documents d JOIN reached USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id, n
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op8_quality_rules": QUALITY_RULES}
+    return {"op1_chat_formatting": CHAT, "op8_quality_rules": QUALITY_RULES, "op10_minhash_near_dedup": NEAR_DEDUP}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftlens.llm import chat, quality_rules, sharding
+from shiftlens.llm import chat, near_dup, quality_rules, sharding
 
 SHARDS = 24
 #: A conversation whose texts hold template strings.
@@ -33,9 +33,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("broken")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Scheme(shingle_words=2))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
