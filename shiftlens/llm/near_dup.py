@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlens.llm.components import component_roots
-from shiftlens.llm.text import lower_ascii, shared_folder, shingle_hashes, stored, words
+from shiftlens.llm.text import lower_ascii, shared_folder, shingle_hashes, ship_code, stored, words
 
 
 @dataclass(frozen=True)
@@ -221,6 +221,7 @@ def links_of(nodes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, ``n_shingles``, ``component_id`` (smallest id reachable) and ``kept`` (it is that id)."""
     shared_folder(docs.sparkSession)
+    ship_code(docs.sparkSession)
     sets = shingled(docs, scheme, key, text)
     columns = "id long, text_key string, n_shingles long, signature array<bigint>"
     signed = stored(sets.withColumn("n_shingles", F.size("hashes").cast("long")).mapInArrow(_sign(scheme), columns))

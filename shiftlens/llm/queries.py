@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftlens.llm import chat, near_dup, quality_rules, sharding
+from shiftlens.llm import chat, near_dup, quality_rules, sharding, suffix_dedup
 
 SHARDS = 24
 #: A conversation whose texts hold template strings.
@@ -24,6 +25,14 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.parse(chat.render(messages)))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
     return placed.selectExpr("doc_id", "size", "text_crc32", "'rows' AS law", "shard", "slot", "CAST(NULL AS INT) AS grown_shard", "moved")
@@ -40,6 +49,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, for operators that run Python in their tasks."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp(prefix='llm-code-')}/{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read again: lineage ends here and survives lost executors."""
     path = f"{shared_folder(frame.sparkSession)}/llm-{uuid.uuid4().hex}"
