@@ -4,7 +4,8 @@ Each window of ``length`` bytes has an anchor, the smallest hash of its ``GRAM``
 equal anchors. A text is cut where the anchor changes. Segments whose anchor occurs once in all documents can't
 repeat. Of the others, equal segments are one: their windows repeat at once. Where an anchor has different
 segments, these are dealt to shards by anchor, and the suffix array of a shard with its permuted common prefixes
-tells which windows occur twice. An anchor with more than ``group`` different segments (a passage that a large share of all
+tells which windows occur twice. What no other segment of an anchor shares with a segment to the left and right of the
+anchor, too little for a window, is left out before. An anchor with more than ``group`` different segments (a passage that a large share of all
 documents quote in different surroundings) is not put into one task: its windows are counted by a 128-bit digest.
 
 Texts are UTF-8 bytes, null ones empty. Matches never cross documents but may overlap or lie in one document. Rows
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +28,15 @@ from pyspark.sql import functions as F
 from shiftlens.llm.suffix_array import permuted_lcp, suffix_array
 from shiftlens.llm.text import shared_folder, ship_code, stored
 
-GRAM = 16
+#: Long enough that near copies with a change in every other line rarely share one.
+GRAM = 64
 #: Windows of one segment: text of one repeated symbol has one anchor throughout.
 LONGEST = 4096
 SHARD_BYTES = 1 << 18
 _RNG = np.random.default_rng(400)
 _BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = tuple(np.uint64(int(x) | 1) for x in _RNG.integers(2**62, 2**63, 2))
-OCCURRENCE = "doc long, twin long, start int, size int, anchor long, digest binary, inner boolean"
+OCCURRENCE = "doc long, twin long, start int, size int, anchor long, gram int, inner boolean, digest binary"
 
 
 def _rolled(data: np.ndarray, width: int, factor: np.uint64) -> np.ndarray:
@@ -54,8 +58,11 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def segments(data: bytes, length: int) -> Iterator[tuple[int, int, int, bool]]:
-    """``(start, size, anchor, inner)`` of each run of windows with one anchor; ``inner``: the anchor occurs in it twice."""
+def segments(data: bytes, length: int) -> Iterator[tuple[int, int, int, int, bool]]:
+    """``(start, size, anchor, gram, inner)`` of each run of windows with one anchor.
+
+    ``gram`` is where in the segment the anchor's bytes begin, ``inner`` whether they occur in it again.
+    """
     if len(data) < length:
         return
     grams = _rolled(np.frombuffer(data, np.uint8), GRAM, _FACTORS[0])
@@ -68,19 +75,19 @@ def segments(data: bytes, length: int) -> Iterator[tuple[int, int, int, bool]]:
         ends = np.append(cuts[1:], len(anchors))
     for first, after in zip(cuts.tolist(), ends.tolist(), strict=True):
         value = anchors[first]
-        inner = np.count_nonzero(grams[first : after + width - 1] == value) > 1
-        yield first, after - first + length - 1, int(value.view(np.int64)), inner
+        places = np.flatnonzero(grams[first : after + width - 1] == value)
+        yield first, after - first + length - 1, int(value.view(np.int64)), int(places[0]), len(places) > 1
 
 
 def _occurrences(length: int):
-    schema = pa.schema([("doc", pa.int64()), ("twin", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("anchor", pa.int64()), ("digest", pa.binary()), ("inner", pa.bool_())])
+    schema = pa.schema([("doc", pa.int64()), ("twin", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("anchor", pa.int64()), ("gram", pa.int32()), ("inner", pa.bool_()), ("digest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for doc, twin, data in zip(*(batch.column(c) for c in ("doc", "twin", "data")), strict=True):
                 doc, twin, data = doc.as_py(), twin.as_py(), data.as_py()
-                rows += [(doc, twin, a, n, anchor, hashlib.blake2b(data[a : a + n], digest_size=16).digest(), inner) for a, n, anchor, inner in segments(data, length)]
+                rows += [(doc, twin, cut[0], *cut[1:], hashlib.blake2b(data[cut[0] : cut[0] + cut[1]], digest_size=16).digest()) for cut in segments(data, length)]
                 if len(rows) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows = []
@@ -113,25 +120,56 @@ DOC = ("doc", "twin")
 RUNS = "anchor long, digest binary, runs array<struct<first:int,after:int>>"
 
 
+PIECE = ("anchor", "digest", "gram", "inner", "piece")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in PIECE), strict=True)
+
+
+def _shared_prefixes(texts: list[bytes]) -> list[int]:
+    """For each text the longest prefix that it shares with any other one."""
+    order, best = sorted(range(len(texts)), key=texts.__getitem__), [0] * len(texts)
+    for i, j in zip(order, order[1:], strict=False):
+        n = min(len(texts[i]), len(texts[j]))
+        unlike = np.frombuffer(texts[i], np.uint8, n) != np.frombuffer(texts[j], np.uint8, n)
+        shared = int(unlike.argmax()) if unlike.any() else n
+        best[i], best[j] = max(best[i], shared), max(best[j], shared)
+    return best
+
+
+def _matchable(group: list[tuple], length: int) -> list[tuple]:
+    """The parts ``(anchor, digest, offset, piece)`` of one anchor's segments that may hold a window of another one.
+
+    Such a window holds the anchor, so it lies within what a segment shares with any other to its left and right.
+    """
+    right = _shared_prefixes([piece[gram:] for _, _, gram, _, piece in group])
+    left = _shared_prefixes([piece[:gram][::-1] for _, _, gram, _, piece in group])
+    parts = []
+    for (anchor, digest, gram, inner, piece), back, on in zip(group, left, right, strict=True):
+        first, after = (0, len(piece)) if inner else (gram - back, gram + on)
+        if after - first >= length:
+            parts.append((anchor, digest, first, piece[first:after]))
+    return parts
+
+
 def _shards(length: int):
     runs_type = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
 
     def solved(held: list[tuple]) -> pa.RecordBatch:
-        flags = repeated_starts([piece for _, _, piece in held], length)
-        runs = [[{"first": a, "after": b} for a, b in _runs(f)] for f in flags]
+        flags = repeated_starts([piece for *_, piece in held], length)
+        runs = [[{"first": at + a, "after": at + b} for a, b in _runs(f)] for (_, _, at, _), f in zip(held, flags, strict=True)]
         columns = [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.binary()), pa.array(runs, runs_type)]
         return pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            for anchor, digest, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "digest", "piece")), strict=True):
-                if held and size >= SHARD_BYTES and held[-1][0] != anchor:
-                    yield solved(held)
-                    held, size = [], 0
-                held.append((anchor, digest, piece))
-                size += len(piece)
+        for _, group in groupby(_rows(batches), key=itemgetter(0)):
+            held += _matchable(list(group), length)
+            if sum(len(h[3]) for h in held) >= SHARD_BYTES:
+                yield solved(held)
+                held = []
         if held:
             yield solved(held)
 
@@ -150,7 +188,7 @@ def _windows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, key, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "digest", "piece")), strict=True):
+            for anchor, key, _, _, piece in _rows([batch]):
                 data = np.frombuffer(piece, np.uint8)
                 x, y = (digest(data, f) for f in _FACTORS)
                 columns = [pa.array([anchor] * len(x), pa.int64()), pa.array([key] * len(x), pa.binary()), pa.array(x), pa.array(y), pa.array(np.arange(len(x), dtype=np.int32))]
@@ -161,9 +199,9 @@ def _windows(length: int):
 
 def _pieces(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of one occurrence of each wanted segment."""
-    lists = wanted.groupBy(*DOC).agg(F.collect_list(F.struct("start", "size", "anchor", "digest")).alias("cuts"))
+    lists = wanted.groupBy(*DOC).agg(F.collect_list(F.struct("start", "size", "anchor", "digest", "gram", "inner", "kinds")).alias("cuts"))
     rows = texts.join(lists, [*DOC]).select("data", F.explode("cuts").alias("cut"))
-    return rows.select("cut.anchor", "cut.digest", F.substring("data", F.col("cut.start") + 1, F.col("cut.size")).alias("piece"))
+    return rows.select("cut.anchor", "cut.digest", "cut.gram", "cut.inner", "cut.kinds", F.substring("data", F.col("cut.start") + 1, F.col("cut.size")).alias("piece"))
 
 
 def repeated_runs(texts: DataFrame, length: int, group: int) -> DataFrame:
@@ -172,18 +210,17 @@ def repeated_runs(texts: DataFrame, length: int, group: int) -> DataFrame:
     often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.max("inner").alias("inside")).where("n > 1 OR inside").select("anchor")
     occurrences = stored(found.join(often, "anchor"))
     contents = occurrences.groupBy("anchor", "digest").agg(
-        F.count("*").alias("copies"), F.min(F.struct(*DOC, "start", "size")).alias("at"), F.max("inner").alias("inner")
+        F.count("*").alias("copies"), F.min(F.struct(*DOC, "start", "size", "gram", "inner")).alias("at")
     )
     kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    graded = stored(contents.join(kinds, "anchor").select("anchor", "digest", "copies", "inner", "kinds", "at.*"))
+    graded = stored(contents.join(kinds, "anchor").select("anchor", "digest", "copies", "kinds", "at.*"))
 
     whole = graded.where("copies > 1").select("anchor", "digest", F.array(F.struct(F.lit(0).alias("first"), (F.col("size") - length + 1).alias("after"))).alias("runs"))
-    unlike = stored(_pieces(texts, graded.where("kinds > 1 OR inner").select(*DOC, "start", "size", "anchor", "digest")))
-    sized = unlike.join(kinds, "anchor")
-    dealt = sized.where(F.col("kinds") <= group).repartition("anchor").sortWithinPartitions("anchor").select("anchor", "digest", "piece")
+    unlike = stored(_pieces(texts, graded.where("kinds > 1 OR inner")))
+    dealt = unlike.where(F.col("kinds") <= group).select(*PIECE).repartition("anchor").sortWithinPartitions("anchor")
     solved = dealt.mapInArrow(_shards(length), RUNS)
 
-    windows = sized.where(F.col("kinds") > group).select("anchor", "digest", "piece").mapInArrow(_windows(length), "anchor long, digest binary, x long, y long, first int")
+    windows = unlike.where(F.col("kinds") > group).select(*PIECE).mapInArrow(_windows(length), "anchor long, digest binary, x long, y long, first int")
     twice = windows.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
     single = F.struct("first", (F.col("first") + 1).alias("after"))
     counted = windows.join(twice, ["x", "y"]).groupBy("anchor", "digest").agg(F.collect_list(single).alias("runs"))
