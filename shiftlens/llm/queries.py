@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.llm import chat, near_dup, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, token_counts
+from shiftlens.llm import chat, near_dup, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, suffix_tree_lm, token_counts
 
 SHARDS = 24
 #: A conversation whose texts hold template strings.
 PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
+def id_checksum() -> Column:
+    """The fold of a document: CRC-32 of its id as text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -47,6 +52,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_checksum() % 5 == 1
+    return suffix_tree_lm.score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
     return placed.selectExpr("doc_id", "size", "text_crc32", "'rows' AS law", "shard", "slot", "CAST(NULL AS INT) AS grown_shard", "moved")
@@ -69,6 +79,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_formatting": op1_chat_formatting,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_counts": op9_token_counts,
