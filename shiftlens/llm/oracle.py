@@ -80,5 +80,38 @@ FROM documents d JOIN reached USING (doc_id) LEFT JOIN sizes USING (doc_id) GROU
 """
 
 
+DECONTAMINATION = """
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+doc_runs AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS s, len(w) AS size
+  FROM (SELECT *, unnest(range(greatest(len(w) - 4, 1))) AS i FROM docs WHERE len(w) > 0)),
+item_runs AS (
+  SELECT item_id, i, array_to_string(w[i + 1:i + 5], ' ') AS s, len(w) AS n
+  FROM (SELECT *, unnest(range(greatest(len(w) - 4, 1))) AS i FROM items WHERE len(w) > 0)),
+item_counts AS (SELECT item_id, n, s, count(*) AS times FROM item_runs GROUP BY ALL),
+windows AS (
+  SELECT DISTINCT doc_id, n, greatest(least(d.i - b.i, size - n), 0) AS start
+  FROM doc_runs d JOIN item_runs b USING (s)),
+window_counts AS (
+  SELECT doc_id, n, start, s, count(*) AS times
+  FROM windows JOIN doc_runs USING (doc_id) WHERE i BETWEEN start AND start + greatest(n - 5, 0) GROUP BY ALL),
+sizes AS (SELECT doc_id, n, start, sum(times) AS size FROM window_counts GROUP BY ALL),
+common AS (
+  SELECT doc_id, n, start, item_id, sum(least(w.times, b.times)) AS common
+  FROM window_counts w JOIN item_counts b USING (n, s) GROUP BY ALL),
+alike AS (
+  SELECT doc_id, item_id, n, start, common / (greatest(n - 4, 1) + size - common) AS similarity
+  FROM common JOIN sizes USING (doc_id, n, start)
+  WHERE 100 * common >= 80 * (greatest(n - 4, 1) + size - common))
+SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_max(start, (similarity, -start)) AS INTEGER) AS start, CAST(n AS INTEGER) AS n_words
+FROM alike GROUP BY doc_id, item_id, n
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op8_quality_rules": QUALITY_RULES, "op10_minhash_near_dedup": NEAR_DEDUP}
+    return {"op1_chat_formatting": CHAT, "op3_decontamination": DECONTAMINATION, "op8_quality_rules": QUALITY_RULES, "op10_minhash_near_dedup": NEAR_DEDUP}
