@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.llm import chat, decontaminate, near_dup, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, suffix_tree_lm, token_counts
+from shiftlens.llm import chat, decontaminate, near_dup, quality_rules, rule_ensemble, sentencepiece_bpe, sharding, suffix_dedup, suffix_tree_lm, token_counts
 
 SHARDS = 24
 #: A conversation whose texts hold template strings.
@@ -49,6 +49,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("distance")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_checksum() % 3 == 1
+    scored, _ = rule_ensemble.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+    return scored
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentencepiece_bpe.encode_and_decode(table(spark, sf_dir, "documents"), piece_model(), packed=True)
     return coded.select(
@@ -84,6 +90,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_formatting": op1_chat_formatting,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_decontamination": op3_decontamination,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_lm_scoring": op6_lm_scoring,
         "op7_sharding": op7_sharding,
