@@ -141,5 +141,6 @@ def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     """The rows that pass, with their columns as they were."""
     own = docs.columns
     boxed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_row"), F.col(text).alias("_doc_text"))
-    verdict = judge(boxed, key="_row", text="_doc_text", rules=rules)
-    return verdict.where("kept").select(*(F.col("_row").getField(c).alias(c) for c in own))
+    # A filter is pushed below deterministic projections and would repeat every count there for each of its uses.
+    verdict = judge(boxed, key="_row", text="_doc_text", rules=rules).withColumn("_at", F.monotonically_increasing_id())
+    return verdict.where("kept AND _at >= 0").select(*(F.col("_row").getField(c).alias(c) for c in own))

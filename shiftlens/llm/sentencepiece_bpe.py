@@ -124,16 +124,18 @@ def _run(model, key: str, packed: bool):
     return run
 
 
-def encode_and_decode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", packed: bool = False) -> DataFrame:
+def encode_and_decode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", packed: bool = False, keep_row: bool = False) -> DataFrame:
     """Per row: the key, ``ids`` (with begin and end), ``decoded`` and ``agrees``. The model file is read by the driver.
 
-    ``packed`` gives the ids as little-endian 32-bit numbers in a binary column instead of an array.
+    ``packed`` gives the ids as little-endian 32-bit numbers in a binary column instead of an array. ``keep_row``
+    puts the whole row as a struct ``row`` in place of the key.
     """
     spark = docs.sparkSession
     ship_code(spark)
     with open(model_path, "rb") as file:  # a vocabulary: its size doesn't grow with the data
         model = spark.sparkContext.broadcast(file.read())
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    kind = docs.schema[key].dataType.simpleString()
+    own, name = (F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "row") if keep_row else (F.col(key), key)
+    rows = docs.select(own.alias(name), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    kind = rows.schema[name].dataType.simpleString()
     ids = "binary" if packed else "array<int>"
-    return rows.mapInArrow(_run(model, key, packed), f"`{key}` {kind}, ids {ids}, decoded string, agrees boolean")
+    return rows.mapInArrow(_run(model, name, packed), f"`{name}` {kind}, ids {ids}, decoded string, agrees boolean")

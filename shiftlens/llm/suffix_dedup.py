@@ -22,7 +22,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftlens.llm.suffix_array import permuted_lcp, suffix_array
@@ -240,28 +240,58 @@ def _removed(size: int, runs: list[dict] | None) -> np.ndarray:
     return np.cumsum(change)[:size] > 0
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def whole_characters(data: bytes, gone: np.ndarray) -> np.ndarray:
+    """The removed bytes without those of characters of which a part stays."""
+    if not gone.any():
+        return gone
+    first = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+    return np.minimum.reduceat(gone, np.flatnonzero(first))[np.cumsum(first) - 1]
+
+
+def _cut(batches: Iterator[pa.RecordBatch], characters: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans, kept = [], []
         for data, runs in zip(batch.column("data"), batch.column("runs"), strict=True):
             data, runs = data.as_py(), runs.as_py()
             gone = _removed(len(data), runs)
+            if characters:
+                gone = whole_characters(data, gone)
             spans.append([{"first": a, "after": b} for a, b in _runs(gone)])
             kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes())
         spans_type = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("no_id"), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["doc", "no_id", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["row", "spans", "kept"])
 
 
-def repeated_bytes(docs: DataFrame, length: int = 400, group: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: the key, ``n_bytes``, ``spans`` (maximal removed ranges ``[first, after)`` of bytes) and ``kept`` bytes."""
+def _cut_rows(docs: DataFrame, row: Column, length: int, group: int, key: str, text: str, characters: bool) -> DataFrame:
+    """``row``, ``spans`` and ``kept`` bytes of each row."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} bytes at least")
     shared_folder(docs.sparkSession)
     ship_code(docs.sparkSession)
     data = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     no_id = F.col(key).isNull()
-    named = docs.select(F.coalesce(F.col(key), F.lit(-1)).cast("long").alias("doc"), F.xxhash64(data, no_id).alias("twin"), data.alias("data"), no_id.alias("no_id"))
-    runs = repeated_runs(named.drop("no_id"), length, group)
-    cut = named.join(runs, [*DOC], "left").mapInArrow(_cut, "doc long, no_id boolean, spans array<struct<first:int,after:int>>, kept binary")
+    named = docs.select(
+        F.coalesce(F.col(key), F.lit(-1)).cast("long").alias("doc"), F.xxhash64(data, no_id).alias("twin"), data.alias("data"), row.alias("row")
+    )
+    runs = repeated_runs(named.drop("row"), length, group)
+    joined = named.join(runs, [*DOC], "left").select("row", "data", "runs")
+    kind = joined.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(lambda batches: _cut(batches, characters), f"row {kind}, spans array<struct<first:int,after:int>>, kept binary")
+
+
+def repeated_bytes(docs: DataFrame, length: int = 400, group: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: the key, ``n_bytes``, ``spans`` (maximal removed ranges ``[first, after)`` of bytes) and ``kept`` bytes."""
+    cut = _cut_rows(docs, F.col(key), length, group, key, text, characters=False)
     size = F.octet_length("kept") + F.aggregate("spans", F.lit(0), lambda n, s: n + s["after"] - s["first"])
-    return cut.select(F.when(~F.col("no_id"), F.col("doc")).alias(key), size.cast("long").alias("n_bytes"), "spans", "kept")
+    return cut.select(F.col("row").alias(key), size.cast("long").alias("n_bytes"), "spans", "kept")
+
+
+def without_repeats(docs: DataFrame, length: int = 400, group: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows with their columns as they were, save the text, which loses its repeated strings.
+
+    A character goes only if all its bytes do. Null texts stay null.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    cut = _cut_rows(docs, whole, length, group, key, text, characters=True)
+    left = F.when(F.col("row").getField(text).isNotNull(), F.decode("kept", "UTF-8"))
+    return cut.select(*((left if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns))
