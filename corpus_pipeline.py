@@ -5,10 +5,15 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftlens.llm import near_dup, quality_rules
+from shiftlens.llm import decontaminate, near_dup, quality_rules, sentencepiece_bpe, suffix_dedup
+from shiftlens.llm.queries import piece_model
 from shiftlens.llm.text import shared_folder
 
+#: Bytes that make a repeated passage: below those of fifty words of four letters.
+PASSAGE_BYTES = 200
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no quality rule."""
@@ -20,11 +25,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dup.keep_one(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that occur elsewhere; ``n_chars`` counts what is left."""
+    left = suffix_dedup.without_repeats(docs, PASSAGE_BYTES)
+    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with ``ids`` and ``n_tokens``, and ``round_trip``: whether decoding gives the text again."""
+    coded = sentencepiece_bpe.encode_and_decode(docs, piece_model(), keep_row=True)
+    return coded.select(
+        "row.*", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"),
+    )
+
+
 STAGES = [
     ("quality_rules", quality),
     ("minhash_near_dedup", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("decontamination", benchmark_leaks),
+    ("sentencepiece", encoded),
 ]
-#: SQL can't express the encoder, so the whole is tested against a brute-force version instead.
+#: SQL can't express the encoder: the whole is tested against a brute-force version instead.
 ORACLE_SQL = None
 
 
