@@ -78,12 +78,15 @@ def find_items(docs: DataFrame, items: DataFrame, percent: int = 80, key: str =
 
     patterns = F.lit([p for p in range(1 << BLOCK_BITS) if p.bit_count() <= BLOCK_RADIUS])
     marked = known.withColumn("blocks", _fingerprint(F.col("w")))
-    index = marked.select("item", "n", F.col("blocks").alias("item_blocks"), F.posexplode("blocks").alias("k", "value"))
+    marked = stored(marked.select("item", "n", "blocks"))
+    index = marked.select("item", "n", F.posexplode("blocks").alias("k", "value"))
     index = index.withColumn("value", F.explode(F.transform(patterns, lambda p: p.bitwiseXOR(F.col("value")))))
     probes = windows.select("doc", "start", "n", "blocks", F.posexplode("blocks").alias("k", "value"))
+    item_blocks = _sized(marked.select("item", F.col("blocks").alias("item_blocks")))
     distance = F.aggregate(F.zip_with("blocks", "item_blocks", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, d: n + d)
-    near = probes.join(index, ["k", "value", "n"]).where(distance <= RADIUS)
-    near = near.select("doc", "start", "n", "item", distance.alias("distance")).distinct()
+    # The index is thousands of rows an item: always a shuffle join, whatever its size is taken for.
+    met = probes.join(index.hint("merge"), ["k", "value", "n"]).select("doc", "start", "n", "blocks", "item").distinct()
+    near = met.join(item_blocks, "item").where(distance <= RADIUS).select("doc", "start", "n", "item", distance.alias("distance"))
 
     ours = _shingle_counts(windows, "doc", "start", "n")
     theirs = _shingle_counts(known, "item").withColumnRenamed("times", "item_times")
