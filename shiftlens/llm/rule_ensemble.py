@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftlens.llm.quality_rules import measures
-from shiftlens.llm.text import LOWER, UPPER, shared_folder, stored, words
+from shiftlens.llm.text import UPPER, shared_folder, stored, words
 
 
 @dataclass(frozen=True)
@@ -72,9 +72,8 @@ def statistics(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, list[st
     said = F.coalesce(F.col("_text"), F.lit(""))
     share = lambda part, whole: F.coalesce(F.try_divide(part, whole), F.lit(0.0)).cast("double")
     kind = lambda characters: F.char_length(said) - F.char_length(F.translate(said, characters, ""))
-    counts = measures(F.col("_text")) | {
-        "n_chars": F.char_length(said).cast("long"), "n_upper": kind(UPPER).cast("long"), "n_lower": kind(LOWER).cast("long"),
-        "n_digits": kind("0123456789").cast("long"), "n_stops": kind(".,;:?").cast("long"),
+    counts = {name: column for name, column in measures(F.col("_text")).items() if name != "n_repeat_words"} | {
+        "n_chars": F.char_length(said).cast("long"), "n_upper": kind(UPPER).cast("long"),
         "n_different": F.size(F.array_distinct("_words")).cast("long"),
     }
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), words(F.col(text)).alias("_words"))
@@ -83,9 +82,8 @@ def statistics(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, list[st
     stats = {
         "words": n.cast("double"), "word_length": share(F.col("word_chars"), n), "line_words": share(n, F.col("n_lines")),
         "symbols": share(F.col("n_symbols"), n), "shouts": share(F.col("n_shouts"), n), "stop_words": share(F.col("n_stop_words"), n),
-        "repeated": share(F.col("n_repeat_words"), n), "doubled": share(F.col("n_doubled_words"), n), "dup_lines": share(F.col("n_dup_lines"), F.col("n_lines")),
-        "different": share(F.col("n_different"), n), "upper": share(F.col("n_upper"), chars), "lower": share(F.col("n_lower"), chars),
-        "digits": share(F.col("n_digits"), chars), "stops": share(F.col("n_stops"), n),
+        "doubled": share(F.col("n_doubled_words"), n), "dup_lines": share(F.col("n_dup_lines"), F.col("n_lines")),
+        "different": share(F.col("n_different"), n), "upper": share(F.col("n_upper"), chars),
     }
     return counted.select("_key", *(column.alias(name) for name, column in stats.items())), list(stats)
 
