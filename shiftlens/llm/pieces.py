@@ -25,12 +25,22 @@ class Vocabulary:
         self.merge_order = {piece: -self.scores[i] for piece, i in self.ids.items()}
         self.unknown, self.begin, self.end = lib.unk_id(), lib.bos_id(), lib.eos_id()
         self.chunk = _chunk_pattern(list(self.ids))
+        self.neighbours = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
 
     def chunks(self, text: str) -> list[str]:
         """The normalized text in parts that no piece crosses; joined they are the whole, an empty text has none."""
         return self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+    def parts(self, chunk: str) -> list[str]:
+        """A chunk cut between characters that stand side by side in no piece."""
+        near, cuts = self.neighbours, [0]
+        for at in range(1, len(chunk)):
+            if chunk[at - 1 : at + 1] not in near:
+                cuts.append(at)
+        return [chunk[a:b] for a, b in zip(cuts, [*cuts[1:], len(chunk)], strict=True)]
+
+
 def _chunk_pattern(pieces: list[str]) -> re.Pattern:
     """Cuts before runs of spaces and around line ends, if no piece of the vocabulary spans such a cut.
 

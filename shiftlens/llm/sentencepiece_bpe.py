@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from shiftlens.llm.pieces import SPACE, Memory, Vocabulary
 from shiftlens.llm.text import ship_code
 
-#: Lines of the text by which the library checks new chunks.
-LINES = 256
+#: Lines of the text by which the library checks new chunks, and rows whose ids are held as Python numbers at once.
+LINES, ROWS = 256, 128
 
 
 def merge_by_score(vocabulary: Vocabulary, chunk: str) -> list[int]:
@@ -71,6 +71,9 @@ class Codec:
         self.first, self.last = (np.array([i], "<i4").tobytes() for i in (self.vocabulary.begin, self.vocabulary.end))
 
     def _first_time(self, chunk: str) -> bytes:
+        parts = self.vocabulary.parts(chunk)
+        if len(parts) > 1:
+            return b"".join([self.memory[part] for part in parts])
         self.fresh.append(chunk)
         return np.array(merge_by_score(self.vocabulary, chunk), "<i4").tobytes()
 
@@ -104,7 +107,7 @@ def _run(model, key: str, packed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value)
         library = own.vocabulary.library
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = batch.column("_text").to_pylist()
             ids = [own.encode(text) for text in texts]
             agrees = [True] * len(ids)
