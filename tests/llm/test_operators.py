@@ -1,0 +1,228 @@
+"""Operators on training data against brute force, on small fixtures with nulls, empty texts, ties and repeated rows."""
+
+import hashlib
+import math
+import random
+import sys
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from shiftlens.llm import (  # noqa: E402
+    chat, decontaminate, near_dup, pieces, quality_rules, queries, rule_ensemble, sentencepiece_bpe, sharding,
+    suffix_array, suffix_dedup, suffix_tree_lm, token_counts,
+)
+
+SCHEMA = "doc_id long, text string, lang string, n_words string, row string"
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdeéü") for _ in range(rng.randrange(2, 7))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Documents with copies, near copies, shared passages, nulls and extra columns that clash with results."""
+    rng = random.Random(5)
+    base, passage = prose(rng, 120), prose(rng, 90)
+    texts = [None, "", "  \n\t ", "word", "Two words", base, base, base.upper(), passage]
+    for _ in range(12):
+        near = base.split()
+        near[rng.randrange(len(near))] = "changed"
+        texts.append(" ".join(near))
+    texts += [prose(rng, 40) + " " + passage + " " + prose(rng, 30) for _ in range(6)]
+    texts += [prose(rng, rng.randrange(1, 200)) for _ in range(20)] + ["x" * 3000, "long " * 3000, "🙂" * 300]
+    found = [(i, t, "en", "a", "b") for i, t in enumerate(texts)]
+    return [*found, found[9], (None, base, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(4).cache()
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = np.random.default_rng(0)
+    for trial in range(300):
+        s = rng.integers(0, rng.integers(1, 5), rng.integers(1, 40))
+        s = np.tile(s, 4) if trial % 9 == 0 else s
+        data = bytes(s.tolist())
+        order = suffix_array.suffix_array(s)
+        assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+        shared, before = suffix_array.permuted_lcp(s, order)
+        for j, i in zip(order, order[1:], strict=False):
+            n = next((k for k in range(len(data)) if data[i + k : i + k + 1] != data[j + k : j + k + 1] or i + k >= len(data) or j + k >= len(data)), len(data))
+            assert (shared[i], before[i]) == (n, j)
+
+
+def removed_by_force(texts, length):
+    seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = True
+        out.append((len(t), int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum()), np.frombuffer(t, np.uint8)[~gone].tobytes()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("group", [4096, 1])  # 1: every anchor goes the way of a very common one
+def test_suffix_dedup_equals_brute_force(docs, rows, group):
+    got = suffix_dedup.repeated_bytes(docs, 200, group).collect()
+    want = removed_by_force([(r[1] or "").encode() for r in rows], 200)
+    assert sorted((r.n_bytes, len(r.spans), bytes(r.kept)) for r in got) == want
+
+
+def test_suffix_dedup_keeps_characters_and_columns(spark, docs):
+    left = suffix_dedup.without_repeats(docs, 200)
+    assert left.columns == docs.columns and left.count() == docs.count()
+    assert left.where("doc_id = 0").first().text is None
+    assert suffix_dedup.repeated_bytes(empty(spark)).count() == 0
+
+
+def components_by_force(rows, size, percent):
+    sets = []
+    for i, text, *_ in rows:
+        w = suffix_words(text)
+        sets.append((i, frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()))
+    root = {i: i for i, _ in sets}
+    for _ in sets:
+        for i, a in sets:
+            for j, b in sets:
+                if i is not None and j is not None and a and b and 100 * len(a & b) >= percent * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    return sorted((i, len(s), root[i]) for i, s in sets if i is not None)
+
+
+def suffix_words(text):
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return [w for w in low.replace("\n", " ").replace("\t", " ").split(" ") if w]
+
+
+@pytest.mark.parametrize("scheme", [near_dup.Scheme(shingle_words=2), near_dup.Scheme(), near_dup.Scheme(block=2)])
+def test_near_duplicates_equal_brute_force(docs, rows, scheme):
+    got = near_dup.near_duplicates(docs, scheme)
+    named = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect() if r.doc_id is not None)
+    assert named == components_by_force(rows, scheme.shingle_words, scheme.percent)
+    lone = got.where("doc_id IS NULL").first()
+    assert lone.kept and lone.component_id is None
+
+
+def test_near_duplicates_of_nothing(spark):
+    assert near_dup.near_duplicates(empty(spark)).count() == 0
+
+
+def test_quality_rules_columns_and_extremes(spark, docs):
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert got[0].base_failed and not got[0].kept and got[0].n_words == 0
+    assert not got[[k for k, r in got.items() if r.n_repeat_words >= 3000][0]].kept
+    assert quality_rules.keep_good(docs).columns == docs.columns
+    assert quality_rules.judge(empty(spark)).count() == 0
+
+
+def test_items_found_with_changes_at_the_end(spark):
+    rng = random.Random(2)
+    item = prose(rng, 40).split()
+    text = lambda words: f"{prose(rng, 60)} {' '.join(words)} {prose(rng, 50)}"
+    cases = [text(item), text([w.upper() for w in item]), text([*item[:38], "x", "y"]), text([*item[:20], "x", *item[21:]]), prose(rng, 90), None, ""]
+    found = decontaminate.find_items(
+        spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"),
+        spark.createDataFrame([(7, " ".join(item)), (8, None), (9, "")], "item_id long, text string"),
+    ).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 7), (1, 7), (2, 7)]
+    assert {r.doc_id: round(r.similarity, 3) for r in found} == {0: 1.0, 1: 1.0, 2: round(34 / 38, 3)}
+
+
+@pytest.fixture(scope="module")
+def model():
+    return Path(queries.piece_model()).read_bytes()
+
+
+def odd_texts():
+    rng = random.Random(1)
+    made = ["".join(rng.choice(" ab▁éß\n\t\x00<0xA>ﬁ漢 the.,!") for _ in range(rng.randrange(30))) for _ in range(500)]
+    return [*made, "", "  ", " ", "</s>", "<s> x", "<0x0A>"]
+
+
+def test_encoder_equals_library(spark, docs, model):
+    own = sentencepiece_bpe.Codec(model)
+    for text in odd_texts():
+        assert own.encode(text).tolist() == own.vocabulary.library.encode(text, add_bos=True, add_eos=True)
+    assert own.fresh_agree()
+    for r in sentencepiece_bpe.encode_and_decode(docs, queries.piece_model(), keep_row=True).collect():
+        assert r.agrees and r.decoded == (r.row.text or "")
+
+
+def test_counts_equal_unigram_tokenizer(model):
+    tokenizers = pytest.importorskip("tokenizers")
+    own = token_counts.Counter(model)
+    v = own.vocabulary
+    reference = tokenizers.Tokenizer(tokenizers.models.Unigram(list(zip(v.pieces, v.scores, strict=True)), v.unknown, True))
+    for text in odd_texts():
+        ids = reference.encode("▁" + text.replace(" ", "▁")).ids if text else []
+        assert own.count(text) == len(ids)
+
+
+def test_shards_are_even_and_gapless(spark, docs, rows):
+    for shards in (1, 3, 24):
+        got = sharding.assign(docs, shards).collect()
+        by_shard = Counter(r.shard for r in got)
+        assert len(got) == len(rows) and max(by_shard.values()) - (min(by_shard.values()) if len(by_shard) == shards else 0) <= 1
+        assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in by_shard.items())
+    assert sharding.assign(empty(spark), 4).count() == 0
+
+
+def test_events_fold_and_read_back(spark):
+    events = [
+        (1, 0, 0, "user", "delta", "hi "), (1, 1, 0, None, "delta", "the&amp;<s>[re]"), (1, 2, 1, "assistant", "delta", "wrong"),
+        (1, 3, 2, "user", "delta", "gone"), (1, 4, 1, "assistant", "regenerate", "better"), (1, 5, 1, "assistant", "delta", "!"),
+        (1, 6, 2, "user", "delta", "draft"), (1, 7, 2, "user", "edit", None), (None, 0, 0, "assistant", None, "</s>"),
+    ]
+    log = spark.createDataFrame(events, "conv_id long, seq long, turn long, role string, kind string, text string").repartition(3)
+    got = {r.conv_id: r for r in chat.parse(chat.render(chat.fold_events(log))).collect()}
+    assert [(m.role, m.text) for m in got[1].messages] == [("user", "hi the&amp;<s>[re]"), ("assistant", "better!"), ("user", "")]
+    assert "".join(got[1].loss_texts) == "better!" and got[None].loss_texts == ["</s>"]
+    assert chat.render(chat.fold_events(log.limit(0))).count() == 0
+
+
+def test_language_model_without_states_is_the_base(spark, docs):
+    shape = suffix_tree_lm.Shape(context_share=2.0)
+    got = suffix_tree_lm.score_texts(docs, F.coalesce(F.col("doc_id"), F.lit(0)) % 5 == 1, shape).collect()
+    assert all(math.isclose(r.score, r.base_score, rel_tol=1e-9) for r in got)
+    counts = Counter(w for r in docs.collect() if (r.doc_id or 0) % 5 != 1 for w in [*suffix_words(r.text), None])
+    total, norm = sum(counts.values()), sum(counts.values()) + 0.5 * (len(counts) + 1)
+    for r, text in ((r, t) for r in got for t in [next(x.text for x in docs.collect() if x.doc_id == r.doc_id)] if r.doc_id in (0, 5, 11)):
+        want = sum(math.log10((counts[w] + 0.5) / norm) for w in [*suffix_words(text), None])
+        assert r.train_tokens == total and math.isclose(r.base_score, want, rel_tol=1e-9)
+    assert suffix_tree_lm.score_texts(empty(spark), F.lit(False)).count() == 0
+
+
+def test_quality_classifier_held_out(spark):
+    rng = random.Random(3)
+    good = [(i, " ".join(rng.choice(["the", "of", "and", prose(rng, 1)]) for _ in range(rng.randrange(20, 80))), 1) for i in range(120)]
+    bad = [(i, " ".join(prose(rng, 1) + rng.choice("###$$%%") for _ in range(rng.randrange(20, 80))), 0) for i in range(120, 200)]
+    table = spark.createDataFrame([*good, *bad, (900, None, None)], "doc_id long, text string, quality int")
+    scored, ensemble = rule_ensemble.score_quality(table.drop("quality"), table.drop("text"), F.col("doc_id") % 3 == 1, rule_ensemble.Fit(trees=4, depth=3))
+    got = scored.join(table, "doc_id").where("held_out AND quality IS NOT NULL").collect()
+    assert ensemble.rules and np.mean([r.predicted == r.quality for r in got]) > 0.95
+    assert all(0 <= r.score <= 1 for r in scored.collect())
+
+
+def test_digests_of_the_thin_queries(spark, tmp_path):
+    texts = [(0, "a" * 5), (1, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op5_sentencepiece(spark, str(tmp_path)).collect()}
+    ids = pieces.Vocabulary(Path(queries.piece_model()).read_bytes()).library.encode("aaaaa", add_bos=True, add_eos=True)
+    assert got[0].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest() and got[0].n_tokens == len(ids)
+    assert got[1].n_tokens == 2 and got[1].decoded_sha256 == hashlib.sha256(b"").hexdigest()
