@@ -221,7 +221,7 @@ SELECT CAST(year(termination_date) AS INTEGER) AS termination_year, count(*) AS
 SELECT d.department_name, d.department_id, round(avg(date_diff('day', e.hire_date, e.termination_date) // 365), 0) AS avg_tenure_years FROM dim_employee e JOIN dim_department d USING (department_key) WHERE e.termination_date <> DATE '2222-12-31' GROUP BY 1, 2
 """,
     "kpi_avg_hours": """
-SELECT e.employee_id, e.first_name, e.last_name, round(avg(cast(coalesce(f.hours_worked, 0) AS DECIMAL(18,4))), 0) AS avg_daily_hours FROM fact_timesheet f JOIN dim_employee e USING (employee_key) GROUP BY 1, 2, 3
+SELECT e.employee_id, e.first_name, e.last_name, round(CAST(sum(cast(coalesce(f.hours_worked, 0) AS DECIMAL(28,10))) AS DOUBLE) / count(*), 0) + 0.0 AS avg_daily_hours FROM fact_timesheet f JOIN dim_employee e USING (employee_key) GROUP BY 1, 2, 3
 """,
     "kpi_late_arrivals": """
 SELECT e.employee_id, e.first_name, e.last_name, count(*) AS late_days FROM fact_timesheet f JOIN dim_employee e USING (employee_key) WHERE f.punch_in::TIME > (f.scheduled_start::TIME + INTERVAL '5 minutes') GROUP BY 1, 2, 3
@@ -233,7 +233,7 @@ SELECT e.employee_id, e.first_name, e.last_name, count(*) AS early_departure_day
 SELECT employee_key, count(*) AS overtime_count FROM fact_timesheet WHERE punch_in IS NOT NULL AND punch_out IS NOT NULL AND scheduled_start IS NOT NULL AND scheduled_end IS NOT NULL AND ((work_date + punch_out::TIME) - (work_date + punch_in::TIME)) > ((work_date + scheduled_end::TIME) - (work_date + scheduled_start::TIME) + INTERVAL '5 minutes') GROUP BY 1
 """,
     "kpi_rolling_avg_hours": """
-SELECT f.employee_key, e.first_name, e.last_name, f.work_date, f.punch_in, round(avg(cast(f.hours_worked AS DECIMAL(18,4))) OVER (PARTITION BY f.employee_key ORDER BY f.work_date, f.punch_in NULLS FIRST, f.punch_out NULLS FIRST, f.hours_worked ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 0) AS rolling_avg_7days FROM fact_timesheet f JOIN dim_employee e USING (employee_key)
+SELECT f.employee_key, e.first_name, e.last_name, f.work_date, f.punch_in, round(CAST(sum(cast(f.hours_worked AS DECIMAL(28,10))) OVER w AS DOUBLE) / count(f.hours_worked) OVER w, 0) + 0.0 AS rolling_avg_7days FROM fact_timesheet f JOIN dim_employee e USING (employee_key) WINDOW w AS (PARTITION BY f.employee_key ORDER BY f.work_date, f.punch_in NULLS FIRST, f.punch_out NULLS FIRST, f.hours_worked ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 """,
     "kpi_early_attrition": """
 SELECT round(count(*) FILTER (WHERE date_diff('day', hire_date, termination_date) <= 90)::DECIMAL / count(*) * 100, 2) AS early_attrition_rate_percentage FROM dim_employee WHERE termination_date <> DATE '2222-12-31'

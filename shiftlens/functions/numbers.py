@@ -29,5 +29,5 @@ def without_nan(number: Column) -> Column:
 
 
 def round_half_away(number: Column, digits: int = 0) -> Column:
-    """Round the magnitude, half up, and keep the sign, also of a negative that becomes zero."""
-    return F.signum(number) * F.round(F.abs(number), digits)
+    """Round the magnitude, half up, and keep the sign; zero has none."""
+    return F.signum(number) * F.round(F.abs(number), digits) + F.lit(0.0)

@@ -24,8 +24,17 @@ def _if_small(df: DataFrame, limits: Limits) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limits) else df
 
 
+def one_a_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with the same key the one with the largest values, column by column; NULL is the smallest."""
+    others = [c for c in rows.columns if c not in keys]
+    if not others:
+        return rows.distinct()
+    return rows.groupBy(*keys).agg(F.max(F.struct(*others)).alias("__row")).select(*keys, "__row.*").select(*rows.columns)
+
+
 def upsert_by_key(existing: DataFrame, incoming: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Incoming rows replace existing rows of the same key; all others stay."""
+    """Incoming rows, one a key, replace existing rows of the same key; all others stay."""
+    incoming = one_a_key(incoming, keys)
     replaced = _if_small(incoming.select(*keys), limits)
     kept = existing.join(replaced, keys, "left_anti")
     return kept.unionByName(incoming.select(*existing.columns))
@@ -34,7 +43,7 @@ def upsert_by_key(existing: DataFrame, incoming: DataFrame, keys: list[str], lim
 def absent_rows(existing: DataFrame, incoming: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Incoming rows, one a key, whose key the table does not have yet."""
     known = _if_small(existing.select(*keys), limits)
-    return incoming.dropDuplicates(keys).join(known, keys, "left_anti")
+    return one_a_key(incoming, keys).join(known, keys, "left_anti")
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame:

@@ -91,9 +91,14 @@ def surrogate_keys(
 
 
 def page(df: DataFrame, order: list[Column], number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Rows of one page. Early pages are a top-k; late ones are cut from the global order."""
+    """Rows of one page. Early pages are a top-k; late ones are cut from the global order.
+
+    The order is completed by all columns, so that only exact copies tie: pages neither lose nor repeat a row,
+    whichever way each of them is found.
+    """
     if number < 1 or not 1 <= size <= 100:
         raise ValueError("page numbers start at 1 and a page has 1 to 100 rows")
+    order = [*order, *(F.col(c).asc_nulls_first() for c in df.columns)]
     skip = (number - 1) * size
     if skip + size <= limits.deep_page_rows:
         return df.orderBy(*order).offset(skip).limit(size)

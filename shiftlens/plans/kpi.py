@@ -102,11 +102,15 @@ def _by_name(per_key: DataFrame, dim_employee: DataFrame) -> DataFrame:
     return per_key.join(dim_employee.select("employee_key", *_NAMES), "employee_key").groupBy(*_NAMES)
 
 
+#: Hours are summed exactly, in any order of rows; beyond 28 digits they are left out and a sum is NULL.
+_HOURS = "decimal(38,10)"
+
+
 def avg_hours(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """KPI 4: mean hours per fact row."""
-    hours = F.coalesce(F.col("hours_worked"), F.lit(0.0)).cast("decimal(18,4)")
-    per_key = fact.groupBy("employee_key").agg(F.sum(hours).alias("hours"), F.count(F.lit(1)).alias("n"))
-    mean = F.sum("hours").cast("double") / F.sum("n")
+    hours = F.coalesce(F.col("hours_worked"), F.lit(0.0)).try_cast(_HOURS)
+    per_key = fact.groupBy("employee_key").agg(F.try_sum(hours).alias("hours"), F.count(F.lit(1)).alias("n"))
+    mean = F.try_sum("hours").cast("double") / F.sum("n")
     return _by_name(per_key, dim_employee).agg(round_half_away(mean).alias("avg_daily_hours")).orderBy(F.desc("avg_daily_hours"))
 
 
@@ -161,8 +165,8 @@ _FRAME_ROWS = 7
 
 def _rolling_mean(*partition: str, order: list[Column]) -> Column:
     frame = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1 - _FRAME_ROWS, Window.currentRow)
-    hours = F.col("hours_worked").cast("decimal(18,4)")
-    return round_half_away(F.try_divide(F.sum(hours).over(frame).cast("double"), F.count(hours).over(frame)))
+    hours = F.col("hours_worked").try_cast(_HOURS)
+    return round_half_away(F.try_divide(F.try_sum(hours).over(frame).cast("double"), F.count(hours).over(frame)))
 
 
 def _rolling_of_hot(fact: DataFrame) -> DataFrame:

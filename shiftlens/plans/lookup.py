@@ -11,7 +11,7 @@ from ..operators.joins import sized_join
 from ..operators.ordering import page
 
 def latest_first() -> list[Column]:
-    """Order of timesheet listings: latest first, completed to a total order."""
+    """Order of timesheet listings: latest first; ``page`` completes it to a total order."""
     return [
         F.desc("work_date"), F.asc("employee_key"), F.asc_nulls_first("punch_in"),
         F.asc_nulls_first("punch_out"), F.asc("hours_worked"),
