@@ -71,8 +71,10 @@ def find_items(docs: DataFrame, items: DataFrame, percent: int = 80, key: str =
     start = F.greatest(F.least(F.col("place") - F.col("at"), latest), F.lit(0))
     laid = stored(runs.join(_sized(anchors), "shingle").select("doc", "n", start.alias("start")).distinct())
 
-    spots = laid.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spots"))
-    cut = named.join(_sized(stored(spots)), "doc").select("doc", "w", F.explode("spots").alias("spot"))
+    # Bounded by the spots themselves, since a document may hold any number of them.
+    spots = stored(laid.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spots")))
+    few = laid.count() <= BROADCAST_ROWS
+    cut = named.join(F.broadcast(spots) if few else spots, "doc").select("doc", "w", F.explode("spots").alias("spot"))
     windows = cut.select("doc", "spot.start", "spot.n", F.slice("w", F.col("spot.start") + 1, F.col("spot.n")).alias("w"))
     windows = stored(windows.withColumn("blocks", _fingerprint(F.col("w"))))
 
