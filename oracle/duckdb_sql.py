@@ -116,10 +116,10 @@ BODIES = {
 SELECT source_file, loaded_at, count(*) AS n FROM raw_timesheet GROUP BY ALL
 """,
     "bronze_load_employee": """
-SELECT * FROM raw_employee
+SELECT * REPLACE (nullif(last_name, '') AS last_name) FROM raw_employee
 """,
     "bronze_load_timesheet": """
-SELECT * FROM raw_timesheet
+SELECT * REPLACE (nullif(punch_in_datetime, '') AS punch_in_datetime) FROM raw_timesheet
 """,
     "bronze_new_files": """
 SELECT source_file, count(*) AS n FROM raw_timesheet WHERE source_file NOT IN ('timesheet_0.csv','timesheet_1.csv') GROUP BY 1
@@ -258,6 +258,9 @@ SELECT count(*) AS total FROM fact_timesheet WHERE work_date >= DATE '2024-01-05
 """,
     "employee_timesheets": """
 SELECT f.employee_key, f.work_date, f.punch_in, f.hours_worked FROM fact_timesheet f JOIN dim_employee e USING (employee_key) WHERE e.employee_id = '5' ORDER BY work_date DESC, f.employee_key, punch_in NULLS FIRST, punch_out NULLS FIRST, hours_worked LIMIT 20
+""",
+    "employee_timesheets_by_key": """
+SELECT employee_key, work_date, punch_in, hours_worked FROM fact_timesheet WHERE employee_key = (SELECT min(employee_key) FROM dim_employee WHERE employee_id = '5') ORDER BY work_date DESC, punch_in NULLS FIRST, punch_out NULLS FIRST, hours_worked LIMIT 20
 """,
     "timesheet_with_employee": """
 SELECT f.employee_key, f.work_date, f.punch_in, f.punch_out, f.hours_worked, e.employee_id, e.first_name, e.job_title FROM fact_timesheet f LEFT JOIN dim_employee e USING (employee_key)

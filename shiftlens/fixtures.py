@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .sources import paths
-
 _RAW_EMPLOYEE = {
     "client_employee_id": """CASE c_custkey % 3 WHEN 0 THEN '"' || CAST(c_custkey AS STRING) || '"'
         WHEN 1 THEN '  ' || CAST(c_custkey AS STRING) || ' ' ELSE CAST(c_custkey AS STRING) END""",
@@ -53,10 +51,6 @@ def _columns(expressions: dict[str, str]) -> list[str]:
     return [f"{e} AS {name}" for name, e in expressions.items()]
 
 
-# The test tables that the raw rows come from.
-INPUTS = ("customer", "nation", "events")
-
-
 def path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -65,11 +59,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path(sf_dir, name))
 
 
-def version(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Changes when the table is written again."""
-    return paths.last_change(spark, path(sf_dir, name))
-
-
 def raw_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey).where("c_custkey % 7 <> 3")

@@ -11,8 +11,8 @@ from ..config import DEFAULT_LIMITS, Limits, scratch_path
 from ..functions.dates import ntz
 from ..operators.merge import absent_rows, calendar_ids, upsert_by_key
 from ..schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS
-from ..sources import tables as t
-from ..sources.files import base_name, discover, scan_delimited
+from ..sources import paths, tables as t
+from ..sources.files import discover, relative_name, scan_delimited
 from ..sources.tables import Warehouse
 from . import gold, quality, silver
 
@@ -32,21 +32,25 @@ def load_files(
     data_dir: str,
     loaded_at: dt.datetime,
     recursive: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> int:
-    """Load the files of one table that it does not have yet, in one commit."""
-    loaded = warehouse.loaded_files(table)
-    fresh = [f for f in discover(warehouse.spark, data_dir, prefix, recursive=recursive) if base_name(f) not in loaded]
+    """Load the files of one table that it does not have yet, in one commit.
+
+    A file is known by its path below ``data_dir``: equal names in two folders are two files.
+    """
+    loaded, root = warehouse.loaded_files(table), paths.qualified(warehouse.spark, data_dir)
+    found = discover(warehouse.spark, data_dir, prefix, recursive=recursive)
+    fresh = [f for f in found if relative_name(f, root) not in loaded]
     if not fresh:
         return 0
-    warehouse.add(table, scan_delimited(warehouse.spark, fresh, columns, loaded_at, multi_line=multi_line))
+    warehouse.add(table, scan_delimited(warehouse.spark, fresh, columns, loaded_at, multi_line=multi_line, root=root))
     # Counted in the footers of the files written, not by a second scan of the text.
     of_today = warehouse.read(table, with_helpers=True).where(F.col(t.LOAD_DATE) == ntz(loaded_at).cast("date"))
     return of_today.where(F.col("loaded_at") == ntz(loaded_at)).count()
 
 
 def load_bronze(
-    warehouse: Warehouse, data_dir: str, loaded_at: dt.datetime, recursive: bool = False, multi_line: bool = False
+    warehouse: Warehouse, data_dir: str, loaded_at: dt.datetime, recursive: bool = False, multi_line: bool | None = None
 ) -> dict[str, int]:
     """Load files never loaded before, each table in one commit."""
     kind = (data_dir, loaded_at, recursive, multi_line)
@@ -76,16 +80,16 @@ def _transform(warehouse: Warehouse, raw_table: str, stg_table: str, clean, now:
     """Clean the new raw rows into staging, then move the mark: batch, rows read, rows kept."""
     name = raw_table.rsplit("/", 1)[-1]
     mark = silver.watermark_of(warehouse.read(t.WATERMARK), name)
-    batch = silver.batch_id(name, mark)
+    batch, key = silver.batch_id(name, mark), silver.batch_key(mark)
     rows = _unprocessed(warehouse, raw_table, mark)
     found = rows.agg(F.count(F.lit(1)).alias("n"), F.max("loaded_at").alias("last")).first()
     if not found.n:
         return batch, 0, 0
     # Later arrivals belong to the next run.
     cleaned = clean(rows.where(F.col("loaded_at") <= ntz(found.last)))
-    warehouse.add(stg_table, silver.stamp(cleaned, batch, now))
+    warehouse.add(stg_table, silver.stamp(cleaned, batch, now), key)
     _advance(warehouse, name, found.last, now)
-    return batch, found.n, warehouse.read(stg_table).where(F.col("etl_batch_id") == batch).count()
+    return batch, found.n, warehouse.read(stg_table, with_helpers=True).where(F.col(t.BATCH_KEY) == key).count()
 
 
 def transform_silver(
@@ -201,10 +205,11 @@ def run_medallion(
     as_of: dt.date,
     skip_on_validation_fail: bool = False,
     date_formats: Sequence[str] = (),
+    recursive: bool = False,
     limits: Limits = DEFAULT_LIMITS,
 ) -> dict:
     """All layers in order; results of each."""
-    results: dict = {"bronze": load_bronze(warehouse, data_dir, loaded_at)}
+    results: dict = {"bronze": load_bronze(warehouse, data_dir, loaded_at, recursive)}
     results["silver"] = transform_silver(warehouse, loaded_at, date_formats=date_formats, limits=limits)
     results["valid"] = check_gate(results["silver"], skip_on_validation_fail)
     results["gold"] = load_gold(warehouse, as_of, limits=limits)

@@ -169,5 +169,10 @@ def batch_id(table: str, watermark: dt.datetime | str) -> str:
     return hashlib.md5(f"{table}@{watermark}".encode()).hexdigest()[:8]
 
 
+def batch_key(watermark: dt.datetime) -> str:
+    """The partition of a batch: its mark in full, so no two batches of a table share it."""
+    return watermark.isoformat(timespec="microseconds").replace(":", "")
+
+
 def stamp(df: DataFrame, etl_batch_id: str, processed_at: dt.datetime | str) -> DataFrame:
     return df.withColumns({"etl_batch_id": F.lit(etl_batch_id), "processed_at": ntz(processed_at)})

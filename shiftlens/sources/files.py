@@ -26,10 +26,27 @@ def discover(spark: SparkSession, root: str, prefix: str, suffix: str = ".csv",
     return [p for p in names if base_name(p).startswith(prefix) and p.endswith(suffix)]
 
 
-def source_name() -> Column:
-    """Name of the file a scanned row comes from, as the listing shows it."""
-    encoded = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+def relative_name(path: str, root: str) -> str:
+    """A file by its path below the root, itself in full and without its store."""
+    return paths.local_part(path)[len(root.rstrip("/")) + 1 :]
+
+
+def _scanned_path() -> Column:
+    """Path of the file a row comes from, as the listing shows it, without its store."""
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, paths.STORE, "")
+
+
+def source_name(root: str | None = None) -> Column:
+    """The file a scanned row comes from: its path below the root, or its name alone."""
+    path = _scanned_path()
+    return F.element_at(F.split(path, "/"), -1) if root is None else F.substr(path, F.lit(len(root.rstrip("/")) + 2))
+
+
+def files_with_line_breaks(spark: SparkSession, files: Sequence[str]) -> set[str]:
+    """Files, without their store, where a quoted field spans lines: some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return {r.path for r in spark.read.text(list(files)).where(quotes % 2 == 1).select(_scanned_path().alias("path")).distinct().collect()}
 
 
 def header_of(spark: SparkSession, path: str, sep: str = "|") -> tuple[str, ...]:
@@ -45,38 +62,42 @@ def scan_delimited(
     columns: Sequence[str],
     loaded_at: dt.datetime | str,
     sep: str = "|",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """Read files as text columns with lineage; columns a file lacks are NULL.
 
     Files are grouped by header, so each is read by its own column order, with one scan per
-    layout. Without ``multi_line`` large files split over tasks; set it only for files with
-    line breaks inside quotes.
+    layout. Files with line breaks inside quotes are found by a scan of their lines and read
+    whole, all others split over tasks; ``multi_line`` saves that scan by saying it for all.
+    ``source_file`` is the path below ``root``, or without it the name of the file.
     """
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    files = list(files)
+    broken = files_with_line_breaks(spark, files) if multi_line is None and files else set()
+    layouts: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
     for f in files:
-        layouts[header_of(spark, f, sep)].append(f)
-    layouts.pop((), None)  # empty files
+        if header := header_of(spark, f, sep):  # none in an empty file
+            layouts[header, bool(multi_line) or paths.local_part(f) in broken].append(f)
 
-    def read(header: tuple[str, ...], members: list[str]) -> DataFrame:
+    def read(header: tuple[str, ...], whole: bool, members: list[str]) -> DataFrame:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
         scan = (
             spark.read.schema(schema)
-            .options(sep=sep, quote='"', escape='"', header=True, multiLine=multi_line)
+            .options(sep=sep, quote='"', escape='"', header=True, multiLine=whole)
             .csv(members)
         )
         wanted = [(F.nullif(F.col(c), F.lit("")) if c in header else F.lit(None).cast("string")).alias(c) for c in columns]
-        return scan.select(*wanted, source_name().alias("source_file"), ntz(loaded_at).alias("loaded_at"))
+        return scan.select(*wanted, source_name(root).alias("source_file"), ntz(loaded_at).alias("loaded_at"))
 
     if not layouts:
         empty = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "source_file")])
         return spark.createDataFrame([], empty).withColumn("loaded_at", ntz(loaded_at))
-    return reduce(DataFrame.unionByName, [read(h, m) for h, m in layouts.items()])
+    return reduce(DataFrame.unionByName, [read(*layout, members) for layout, members in layouts.items()])
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
-    """Write quoted text files that ``scan_delimited`` reads back unchanged."""
-    df.write.options(
+def write_delimited(df: DataFrame, path: str, sep: str = "|", prefix: str = "part", by: Sequence[str] = ()) -> None:
+    """Add quoted text files that ``scan_delimited`` reads back unchanged, their names with a prefix, in folders ``by`` columns."""
+    df.write.mode("append").partitionBy(*by).option("mapreduce.output.basename", prefix).options(
         sep=sep, quote='"', escape='"', quoteAll=True, header=True, emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)

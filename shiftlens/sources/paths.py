@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
+#: What comes before the path proper in the name of a file.
+STORE = r"^[^/:]+:(//[^/]*)?"
+
 
 def _open(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def local_part(path: str) -> str:
+    """A path without its store."""
+    return re.sub(STORE, "", path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path in full, without its store."""
+    fs, p = _open(spark, path)
+    return local_part(fs.makeQualified(p).toString())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _open(spark, path)
     return fs.exists(p)
@@ -40,12 +56,6 @@ def first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
-def last_change(spark: SparkSession, path: str) -> str:
-    fs, p = _open(spark, path)
-    status = fs.getFileStatus(p)
-    return f"{status.getLen()}@{status.getModificationTime()}"
-
-
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)

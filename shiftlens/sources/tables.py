@@ -23,7 +23,7 @@ WATERMARK = "staging/etl_watermark"
 DIM_EMPLOYEE, DIM_DEPARTMENT = "public/dim_employee", "public/dim_department"
 DIM_DATE, FACT_TIMESHEET = "public/dim_date", "public/fact_timesheet"
 
-LOAD_DATE, WORK_MONTH = "load_date", "work_month"
+LOAD_DATE, WORK_MONTH, BATCH_KEY = "load_date", "work_month", "batch_key"
 
 SCHEMAS = {
     RAW_EMPLOYEE: schemas.RAW_EMPLOYEE,
@@ -41,13 +41,13 @@ SCHEMAS = {
 PARTITIONS = {
     RAW_EMPLOYEE: (LOAD_DATE, "source_file"),
     RAW_TIMESHEET: (LOAD_DATE, "source_file"),
-    STG_EMPLOYEE: ("etl_batch_id",),
-    STG_TIMESHEET: ("etl_batch_id",),
+    STG_EMPLOYEE: (BATCH_KEY,),
+    STG_TIMESHEET: (BATCH_KEY,),
     FACT_TIMESHEET: (WORK_MONTH,),
 }
 # Columns numbered while a table is written.
 ROW_IDS = {FACT_TIMESHEET: "id"}
-_HELPERS = {LOAD_DATE: T.DateType(), WORK_MONTH: T.StringType()}
+_HELPERS = {LOAD_DATE: T.DateType(), WORK_MONTH: T.StringType(), BATCH_KEY: T.StringType()}
 
 
 @dataclass(frozen=True)
@@ -82,18 +82,25 @@ class Warehouse:
         dates = F.col("work_date").between(F.lit(first), F.lit(last))
         return self.read(FACT_TIMESHEET, with_helpers=True).where(months & dates).drop(WORK_MONTH)
 
-    def _with_helpers(self, name: str, df: DataFrame) -> DataFrame:
+    def _with_helpers(self, name: str, df: DataFrame, batch_key: str | None = None) -> DataFrame:
         out = df.select(*[c for c in SCHEMAS[name].fieldNames() if c != ROW_IDS.get(name)])
         if LOAD_DATE in PARTITIONS.get(name, ()):
             out = out.withColumn(LOAD_DATE, F.to_date("loaded_at"))
         if WORK_MONTH in PARTITIONS.get(name, ()):
             out = out.withColumn(WORK_MONTH, F.date_format("work_date", "yyyy-MM"))
+        if BATCH_KEY in PARTITIONS.get(name, ()):
+            out = out.withColumn(BATCH_KEY, F.lit(batch_key))
         return out
 
-    def add(self, name: str, df: DataFrame) -> None:
-        """Add the partitions of one load in a single commit."""
+    def add(self, name: str, df: DataFrame, batch_key: str | None = None) -> None:
+        """Add the partitions of one load in a single commit; those of the same batch are replaced.
+
+        Staging tables need the key of the batch, unlike its short id never the same for two batches.
+        """
+        if BATCH_KEY in PARTITIONS[name] and not batch_key:
+            raise ValueError(f"{name} is stored by batch: the key of the batch is missing")
         (
-            self._with_helpers(name, df)
+            self._with_helpers(name, df, batch_key)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITIONS[name])
@@ -133,6 +140,6 @@ class Warehouse:
             paths.remove(self.spark, old)
 
     def loaded_files(self, name: str) -> set[str]:
-        """Names of loaded files, from the folder names alone."""
+        """Loaded files by their paths below the folder of the load, from the folder names alone."""
         found = paths.glob(self.spark, f"{self.path(name)}/{LOAD_DATE}=*/source_file=*")
         return {unquote(p.rsplit("/source_file=", 1)[1]) for p in found}

@@ -2,7 +2,8 @@
 
 The streaming checkpoint takes the place of the list of loaded files and of the stored
 high-water marks. Each micro-batch overwrites its own partition, so a repeated batch
-leaves no duplicates.
+leaves no duplicates. The partition carries the id that the checkpoint gave the stream, so
+a new checkpoint, whose batches count from zero again, replaces nothing of an older one.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.dates import ntz
 from ..plans.silver import clean_timesheet, keep_known, stamp
 from ..sources.files import source_name
+from ..sources.tables import BATCH_KEY
 
 
 def file_stream(
@@ -25,12 +27,16 @@ def file_stream(
     loaded_at: dt.datetime | str,
     sep: str = "|",
     files_per_batch: int = 1000,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Delimited files of one layout as a stream of text rows with lineage."""
+    """Delimited files of one layout as a stream of text rows with lineage.
+
+    Line breaks inside quotes are read right; without them, ``multi_line=False`` splits large files over tasks.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     return (
         spark.readStream.schema(schema)
-        .options(sep=sep, quote='"', escape='"', header=True, pathGlobFilter=f"{prefix}*.csv", maxFilesPerTrigger=files_per_batch)
+        .options(sep=sep, quote='"', escape='"', header=True, multiLine=multi_line, pathGlobFilter=f"{prefix}*.csv", maxFilesPerTrigger=files_per_batch)
         .csv(data_dir)
         .select(
             *[F.nullif(F.col(c), F.lit("")).alias(c) for c in header],
@@ -48,14 +54,16 @@ def run_available(rows: DataFrame, write_batch: Callable[[DataFrame, int], None]
 def batch_writer(
     target: str, transform: Callable[[DataFrame], DataFrame], processed_at: dt.datetime | str
 ) -> Callable[[DataFrame, int], None]:
-    """Write each micro-batch into the partition of its number."""
+    """Write each micro-batch into the partition of its stream and number."""
 
     def write(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         (
             stamp(transform(batch), f"{number:08x}", processed_at)
+            .withColumn(BATCH_KEY, F.lit(f"{stream}-{number:08x}"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("etl_batch_id")
+            .partitionBy(BATCH_KEY)
             .parquet(target)
         )
 

@@ -17,36 +17,19 @@ from .operators import checks, merge
 from .plans import gold, kpi, lookup, medallion, quality, silver
 from .schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS, STG_TIMESHEET
 from .sources.files import discover, new_files, scan_delimited, write_delimited
-from .sources.tables import Warehouse
+from .sources.tables import BATCH_KEY, RAW_EMPLOYEE, RAW_TIMESHEET, STG_EMPLOYEE, STG_TIMESHEET as STAGED_TIMESHEET, Warehouse
 from .streaming.incremental import stream_silver_timesheets
 
 AS_OF = dt.date(2025, 1, 1)
 LOADED_AT = "2025-01-01 00:00:00"
 
 
-# Star-schema tables by session and input. They are written once, as the full run writes
-# them, and KPIs, lookups and checks read the stored columns they need.
-_STORED: dict[tuple, DataFrame] = {}
-
-
 class Layers:
-    """The layers over one folder of test tables, each built from the one before on first use."""
+    """The layers over one folder of test tables, each built from the one before. Every query builds its own."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        inputs = (fixtures.version(self.spark, self.sf_dir, table) for table in fixtures.INPUTS)
-        place = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, *inputs, name)
-        if place not in _STORED:
-            _STORED[place] = build()
-        return _STORED[place]
-
-    def _written(self, name: str, rows: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
     @cached_property
     def raw_employee(self) -> DataFrame:
         return fixtures.raw_employee(self.spark, self.sf_dir)
@@ -69,28 +52,19 @@ class Layers:
 
     @cached_property
     def dim_department(self) -> DataFrame:
-        # Numbering has written the rows already.
-        return self._once("dim_department", lambda: gold.dim_department(self.stg_employee, AS_OF))
+        return gold.dim_department(self.stg_employee, AS_OF)
 
     @cached_property
     def dim_employee(self) -> DataFrame:
-        return self._once("dim_employee", lambda: gold.dim_employee(self.stg_employee, self.dim_department, AS_OF))
-
-    @cached_property
-    def new_dates(self) -> DataFrame:
-        return gold.dim_date(self.stg_timesheet)
+        return gold.dim_employee(self.stg_employee, self.dim_department, AS_OF)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._once("dim_date", lambda: self._written("dim_date", self.new_dates))
-
-    @cached_property
-    def new_facts(self) -> DataFrame:
-        return gold.fact_timesheet(self.clean_timesheet, self.dim_employee)
+        return gold.dim_date(self.stg_timesheet)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self._once("fact", lambda: self._written("fact", self.new_facts))
+        return gold.fact_timesheet(self.clean_timesheet, self.dim_employee)
 
     @property
     def star(self) -> dict[str, DataFrame]:
@@ -115,8 +89,29 @@ def bronze_scan_csv(x: Layers) -> DataFrame:
     return scan_delimited(x.spark, files, RAW_TIMESHEET_COLUMNS, LOADED_AT).drop("source_file")
 
 
+def _loaded(x: Layers, table: str, prefix: str, rows: DataFrame, columns: tuple[str, ...], arrivals: list[dt.datetime]) -> DataFrame:
+    """The raw table after its files arrived and were loaded one time after the other, sources by their fixture names."""
+    warehouse, folder = Warehouse(x.spark, scratch_path(x.spark, "raw")), scratch_path(x.spark, f"files-{prefix}")
+    for at in arrivals:
+        arrived = rows.where(F.col("loaded_at") == F.lit(at).cast("timestamp_ntz"))
+        write_delimited(arrived.select(*columns, "source_file"), folder, prefix=prefix, by=["source_file"])
+        medallion.load_files(warehouse, table, prefix, columns, folder, at, recursive=True)
+    raw = warehouse.read(table)
+    return raw.withColumn("source_file", F.regexp_extract("source_file", "^source_file=([^/]+)/", 1))
+
+
+def bronze_load_employee(x: Layers) -> DataFrame:
+    days = [dt.datetime(2025, 1, day) for day in (1, 2, 3)]
+    return _loaded(x, RAW_EMPLOYEE, "employee", x.raw_employee, RAW_EMPLOYEE_COLUMNS, days)
+
+
+def bronze_load_timesheet(x: Layers) -> DataFrame:
+    hours = [dt.datetime(2025, 1, 1, hour, 0, 0, 500_000) for hour in range(4)]
+    return _loaded(x, RAW_TIMESHEET, "timesheet", x.raw_timesheet, RAW_TIMESHEET_COLUMNS, hours)
+
+
 def bronze_lineage(x: Layers) -> DataFrame:
-    return x.raw_timesheet.groupBy("source_file", "loaded_at").agg(_n())
+    return bronze_load_timesheet(x).groupBy("source_file", "loaded_at").agg(_n())
 
 
 def bronze_new_files(x: Layers) -> DataFrame:
@@ -199,7 +194,7 @@ def stream_incremental_silver(x: Layers) -> DataFrame:
         fixtures.timesheets_from_events(stream), x.stg_employee, target, scratch_path(x.spark, "stream-state"), LOADED_AT
     )
     staged = x.spark.read.schema(STG_TIMESHEET).parquet(target)
-    return staged.drop("etl_batch_id", "processed_at")
+    return staged.drop("etl_batch_id", "processed_at", BATCH_KEY)
 
 
 # Star schema
@@ -224,29 +219,24 @@ def insert_if_absent(x: Layers) -> DataFrame:
 
 
 def refresh_fact(x: Layers) -> DataFrame:
-    """Rebuild the fact into a stored table and count what was written."""
-    target = scratch_path(x.spark, "refresh-fact")
-    x.new_facts.write.parquet(target)
-    return x.spark.read.schema(x.new_facts.schema).parquet(target).agg(F.count(F.lit(1)).alias("records"))
+    """Rebuild the stored fact from stored staging tables."""
+    warehouse = Warehouse(x.spark, scratch_path(x.spark, "refresh-fact"))
+    for name, rows in ((STG_EMPLOYEE, x.stg_employee), (STAGED_TIMESHEET, x.stg_timesheet)):
+        key = silver.batch_key(silver.BEGINNING)
+        warehouse.add(name, silver.stamp(rows, silver.batch_id(name, silver.BEGINNING), LOADED_AT), key)
+    result = medallion.refresh_fact(warehouse, AS_OF)
+    return x.spark.range(1).select(F.lit(result["records"]).cast("long").alias("records"))
 
 
 def medallion_run(x: Layers) -> DataFrame:
     """Delimited files to the stored star schema, run twice: the second run finds nothing new."""
     folder = scratch_path(x.spark, "medallion")
-    for prefix, rows in (
-        ("employee", x.raw_employee.select(*RAW_EMPLOYEE_COLUMNS)), ("timesheet", x.raw_timesheet.select(*RAW_TIMESHEET_COLUMNS)),
-    ):
-        write_delimited(rows, f"{folder}/{prefix}")
+    write_delimited(x.raw_employee.select(*RAW_EMPLOYEE_COLUMNS), folder, prefix="employee")
+    write_delimited(x.raw_timesheet.select(*RAW_TIMESHEET_COLUMNS), folder, prefix="timesheet")
     warehouse = Warehouse(x.spark, scratch_path(x.spark, "warehouse"))
     for hour in (1, 2):
-        loaded_at = dt.datetime(2025, 1, 1, hour)
-        for table, prefix, columns in (
-            ("raw/raw_employee", "employee", RAW_EMPLOYEE_COLUMNS), ("raw/raw_timesheet", "timesheet", RAW_TIMESHEET_COLUMNS),
-        ):
-            medallion.load_files(warehouse, table, "part-", columns, f"{folder}/{prefix}", loaded_at)
-        medallion.transform_silver(warehouse, loaded_at, validate=False)
-        medallion.load_gold(warehouse, AS_OF)
-    return quality.post_load_counts(**medallion.star_tables(warehouse))
+        results = medallion.run_medallion(warehouse, folder, dt.datetime(2025, 1, 1, hour), AS_OF)
+    return results["post_load_validation"]
 
 
 # Lookups and changes
@@ -268,6 +258,13 @@ def employee_timesheets(x: Layers) -> DataFrame:
     return rows.select("employee_key", "work_date", "punch_in", "hours_worked")
 
 
+def employee_timesheets_by_key(x: Layers) -> DataFrame:
+    """The page of an employee whose key was looked up before."""
+    key = x.dim_employee.where(F.col("employee_id") == "5").agg(F.min("employee_key")).first()[0]
+    rows, _ = lookup.employee_timesheets(x.fact, x.dim_employee, key)
+    return rows.select("employee_key", "work_date", "punch_in", "hours_worked")
+
+
 def timesheet_with_employee(x: Layers) -> DataFrame:
     return lookup.with_employee(x.fact, x.dim_employee).select(
         "employee_key", "work_date", "punch_in", "punch_out", "hours_worked",
@@ -314,8 +311,8 @@ def silver_report(x: Layers) -> DataFrame:
 QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "bronze_scan_csv": bronze_scan_csv,
     "bronze_lineage": bronze_lineage,
-    "bronze_load_employee": lambda x: x.raw_employee,
-    "bronze_load_timesheet": lambda x: x.raw_timesheet,
+    "bronze_load_employee": bronze_load_employee,
+    "bronze_load_timesheet": bronze_load_timesheet,
     "bronze_new_files": bronze_new_files,
     "watermark_state": watermark_state,
     "incremental_employees": incremental_employees,
@@ -339,8 +336,8 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "date_parts": date_parts,
     "dim_department": lambda x: x.dim_department,
     "dim_employee": lambda x: x.dim_employee,
-    "dim_date": lambda x: x.new_dates,
-    "fact_timesheet": lambda x: x.new_facts,
+    "dim_date": lambda x: x.dim_date,
+    "fact_timesheet": lambda x: x.fact,
     "surrogate_keys": lambda x: x.dim_employee.select("employee_id", "employee_key"),
     "upsert_by_key": upsert_by_key,
     "insert_if_absent": insert_if_absent,
@@ -369,6 +366,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "list_timesheets": lambda x: list_timesheets(x)[0],
     "list_timesheets_total": lambda x: list_timesheets(x)[1],
     "employee_timesheets": employee_timesheets,
+    "employee_timesheets_by_key": employee_timesheets_by_key,
     "timesheet_with_employee": timesheet_with_employee,
     "insert_employees": insert_employees,
     "update_employees": update_employees,

@@ -132,7 +132,7 @@ def test_a_repeated_silver_batch_replaces_itself(spark, place, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     medallion.load_bronze(warehouse, source, hour(1))
     rows = silver.stamp(silver.clean_employee(warehouse.read(t.RAW_EMPLOYEE)), silver.batch_id("raw_employee", silver.BEGINNING), hour(1))
-    warehouse.add(t.STG_EMPLOYEE, rows)  # a run that stopped before it moved its mark
+    warehouse.add(t.STG_EMPLOYEE, rows, silver.batch_key(silver.BEGINNING))  # a run that stopped before it moved its mark
     medallion.transform_silver(warehouse, hour(2))
     assert warehouse.read(t.STG_EMPLOYEE).count() == 3
     assert medallion.transform_silver(warehouse, hour(3))["employees"] == 0
@@ -208,6 +208,32 @@ def test_streams(spark, place, tmp_path):
     assert load() == (3, 2)  # nothing new
     put("timesheet_2.csv", MORE_TIMESHEETS)
     assert load() == (4, 3)
+    # A new checkpoint counts its batches from zero again and replaces nothing.
+    stream = file_stream(spark, source, "timesheet", header, hour(2))
+    run_available(stream, batch_writer(raw, lambda b: b, hour(2)), str(tmp_path / "new-state"))
+    assert spark.read.parquet(raw).count() == 8
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    header = "client_employee_id|last_name"
+    for folder, rows in (("a", "1|x"), ("b", '2|"two\nlines"\n3|y')):
+        (tmp_path / "files" / folder).mkdir(parents=True)
+        (tmp_path / "files" / folder / "employee_1.csv").write_text(f"{header}\n{rows}\n")
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    source = str(tmp_path / "files")
+    assert medallion.load_bronze(warehouse, source, hour(1), recursive=True)["employees"] == 3
+    assert medallion.load_bronze(warehouse, source, hour(2), recursive=True)["employees"] == 0
+    rows = {(r.source_file, r.client_employee_id, r.last_name) for r in warehouse.read(t.RAW_EMPLOYEE).collect()}
+    assert rows == {("a/employee_1.csv", "1", "x"), ("b/employee_1.csv", "2", "two\nlines"), ("b/employee_1.csv", "3", "y")}
+
+
+def test_batches_of_one_short_id_are_kept_apart(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    empty = warehouse.read(t.STG_EMPLOYEE)
+    for mark in (hour(1), hour(2)):
+        rows = spark.createDataFrame([(str(mark),)], "employee_id string").unionByName(empty, allowMissingColumns=True)
+        warehouse.add(t.STG_EMPLOYEE, silver.stamp(rows, "00000000", mark), silver.batch_key(mark))
+    assert warehouse.read(t.STG_EMPLOYEE).count() == 2
 
 
 def test_silver_report(spark):
