@@ -1,18 +1,20 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Contexts of up to two words are states of the tree. A context is a candidate if it has at least the share
-``context_share`` of all training tokens, and is kept if the distribution of the next token after it diverges from
-the one after its own suffix by ``divergence`` nats at least. Next tokens are discounted and the freed mass goes to
-the suffix state; the root is the add-half unigram estimate over all words. A text is scored token by token in the
-longest suffix state that was kept.
-
-Counts come from all training rows. Whatever the corpus, a share bounds what can reach it: at most
-``1 / word_share`` words are sent to the workers as a dictionary, ``1 / context_share`` contexts a depth, and
-``1 / edge_share`` next-token entries. All other words are counted and looked up by shuffles.
-
-Tokens are words in ASCII lower case by 64-bit hashes, and one end token a text. Null and empty texts are the end
-alone. Rows are scored one by one, repeated rows count as often as they occur, null ids hash as empty text. An empty
-training set scores everything by the root. Only the key and the text column are read.
+Contexts of up to two words are states of the tree. A context is a candidate if it occurs ``context_least`` times at
+least, and is kept if the distribution of the next token after it diverges from the one after its own suffix by
+``divergence`` nats at least; next tokens seen less than ``edge_least`` times after it are not told apart. Next tokens
+are discounted and the freed mass goes to the suffix state; the root is the add-half unigram estimate over all words.
+A text is scored token by token in the longest suffix state that was kept.
+
+Counts come from all training rows, and the least counts are the same at every size, so the tree grows with the
+corpus. It is a set of tables: runs of three tokens are counted over all rows, pairs and words are sums of these, and
+each run gets its probability by shuffled joins. Keys that are common in the corpus meet a broadcast part of the table,
+so no key is hot, and the most common runs are sent to the workers as a dictionary; all others are looked up by a
+shuffle. Both shares choose the way only and change no result.
+
+Tokens are words in ASCII lower case by 64-bit hashes, runs of three 64-bit hashes of these, and one end token a text.
+Null and empty texts are the end alone. Rows are scored one by one, repeated rows count as often as they occur, null
+ids hash as empty text. An empty training set scores everything by the root. Only the key and the text column are read.
 """
 
 from __future__ import annotations
@@ -31,13 +33,18 @@ from shiftlens.llm.text import shared_folder, ship_code, stored
 
 @dataclass(frozen=True)
 class Shape:
-    """Bounds of the tree, as shares of all training tokens, and its smoothing."""
+    """Least counts of the tree, its smoothing, and which shares of all tokens are broadcast or sent as a dictionary.
 
-    word_share: float = 5e-7
-    context_share: float = 1e-5
-    edge_share: float = 1e-6
+    ``context_share`` asks contexts for a share of all training tokens besides, by default for none.
+    """
+
+    context_least: int = 2
+    edge_least: int = 2
+    context_share: float = 0.0
     divergence: float = 0.05
     discount: float = 0.5
+    broadcast_share: float = 1e-5
+    sent_share: float = 1e-6
 
 
 _RNG = np.random.default_rng(6)
@@ -48,7 +55,7 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLANK = np.isin(np.arange(256), (32, 9, 10, 11, 12, 13))
 END = np.uint64(0)
 #: Bytes of text worked on at once, and tokens counted before they are handed on.
-SLICE_BYTES, HELD_TOKENS = 1 << 21, 1 << 23
+SLICE_BYTES, HELD_TOKENS = 1 << 21, 1 << 21
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -89,90 +96,118 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-class Tally:
-    """Counts of 64-bit codes, combined before they leave a task."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(29))
 
-    def __init__(self) -> None:
-        self.held: list[np.ndarray] = []
-        self.size = 0
 
-    def add(self, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append(codes)
-        self.size += len(codes)
-        if self.size > HELD_TOKENS:
-            yield from self.flush()
+def runs_of(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token the hash of its run, and the second last and the last token of the same text before it, else ``END``."""
+    last = np.r_[END, tokens[:-1]]
+    last[starts] = END
+    second = np.r_[END, last[:-1]]
+    second[starts] = END
+    return _mixed(_mixed(_mixed(second) + last) + tokens), second, last
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            codes, n = np.unique(np.concatenate(self.held), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n)], ["code", "n"])
-        self.held, self.size = [], 0
 
+COUNTED = "code long, second long, last long, word long, n long, times long"
 
-def _count(codes_of):
-    """A counting pass: the codes that ``codes_of`` makes of tokens and text starts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
-        for batch in batches:
-            for _, texts in _slices(batch):
-                yield from tally.add(codes_of(*tokenize(texts)))
-        yield from tally.flush()
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs with their counts in training rows, ``n``, and in all rows, ``times``, combined before they leave a task."""
+    held: list[tuple] = []
 
-    return run
+    def flush() -> pa.RecordBatch:
+        code, second, last, word, trains = (np.concatenate(c) for c in zip(*held, strict=True))
+        codes, at, owner, times = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+        n = np.bincount(owner, trains, len(codes)).astype(np.int64)
+        columns = [c.view(np.int64) for c in (codes, second[at], last[at], word[at])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n, times)], [c.split()[0] for c in COUNTED.split(", ")])
+
+    for batch in batches:
+        trained = batch.column("train").to_numpy(zero_copy_only=False)
+        for first, texts in _slices(batch):
+            tokens, starts = tokenize(texts)
+            code, second, last = runs_of(tokens, starts)
+            trains = np.repeat(trained[first : first + len(texts)], np.diff(np.r_[starts, len(tokens)]))
+            held.append((code, second, last, tokens, trains))
+            if sum(len(h[0]) for h in held) > HELD_TOKENS:
+                yield flush()
+                held = []
+    if held:
+        yield flush()
 
 
-@dataclass
-class Tree:
-    """The model that workers hold. Words are numbered from the most common one; those of contexts come first.
+def _met(frame: DataFrame, table: DataFrame, keys: list[str], common: Column) -> DataFrame:
+    """``frame`` with the other columns of ``table``, null where it has no such key; ``common`` says which of its keys are broadcast."""
+    values = [c for c in table.columns if c not in keys]
+    often = F.broadcast(table.where(common).select(*keys, F.struct(*values).alias("_often")))
+    rest = table.where(~common).select(F.lit(False).alias("_found"), *(F.col(k).alias(f"_{k}") for k in keys), F.struct(*values).alias("_rest"))
+    # Rows that met the broadcast part are dealt evenly, by a hash of their own.
+    apart = F.xxhash64(*frame.columns)
+    sought = frame.join(often, keys, "left").withColumn("_found", F.col("_often").isNotNull())
+    sought = sought.withColumns({f"_{k}": F.when(F.col("_found"), apart).otherwise(F.col(k)) for k in keys})
+    both = sought.join(rest, ["_found", *(f"_{k}" for k in keys)], "left")
+    return both.select(*frame.columns, *(F.coalesce(F.col("_often")[v], F.col("_rest")[v]).alias(v) for v in values))
+
+
+def _states(entries: DataFrame, keys: list[str], total: int, shape: Shape) -> DataFrame:
+    """The contexts that are kept: ``keys``, ``state_seen``, ``state_times`` and ``freed``, from next tokens with ``n`` and ``shorter``."""
+    told = lambda value: F.coalesce(F.sum(F.when(F.col("n") >= shape.edge_least, value)), F.lit(0.0))
+    sums = entries.groupBy(*keys).agg(
+        F.sum("n").alias("state_seen"), F.sum("times").alias("state_times"), told(F.col("n").cast("double")).alias("mass"), told(F.lit(1.0)).alias("told"),
+        told(F.col("shorter")).alias("shorter"), told(F.col("n") * F.log(F.col("n") / F.col("shorter"))).alias("heard"),
+    ).where((F.col("state_seen") >= max(shape.context_least, shape.context_share * total)) & (F.col("told") > 0))
+    rest, shorter_rest = (F.greatest(1 - x, F.lit(1e-12)) for x in (F.col("mass") / F.col("state_seen"), F.col("shorter")))
+    gain = (F.col("heard") - F.log("state_seen") * F.col("mass")) / F.col("state_seen") + rest * F.log(rest / shorter_rest)
+    freed = 1 - (F.col("mass") - shape.discount * F.col("told")) / F.col("state_seen")
+    return sums.where(gain >= shape.divergence).select(*keys, "state_seen", "state_times", freed.alias("freed"))
+
+
+def _probability(shape: Shape) -> Column:
+    """Of a next token in its context, which is the one of the context's suffix where that was not kept."""
+    share = F.when(F.col("n") >= shape.edge_least, (F.col("n") - shape.discount) / F.col("state_seen")).otherwise(0.0)
+    return F.when(F.col("freed").isNull(), F.col("shorter")).otherwise(share + F.col("freed") * F.col("shorter"))
 
-    Per depth: sorted context keys, (state, next word) entries with their shares, and the mass freed for the suffix.
+
+def learn(rows: DataFrame, shape: Shape) -> tuple[DataFrame, int, int]:
+    """``(code, times, base, score, known)`` of all runs in ``rows``, and how many training and how many tokens there are.
+
+    ``base`` and ``score`` are log10 of the root's and the tree's probability, ``known`` whether training rows have the word.
     """
+    counts = [F.sum("n").alias("n"), F.sum("times").alias("times")]
+    grams = stored(rows.mapInArrow(_count, COUNTED).groupBy("code").agg(*(F.first(c).alias(c) for c in ("second", "last", "word")), *counts))
+    pairs = stored(grams.groupBy("last", "word").agg(*counts))
+    words = stored(pairs.groupBy("word").agg(*counts))
+    total, different, tokens = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.coalesce(F.sum("times"), F.lit(0))).first()
+    norm = total + 0.5 * (different + 1)
+    often = lambda column: F.col(column) >= max(1.0, shape.broadcast_share * tokens)
+    end = int(END)
+
+    roots = words.select("word", F.col("times").alias("word_times"), ((F.col("n") + 0.5) / norm).alias("shorter"), (F.col("n") > 0).alias("known"))
+    rooted = stored(_met(pairs, roots, ["word"], often("word_times")).drop("word_times"))
+    one = stored(_states(rooted.where(F.col("last") != end), ["last"], total, shape))
+    judged = _met(rooted, one, ["last"], often("state_times"))
+    suffixes = stored(judged.select(
+        "last", "word", F.col("times").alias("pair_times"), F.col("shorter").alias("root"), "known",
+        _probability(shape).alias("shorter"), F.col("freed").isNotNull().alias("inside"),
+    ))
+    placed = _met(grams, suffixes, ["last", "word"], often("pair_times")).drop("pair_times", "word")
+    placed = stored(placed)
+    two = stored(_states(placed.where((F.col("second") != end) & F.col("inside")), ["second", "last"], total, shape))
+    scored = _met(placed, two, ["second", "last"], often("state_times"))
+    values = scored.select("code", "times", F.log10("root").alias("base"), F.log10(_probability(shape)).alias("score"), "known")
+    return stored(values), total, tokens
+
+
+@dataclass
+class Dictionary:
+    """The most common runs by sorted hash, with their values."""
 
-    hashes: np.ndarray
-    number: np.ndarray
-    root: np.ndarray
-    n_contexts: int
-    freed: list[np.ndarray]
-    states: list[np.ndarray]
-    edges: list[np.ndarray]
-    shares: list[np.ndarray]
-    norm: float
-
-    def numbers(self, tokens: np.ndarray) -> np.ndarray:
-        """The number of each token, -1 for words that are not in the dictionary."""
-        if not len(self.hashes):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, self.number[at], -1)
-
-    def before(self, words: np.ndarray, starts: np.ndarray, back: int) -> np.ndarray:
-        """The word ``back`` places earlier in the same text if it may be in a context, else -1."""
-        out = np.full(len(words), -1)
-        out[back:] = words[:-back] if back else words
-        for k in range(back):
-            at = starts + k
-            out[at[at < len(out)]] = -1
-        return np.where(out < self.n_contexts, out, -1)
-
-    def state(self, depth: int, keys: np.ndarray) -> np.ndarray:
-        """The state of each context key at a depth, -1 where it was not kept."""
-        return _place(self.states[depth], keys)
-
-    def probability(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Of each token in its state; for words outside the dictionary the factor of their root probability."""
-        value = np.where(words >= 0, self.root[words] if len(self.root) else 0.0, 1.0)
-        last, second = self.before(words, starts, 1), self.before(words, starts, 2)
-        one = np.where(last >= 0, self.state(0, last), -1)
-        two = np.where((one >= 0) & (second >= 0), self.state(1, second * self.n_contexts + last), -1)
-        for depth, state in enumerate((one, two)):
-            inside = np.flatnonzero(state >= 0)
-            word, at = words[inside], state[inside]
-            edge = np.where((word >= 0) & (word < self.n_contexts), _place(self.edges[depth], at * self.n_contexts + word), -1)
-            share = np.zeros(len(inside))
-            share[edge >= 0] = self.shares[depth][edge[edge >= 0]]
-            value[inside] = share + self.freed[depth][at] * value[inside]
-        return value
+    codes: np.ndarray
+    base: np.ndarray
+    score: np.ndarray
+    known: np.ndarray
 
 
 def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -182,92 +217,13 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def _collected(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of all entries that reach a share of the corpus, so at most one over that share of them."""
-    rows = counts.where(F.col("n") >= least).toArrow()
-    codes, n = rows.column("code").to_numpy(), rows.column("n").to_numpy()
+def _dictionary(values: DataFrame, least: float) -> Dictionary:
+    """Of all runs that reach a share of the tokens, so at most one over that share of them."""
+    rows = values.where(F.col("times") >= least).toArrow()
+    codes, base, score, known = (rows.column(c).to_numpy() for c in ("code", "base", "score", "known"))
+    codes = codes.view(np.uint64)
     order = np.argsort(codes)
-    return codes[order], n[order]
-
-
-def _grow(tree: Tree, codes: np.ndarray, n: np.ndarray, contexts: np.ndarray, times: np.ndarray, shape: Shape) -> None:
-    """Add the states of the next depth: ``codes`` are context key times the number of context words plus the next word.
-
-    ``contexts`` are the sorted keys of all contexts and ``times`` how often each occurred.
-    """
-    depth, width = len(tree.states), tree.n_contexts
-    key, word = codes // max(width, 1), codes % max(width, 1)
-    keys, owner = np.unique(key, return_inverse=True)
-    seen = times[_place(contexts, keys)] if len(keys) else np.zeros(0)
-    share = n / seen[owner]
-    shorter = tree.root[word]
-    if depth:  # the distribution of the state that a context's suffix leads to
-        parent = tree.state(0, keys % width)[owner]
-        edge = _place(tree.edges[0], parent * width + word)
-        extra = np.zeros(len(edge))
-        extra[edge >= 0] = tree.shares[0][edge[edge >= 0]]
-        shorter = extra + tree.freed[0][parent] * shorter
-    total = lambda values: np.bincount(owner, values, len(keys))
-    rest, shorter_rest = (np.maximum(1 - total(x), 1e-12) for x in (share, shorter))
-    gain = total(share * np.log(share / shorter)) + rest * np.log(rest / shorter_rest)
-    kept = gain >= shape.divergence
-    inside = kept[owner]
-    discounted = (n - shape.discount) / seen[owner]
-    tree.states.append(keys[kept])
-    tree.edges.append((np.cumsum(kept) - 1)[owner][inside] * width + word[inside])
-    tree.shares.append(discounted[inside])
-    tree.freed.append((1 - total(discounted))[kept])
-
-
-def learn(train: DataFrame, shape: Shape) -> tuple[Tree, DataFrame, int]:
-    """The tree, all word counts ``(code, n)`` and how many training tokens there are."""
-    spark = train.sparkSession
-
-    def counted(codes_of) -> DataFrame:
-        return train.mapInArrow(_count(codes_of), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-    counts = stored(counted(lambda tokens, starts: tokens))
-    total, different = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    norm = total + 0.5 * (different + 1)
-
-    codes, n = _collected(counts, shape.word_share * total)
-    hashes = codes.view(np.uint64)
-    by_count = np.lexsort((hashes, -n))
-    hashes, n = hashes[by_count], n[by_count]
-    by_hash = np.argsort(hashes)
-    width = int((n >= shape.context_share * total).sum())
-    tree = Tree(hashes[by_hash], by_hash, (n + 0.5) / norm, width, [], [], [], [], norm)
-    words = spark.sparkContext.broadcast(tree)
-
-    def pairs(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        model = words.value
-        here = model.numbers(tokens)
-        last = model.before(here, starts, 1)
-        known = (last >= 0) & (here >= 0) & (here < model.n_contexts)
-        return last[known] * model.n_contexts + here[known]
-
-    codes, times = _collected(counted(pairs), shape.edge_share * total)
-    _grow(tree, codes, times, np.arange(width), n[:width], shape)
-
-    # Contexts of two words: frequent pairs whose second word is a state and not the end of a text.
-    last = codes % max(width, 1)
-    deep = (times >= shape.context_share * total) & (tree.state(0, last) >= 0) & (last != tree.numbers(np.array([END]))[0])
-    contexts, times = codes[deep], times[deep]
-    grown = spark.sparkContext.broadcast((tree, contexts))
-
-    def triples(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        model, pairs_kept = grown.value
-        here = model.numbers(tokens)
-        last, second = model.before(here, starts, 1), model.before(here, starts, 2)
-        known = (last >= 0) & (second >= 0) & (here >= 0) & (here < model.n_contexts)
-        pair = _place(pairs_kept, second[known] * model.n_contexts + last[known])
-        return pair[pair >= 0] * model.n_contexts + here[known][pair >= 0]
-
-    codes, n = _collected(counted(triples), shape.edge_share * total)
-    if len(codes):
-        codes = contexts[codes // width] * width + codes % width
-    _grow(tree, codes, n, contexts, times, shape)
-    return tree, counts, total
+    return Dictionary(codes[order], base[order], score[order], known[order].astype(np.int64))
 
 
 SCORED = "row long, key string, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<code:long,n:long>>"
@@ -277,25 +233,23 @@ def _score(model):
     rare_type = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, row = model.value, TaskContext.get().partitionId() << 40
+        common, row = model.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, texts in _slices(batch):
                 tokens, starts = tokenize(texts)
-                words = tree.numbers(tokens)
-                known = words >= 0
-                base = np.where(known, np.log10(np.where(known, tree.root[words] if len(tree.root) else 1.0, 1.0)), 0.0)
-                score = np.log10(tree.probability(words, starts))
+                code, _, _ = runs_of(tokens, starts)
+                at = _place(common.codes, code)
+                found = at >= 0
                 owner = np.repeat(np.arange(len(texts)), np.diff(np.r_[starts, len(tokens)]))
-                other = np.flatnonzero(~known)
-                texts_of, codes, n = _distinct(owner[other], tokens[other])
+                texts_of, codes, n = _distinct(owner[~found], code[~found])
                 offsets = np.searchsorted(texts_of, np.arange(len(texts) + 1)).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(codes.view(np.int64)), pa.array(n)], names=["code", "n"]))
                 part = batch.slice(first, len(texts))
-                sums = lambda values: np.add.reduceat(values, starts)  # noqa: E731  every text has its end
+                sums = lambda values: np.bincount(owner[found], values[at[found]], len(texts)).astype(float)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row + np.arange(len(texts))), part.column("key"), part.column("held_out"),
-                    pa.array(sums(np.ones(len(tokens), np.int64))), pa.array(sums(known.astype(np.int64))),
-                    pa.array(sums(base)), pa.array(sums(score)), rare.cast(rare_type),
+                    pa.array(np.bincount(owner, minlength=len(texts))), pa.array(sums(common.known).astype(np.int64)),
+                    pa.array(sums(common.base)), pa.array(sums(common.score)), rare.cast(rare_type),
                 ], ["row", "key", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
                 row += len(texts)
 
@@ -319,17 +273,18 @@ def score_texts(docs: DataFrame, held_out: Column, shape: Shape = Shape(), key:
     shared_folder(spark)
     ship_code(spark)
     rows = docs.select(F.col(key).cast("string").alias("key"), held_out.alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    tree, counts, total = learn(rows.where("NOT held_out"), shape)
-    scored = stored(rows.mapInArrow(_score(spark.sparkContext.broadcast(tree)), SCORED))
-    # The words outside the dictionary: none has more than a share of word_share, so no key is hot.
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.code", F.col("r.n").alias("times"))
-    root = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(tree.norm))
-    looked_up = rare.join(counts, "code", "left").groupBy("row").agg(
-        F.sum(F.col("times") * root).alias("rare_score"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known")
+    values, total, tokens = learn(rows.select(F.coalesce(~F.col("held_out"), F.lit(False)).alias("train"), "_text"), shape)
+    common = _dictionary(values, shape.sent_share * tokens)
+    scored = stored(rows.mapInArrow(_score(spark.sparkContext.broadcast(common)), SCORED))
+    # The runs outside the dictionary: none has more than a share of sent_share, so no key is hot.
+    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.code", F.col("r.n").alias("found"))
+    looked_up = rare.join(values.select("code", F.col("base").alias("b"), F.col("score").alias("s"), "known"), "code").groupBy("row").agg(
+        F.sum(F.col("found") * F.col("b")).alias("rare_base"), F.sum(F.col("found") * F.col("s")).alias("rare_score"),
+        F.sum(F.when(F.col("known"), F.col("found")).otherwise(0)).alias("rare_known"),
     )
-    added = scored.join(looked_up, "row", "left").na.fill(0, ["rare_score", "rare_known"])
+    added = scored.join(looked_up, "row", "left").na.fill(0, ["rare_base", "rare_score", "rare_known"])
     return added.select(
         F.col("key").cast(docs.schema[key].dataType).alias(key), "held_out", "n_tokens",
         (F.col("n_known") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rare_score")).alias("base_score"), (F.col("score") + F.col("rare_score")).alias("score"),
+        (F.col("base") + F.col("rare_base")).alias("base_score"), (F.col("score") + F.col("rare_score")).alias("score"),
     )

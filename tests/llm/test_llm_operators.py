@@ -208,6 +208,53 @@ def test_language_model_without_states_is_the_base(spark, docs):
     assert suffix_tree_lm.score_texts(empty(spark), F.lit(False)).count() == 0
 
 
+def tree_by_force(texts, trained, shape):
+    """Score of each text by a tree over dictionaries of counts."""
+    tokens = [[*suffix_words(t), None] for t in texts]
+    words, after = Counter(), {1: {}, 2: {}}
+    for said in (t for t, yes in zip(tokens, trained, strict=True) if yes):
+        words.update(said)
+        for i, w in enumerate(said):
+            for depth in (1, 2):
+                if i >= depth:
+                    after[depth].setdefault(tuple(said[i - depth : i]), Counter())[w] += 1
+    norm = sum(words.values()) + 0.5 * (len(words) + 1)
+    kept = {}
+
+    def probability(context, w):
+        while context and context not in kept:
+            context = context[1:]
+        if not context:
+            return (words[w] + 0.5) / norm
+        entries, seen, freed = kept[context]
+        return ((entries[w] - shape.discount) / seen if w in entries else 0) + freed * probability(context[1:], w)
+
+    for depth in (1, 2):
+        for context, counts in after[depth].items():
+            seen, entries = sum(counts.values()), {w: n for w, n in counts.items() if n >= shape.edge_least}
+            if seen < shape.context_least or not entries or depth == 2 and context[1:] not in kept:
+                continue
+            shorter = {w: probability(context[1:], w) for w in entries}
+            rest, shorter_rest = (max(1 - x, 1e-12) for x in (sum(entries.values()) / seen, sum(shorter.values())))
+            gain = sum(n / seen * math.log(n / seen / shorter[w]) for w, n in entries.items()) + rest * math.log(rest / shorter_rest)
+            if gain >= shape.divergence:
+                kept[context] = entries, seen, 1 - sum(n - shape.discount for n in entries.values()) / seen
+    return [sum(math.log10(probability(tuple(said[max(0, i - 2) : i]), w)) for i, w in enumerate(said)) for said in tokens]
+
+
+@pytest.mark.parametrize("shape", [suffix_tree_lm.Shape(), suffix_tree_lm.Shape(sent_share=1e-2, broadcast_share=1e-2)])
+def test_language_model_keeps_rare_contexts_in_a_large_corpus(spark, shape):
+    rng = random.Random(11)
+    vocabulary = [prose(rng, 1) for _ in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, range(60, 0, -1), k=rng.randrange(1, 40))) for _ in range(120)] + [None, "", "once"]
+    texts += ["seldom met pair"] * 2 + ["many " * 150_000]  # a context seen twice among so many tokens
+    trained = [i % 5 != 1 for i in range(len(texts))]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score_texts(table, F.col("doc_id") % 5 == 1, shape).collect()}
+    for i, want in enumerate(tree_by_force(texts, trained, shape)):
+        assert math.isclose(got[i], want, rel_tol=1e-9)
+
+
 def test_quality_classifier_held_out(spark):
     rng = random.Random(3)
     good = [(i, " ".join(rng.choice(["the", "of", "and", prose(rng, 1)]) for _ in range(rng.randrange(20, 80))), 1) for i in range(120)]
