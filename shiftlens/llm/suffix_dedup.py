@@ -5,7 +5,7 @@ equal anchors. A text is cut where the anchor changes. Segments whose anchor occ
 repeat. Of the others, equal segments are one: their windows repeat at once. Where an anchor has different
 segments, these are dealt to shards by anchor, and the suffix array of a shard with its permuted common prefixes
 tells which windows occur twice. What no other segment of an anchor shares with a segment to the left and right of the
-anchor, too little for a window, is left out before. An anchor with more than ``group`` different segments (a passage that a large share of all
+anchor, too little for a window, is left out before, unless a segment holds the anchor twice. An anchor with more than ``group`` different segments (a passage that a large share of all
 documents quote in different surroundings) is not put into one task: its windows are counted by a 128-bit digest.
 
 Texts are UTF-8 bytes, null ones empty. Matches never cross documents but may overlap or lie in one document. Rows
@@ -142,13 +142,16 @@ def _shared_prefixes(texts: list[bytes]) -> list[int]:
 def _matchable(group: list[tuple], length: int) -> list[tuple]:
     """The parts ``(anchor, digest, offset, piece)`` of one anchor's segments that may hold a window of another one.
 
-    Such a window holds the anchor, so it lies within what a segment shares with any other to its left and right.
+    Such a window holds the anchor, so it lies within what a segment shares with any other to its left and right. In
+    an inner segment the window may hold the anchor at any of its places, so then all segments are passed whole.
     """
+    if any(inner for _, _, _, inner, _ in group):
+        return [(anchor, digest, 0, piece) for anchor, digest, _, _, piece in group]
     right = _shared_prefixes([piece[gram:] for _, _, gram, _, piece in group])
     left = _shared_prefixes([piece[:gram][::-1] for _, _, gram, _, piece in group])
     parts = []
-    for (anchor, digest, gram, inner, piece), back, on in zip(group, left, right, strict=True):
-        first, after = (0, len(piece)) if inner else (gram - back, gram + on)
+    for (anchor, digest, gram, _, piece), back, on in zip(group, left, right, strict=True):
+        first, after = gram - back, gram + on
         if after - first >= length:
             parts.append((anchor, digest, first, piece[first:after]))
     return parts

@@ -84,6 +84,18 @@ def test_suffix_dedup_equals_brute_force(docs, rows, group):
     assert sorted((r.n_bytes, len(r.spans), bytes(r.kept)) for r in got) == want
 
 
+@pytest.mark.parametrize("group", [4096, 1])
+def test_suffix_dedup_of_doubled_lines_equals_brute_force(spark, group):
+    rng, texts = random.Random(8), []
+    symbols = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    for _ in range(60):  # a line that stands twice, and a copy without its first instance
+        line, rest = symbols(100), symbols(rng.randrange(105, 130))
+        texts += [symbols(150) + line + symbols(rng.randrange(5, 30)) + line + rest + symbols(100), symbols(150) + line + rest + symbols(100)]
+    texts += ["=" * 500, "=" * 300 + symbols(200)]
+    got = suffix_dedup.repeated_bytes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 200, group).collect()
+    assert sorted((r.n_bytes, len(r.spans), bytes(r.kept)) for r in got) == removed_by_force([t.encode() for t in texts], 200)
+
+
 def test_suffix_dedup_keeps_characters_and_columns(spark, docs):
     left = suffix_dedup.without_repeats(docs, 200)
     assert left.columns == docs.columns and left.count() == docs.count()
