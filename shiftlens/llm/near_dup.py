@@ -11,7 +11,8 @@ is compared block against block in tasks of their own, and a pair only in the fi
 With the defaults a pair at exactly 80 % is missed with a probability of about 1e-6.
 
 Equal word sequences are one node from the start. Null, empty and blank texts have no shingles and no links.
-Rows that share an id are one document; rows without id are linked with nothing and kept. Other columns are not read.
+Rows that share an id are one document; rows without id are linked with nothing and kept. ``keep_one`` decides row by
+row instead. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlens.llm.components import component_roots
-from shiftlens.llm.text import lower_ascii, shared_folder, shingle_hashes, ship_code, stored, words
+from shiftlens.llm.text import ROW, lower_ascii, shared_folder, shingle_hashes, ship_code, stored, with_row_keys, words
 
 
 @dataclass(frozen=True)
@@ -241,6 +242,14 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_
 
 
 def keep_one(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of one document of each component, the one with the smallest id, with their columns as they were."""
-    gone = near_duplicates(docs, scheme, key, text).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    """One row of each component of near copies, with its columns as they were.
+
+    Rows are documents of their own, whatever their ids: of a component the row with the smallest id is kept, the one
+    with the smallest row key among several, and rows without id only where no row has one. Rows without words stay.
+    """
+    shared_folder(docs.sparkSession)
+    rows = with_row_keys(docs)
+    found = near_duplicates(rows, scheme, ROW, text).select(ROW, "component_id").join(rows.select(ROW, F.col(key).alias("id")), ROW)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", ROW)).alias("first")
+    stay = found.groupBy("component_id").agg(first).select(f"first.{ROW}")
+    return rows.join(stay, ROW, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -69,3 +69,12 @@ def stored(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(frame.sparkSession)}/llm-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+#: Names a row where ids are repeated or missing.
+ROW = "_row_key"
+
+
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """The rows with a unique ``ROW``, stored, so that a second reading numbers them alike."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+import corpus_pipeline  # noqa: E402
 from shiftlens.llm import (  # noqa: E402
     chat, decontaminate, near_dup, pieces, quality_rules, queries, rule_ensemble, sentencepiece_bpe, sharding,
     suffix_array, suffix_dedup, suffix_tree_lm, token_counts,
@@ -135,6 +136,19 @@ def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(empty(spark)).count() == 0
 
 
+def test_one_row_of_repeated_rows_and_copies_without_id_keeps_its_text(spark, tmp_path):
+    rng = random.Random(21)
+    repeated, nameless, alone = (prose(rng, 120) for _ in range(3))
+    found = [(4, repeated), (4, repeated), (None, repeated), (9, repeated + " end"), (None, nameless), (None, nameless), (4, alone), (None, None), (5, "")]
+    table = spark.createDataFrame([(i, t, len(t or "")) for i, t in found], "doc_id long, text string, n_chars long").repartition(3)
+    table.limit(0).selectExpr("doc_id AS item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.repeated_passages, corpus_pipeline.benchmark_leaks):
+        table = stage(spark, table, str(tmp_path))
+    assert table.columns == ["doc_id", "text", "n_chars"]
+    want = [(4, repeated), (None, nameless), (4, alone), (None, None), (5, "")]
+    assert Counter((r.doc_id, r.text) for r in table.collect()) == Counter(want)
+
+
 def test_quality_rules_columns_and_extremes(spark, docs):
     got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
     assert got[0].base_failed and not got[0].kept and got[0].n_words == 0
