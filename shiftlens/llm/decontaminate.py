@@ -8,7 +8,8 @@ their five-word shingles, weighted by how often each occurs: common weight over
 
 Words are runs of letters and digits in lower case. Items without words match nothing, shorter ones than five words
 are one shingle. Null and empty texts hold nothing. Rows that share an id are searched as one document, rows without
-an id are not reported. Equal items are found under each of their ids. Other columns are not read.
+an id are not reported; ``without_items`` searches each row by itself. Equal items are found under each of their ids.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftlens.llm.text import shared_folder, shingle_hashes, stored
+from shiftlens.llm.text import ROW, shared_folder, shingle_hashes, stored, with_row_keys
 
 SHINGLE = 5
 BLOCKS, BLOCK_BITS = 8, 16
@@ -106,7 +107,9 @@ def find_items(docs: DataFrame, items: DataFrame, percent: int = 80, key: str =
     )
 
 
-def without_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no item, with their columns as they were."""
-    found = find_items(docs, items, key=key, text=text).select(F.col(key).alias("_found")).distinct()
-    return docs.join(found, docs[key] == found["_found"], "left_anti")
+def without_items(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """The rows that hold no item, with their columns as they were. Each row is searched by itself, whatever its id."""
+    shared_folder(docs.sparkSession)
+    rows = with_row_keys(docs)
+    found = find_items(rows, items, key=ROW, text=text).select(ROW).distinct()
+    return rows.join(found, ROW, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -170,6 +170,16 @@ def test_items_found_with_changes_at_the_end(spark):
     assert {r.doc_id: round(r.similarity, 3) for r in found} == {0: 1.0, 1: 1.0, 2: round(34 / 38, 3)}
 
 
+def test_leaks_go_row_by_row(spark):
+    rng = random.Random(4)
+    item, clean = prose(rng, 40), prose(rng, 90)
+    leak = f"{prose(rng, 60)} {item} {prose(rng, 50)}"
+    docs = spark.createDataFrame([(1, leak), (1, clean), (None, leak), (None, clean), (2, None)], "doc_id long, text string").repartition(2)
+    left = decontaminate.without_items(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert left.columns == docs.columns
+    assert Counter(map(tuple, left.collect())) == Counter([(1, clean), (None, clean), (2, None)])
+
+
 @pytest.fixture(scope="module")
 def model():
     return Path(queries.piece_model()).read_bytes()
