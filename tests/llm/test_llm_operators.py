@@ -302,6 +302,24 @@ def test_quality_classifier_held_out(spark):
     assert all(0 <= r.score <= 1 for r in scored.collect())
 
 
+def told_by_one_statistic(rng, kind, good):
+    """A text whose class shows in one statistic only."""
+    pool = ["".join(rng.choice("bcdfgk") for _ in range(5)) for _ in range(12)]
+    if kind == "repeated":  # the same twelve words five times, in one order or in others
+        return " ".join(w for _ in range(5) for w in (rng.sample(pool, 12) if good else pool))
+    mark = {"digits": "7", "stops": "."}[kind]
+    return " ".join(w[:4] + (mark if (kind == "stops") == good else "b") for w in rng.choices(pool, k=60))
+
+
+@pytest.mark.parametrize("kind", ["repeated", "digits", "stops"])
+def test_quality_classifier_sees_what_one_statistic_shows(spark, kind):
+    rng = random.Random(12)
+    rows = [(i, told_by_one_statistic(rng, kind, i % 2 == 1), i % 2) for i in range(160)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    scored, _ = rule_ensemble.score_quality(table.drop("quality"), table.drop("text"), F.col("doc_id") % 3 == 1, rule_ensemble.Fit(trees=4, depth=3))
+    assert np.mean([r.predicted == r.doc_id % 2 for r in scored.where("held_out").collect()]) > 0.95
+
+
 def test_digests_of_the_thin_queries(spark, tmp_path):
     texts = [(0, "a" * 5), (1, None)]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
