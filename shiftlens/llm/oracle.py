@@ -113,5 +113,71 @@ FROM alike GROUP BY doc_id, item_id, n
 """
 
 
+#: Rows with a usable vector, as whole steps of 1/256.
+_VECTORS = """
+SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+FROM embeddings
+WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+_BOOK = """
+nearest{next} AS (
+  SELECT vec_id, p.part, arg_min(entry, (
+      (p.a - b.a) * (p.a - b.a) + (p.b - b.b) * (p.b - b.b) + (p.c - b.c) * (p.c - b.c) + (p.d - b.d) * (p.d - b.d), entry)) AS entry
+  FROM parts p JOIN book{last} b USING (part) GROUP BY ALL),
+book{next} AS (
+  SELECT part, entry, coalesce(m.a, o.a) AS a, coalesce(m.b, o.b) AS b, coalesce(m.c, o.c) AS c, coalesce(m.d, o.d) AS d
+  FROM book{last} o LEFT JOIN (
+    SELECT part, entry, CAST(floor(sum(a) / count(*)) AS BIGINT) AS a, CAST(floor(sum(b) / count(*)) AS BIGINT) AS b,
+      CAST(floor(sum(c) / count(*)) AS BIGINT) AS c, CAST(floor(sum(d) / count(*)) AS BIGINT) AS d
+    FROM nearest{next} JOIN parts USING (vec_id, part) GROUP BY ALL) m USING (part, entry))
+"""
+
+VECTOR_CODES = f"""
+WITH kept AS ({_VECTORS}),
+parts AS (
+  SELECT vec_id, label, part, v[4 * part + 1] AS a, v[4 * part + 2] AS b, v[4 * part + 3] AS c, v[4 * part + 4] AS d
+  FROM kept, (SELECT unnest(range(16)) AS part)),
+book0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, a, b, c, d
+  FROM parts QUALIFY entry < 64),
+{_BOOK.format(last=0, next=1)}, {_BOOK.format(last=1, next=2)},
+measured AS (
+  SELECT vec_id, label, p.part, entry,
+    (p.a - b.a) * (p.a - b.a) + (p.b - b.b) * (p.b - b.b) + (p.c - b.c) * (p.c - b.c) + (p.d - b.d) * (p.d - b.d) AS distance
+  FROM parts p JOIN book2 b USING (part)),
+final AS (SELECT vec_id, label, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance FROM measured GROUP BY ALL),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(distance) AS BIGINT) AS error
+  FROM final GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY part, entry)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+
+HARD_NEGATIVES = f"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v
+  FROM ({_VECTORS}) WHERE vec_id IS NOT NULL AND label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike,
+    CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM kept a JOIN kept r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op3_decontamination": DECONTAMINATION, "op8_quality_rules": QUALITY_RULES, "op10_minhash_near_dedup": NEAR_DEDUP}
+    return {
+        "op1_chat_formatting": CHAT, "op3_decontamination": DECONTAMINATION,
+        "op8_quality_rules": QUALITY_RULES, "op10_minhash_near_dedup": NEAR_DEDUP,
+        "op12_vector_code_compression": VECTOR_CODES, "op13_hard_negatives": HARD_NEGATIVES,
+    }

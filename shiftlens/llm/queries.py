@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.llm import chat, decontaminate, near_dup, quality_rules, rule_ensemble, sentencepiece_bpe, sharding, suffix_dedup, suffix_tree_lm, token_counts
+from shiftlens.llm import chat, decontaminate, hard_negatives, near_dup, quality_rules, rule_ensemble, sentencepiece_bpe, sharding, suffix_dedup, suffix_tree_lm, token_counts, vector_codes
+from shiftlens.llm.text import stored
+from shiftlens.operators.joins import sized_join
 
 SHARDS = 24
 #: A conversation whose texts hold template strings.
@@ -85,6 +88,22 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Scheme(shingle_words=2))
 
 
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    coded = stored(coded)
+    by_label = coded.groupBy("label").agg(F.sum("error").alias("label_error"))
+    components = ",".join(map(str, codebooks.ravel().tolist()))
+    return sized_join(coded, by_label, "label", null_safe=True).select(
+        F.col("key").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(hashlib.sha256(components.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
@@ -97,4 +116,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_token_counts": op9_token_counts,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op12_vector_code_compression": op12_vector_code_compression,
+        "op13_hard_negatives": op13_hard_negatives,
     }
