@@ -113,6 +113,22 @@ FROM alike GROUP BY doc_id, item_id, n
 """
 
 
+SUBSTRING_DEDUP = """
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM split)),
+copies AS (SELECT doc_id, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)),
+lost AS (SELECT doc_id, list(DISTINCT i + k) AS places FROM copies, range(50) AS r(k) GROUP BY doc_id),
+marked AS (
+  SELECT doc_id, w, coalesce(len(places), 0) AS n_removed,
+    list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: places IS NULL OR NOT list_contains(places, x[2])), lambda x: x[1]) AS left_words
+  FROM split LEFT JOIN lost USING (doc_id))
+SELECT doc_id, len(w) AS n_words, n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256, array_to_string(left_words, ' ') AS kept
+FROM marked
+"""
+
+
 #: Rows with a usable vector, as whole steps of 1/256.
 _VECTORS = """
 SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -179,5 +195,6 @@ def statements() -> dict[str, str]:
     return {
         "op1_chat_formatting": CHAT, "op3_decontamination": DECONTAMINATION,
         "op8_quality_rules": QUALITY_RULES, "op10_minhash_near_dedup": NEAR_DEDUP,
+        "op11_substring_dedup": SUBSTRING_DEDUP,
         "op12_vector_code_compression": VECTOR_CODES, "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftlens.llm import chat, decontaminate, hard_negatives, near_dup, quality_rules, rule_ensemble, sentencepiece_bpe, sharding, suffix_dedup, suffix_tree_lm, token_counts, vector_codes
+from shiftlens.llm import chat, decontaminate, hard_negatives, near_dup, quality_rules, rule_ensemble, sentencepiece_bpe, sharding, substring_dedup, suffix_dedup, suffix_tree_lm, token_counts, vector_codes
 from shiftlens.llm.text import stored
 from shiftlens.operators.joins import sized_join
 
@@ -88,6 +88,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Scheme(shingle_words=2))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.first_copies(table(spark, sf_dir, "documents"), window=50)
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["after"] - s["first"])
+    return left.select("doc_id", "n_words", removed.cast("long").alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "kept")
+
+
 def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
     coded = stored(coded)
@@ -116,6 +122,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_token_counts": op9_token_counts,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_substring_dedup": op11_substring_dedup,
         "op12_vector_code_compression": op12_vector_code_compression,
         "op13_hard_negatives": op13_hard_negatives,
     }
