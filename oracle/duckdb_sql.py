@@ -332,6 +332,11 @@ SELECT * FROM stg_timesheet
 """,
     "medallion_run": """
 SELECT 'dim_department' AS table_name, count(*) AS db_row_count, count(*) > 0 AS passed FROM dim_department UNION ALL SELECT 'dim_employee', count(*), count(*) > 0 FROM dim_employee UNION ALL SELECT 'dim_date', count(*), count(*) > 0 FROM dim_date UNION ALL SELECT 'fact_timesheet', count(*), count(*) > 0 FROM fact_timesheet
+""",
+    "star_incremental": """
+SELECT t.employee_id, strftime(t.work_date, '%Y-%m') AS month, count(*) AS n, sum(t.hours_worked) AS hours
+FROM stg_timesheet t JOIN stg_employee e USING (employee_id)
+WHERE day(e.bronze_loaded_at) - 1 <= least(hour(t.bronze_loaded_at), 2) GROUP BY ALL
 """,
     "kpi_active_headcount_all": """
 SELECT d.work_date, count(DISTINCT e.employee_id) AS active_headcount FROM dim_employee e JOIN dim_date d ON d.work_date >= e.hire_date AND (e.termination_date = DATE '2222-12-31' OR d.work_date <= e.termination_date) GROUP BY 1

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +15,7 @@ from ..operators.joins import sized_join
 from ..operators.merge import calendar_ids
 from ..operators.ordering import surrogate_keys
 
+# Columns of the fact.
 FACT_COLUMNS = (
     "employee_key", "department_key", "work_date", "punch_in", "punch_out",
     "scheduled_start", "scheduled_end", "hours_worked", "pay_code",
@@ -24,12 +27,20 @@ def _validity(as_of: dt.date) -> dict:
     return {"start_date": F.lit(as_of), "end_date": F.lit(SCD_END_SENTINEL)}
 
 
-def dim_department(stg_employee: DataFrame, as_of: dt.date, by_arrival: bool = False) -> DataFrame:
-    """Distinct departments with keys, by id and name or by first load time."""
+def dim_department(
+    stg_employee: DataFrame, as_of: dt.date, by_arrival: bool = False, known: DataFrame | None = None, last_key: int = 0
+) -> DataFrame:
+    """Distinct departments with keys, by id and name or by first load time.
+
+    With ``known`` departments, only those not among them, with keys after ``last_key``.
+    """
     names = ["department_id", "department_name"]
     if by_arrival:
         found = stg_employee.groupBy(*names).agg(F.min("bronze_loaded_at").alias("__first"))
-        keyed = surrogate_keys(found, "department_key", ["__first", *names], "departments", distinct=True).drop("__first")
+        if known is not None:
+            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"known_{c}")) for c in names])
+            found = found.join(known.select(*[F.col(c).alias(f"known_{c}") for c in names]), same, "left_anti")
+        keyed = surrogate_keys(found, "department_key", ["__first", *names], "departments", last_key, distinct=True).drop("__first")
     else:
         keyed = surrogate_keys(stg_employee.select(*names).distinct(), "department_key", names, "departments", distinct=True)
     return keyed.withColumns({"is_active": F.lit(1), **_validity(as_of)})
@@ -40,9 +51,10 @@ def dim_employee(
     departments: DataFrame,
     as_of: dt.date,
     by_arrival: bool = False,
+    last_key: int = 0,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """One row per staging row (and per name of its department id), with keys.
+    """One row per staging row (and per name of its department id), with keys after ``last_key``.
 
     ``by_arrival`` keys by load time first, so that later loads leave earlier keys alone.
     """
@@ -54,7 +66,7 @@ def dim_employee(
         "hire_date", "termination_date", "is_active",
     ]
     chosen = joined.select(*fields, *[c for c in order if c not in fields])
-    keyed = surrogate_keys(chosen, "employee_key", order, "employees")
+    keyed = surrogate_keys(chosen, "employee_key", order, "employees", last_key)
     return keyed.select("employee_key", *fields).withColumns(_validity(as_of))
 
 

@@ -7,14 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..config import DEFAULT_LIMITS, Limits, scratch_path
+from ..config import DEFAULT_LIMITS, Limits
 from ..functions.dates import ntz
-from ..operators.merge import absent_rows, calendar_ids, upsert_by_key
 from ..schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS
 from ..sources import paths, tables as t
 from ..sources.files import discover, relative_name, scan_delimited
 from ..sources.tables import Warehouse
-from . import gold, quality, silver
+from . import quality, silver, star
 
 
 class ValidationFailed(ValueError):
@@ -132,70 +131,7 @@ def check_gate(silver_result: dict, skip_on_validation_fail: bool) -> bool:
 
 # Star schema
 
-
-def _write_fact(warehouse: Warehouse, fact: DataFrame, mode: str) -> int:
-    """Rows written, as a new version of the table or in addition to it."""
-    name, first = t.FACT_TIMESHEET, 1
-    if mode == "append":
-        first += warehouse.read(name).agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first().id
-        warehouse.extend(name, fact, first)
-    else:
-        warehouse.replace(name, fact)
-        warehouse.drop_old(name)
-    return warehouse.read(name).where(F.col("id") >= first).count()
-
-
-def _dimensions(warehouse: Warehouse, as_of: dt.date, limits: Limits) -> tuple[DataFrame, DataFrame]:
-    staged = warehouse.read(t.STG_EMPLOYEE)
-    departments = gold.dim_department(staged, as_of, by_arrival=True)
-    return departments, gold.dim_employee(staged, departments, as_of, by_arrival=True, limits=limits)
-
-
-def load_gold(
-    warehouse: Warehouse, as_of: dt.date, fact_mode: str = "overwrite", recategorize: bool = True, limits: Limits = DEFAULT_LIMITS
-) -> dict:
-    """Build and store the star schema from all of staging.
-
-    ``fact_mode="append"`` adds the whole fact again on every run.
-    """
-    staged, timesheets = warehouse.read(t.STG_EMPLOYEE), warehouse.read(t.STG_TIMESHEET)
-    if staged.isEmpty():
-        return {"status": "skipped", "reason": "no staging data"}
-    departments, employees = _dimensions(warehouse, as_of, limits)
-    counts = {"dim_department": departments.count(), "dim_employee": employees.count()}
-    for name, key, rows in (
-        (t.DIM_DEPARTMENT, "department_key", departments), (t.DIM_EMPLOYEE, "employee_key", employees),
-    ):
-        warehouse.replace(name, upsert_by_key(warehouse.read(name), rows, [key], limits))
-        warehouse.drop_old(name)
-    known = warehouse.read(t.DIM_DATE)
-    days = scratch_path(warehouse.spark, "days")  # one row a day, so that staging is read once
-    gold.calendar_of(timesheets).write.parquet(days)
-    found = warehouse.spark.read.parquet(days)
-    last = known.agg(F.coalesce(F.max("date_id"), F.lit(0)).alias("id")).first().id
-    dates = calendar_ids(absent_rows(known, found, ["work_date"], limits), last).select(*known.columns)
-    warehouse.replace(t.DIM_DATE, known.unionByName(dates).coalesce(1))
-    warehouse.drop_old(t.DIM_DATE)
-    counts["dim_date"] = found.count()
-    fact = gold.fact_timesheet(timesheets, employees, recategorize, limits)
-    counts["fact_timesheet"] = _write_fact(warehouse, fact, fact_mode)
-    return {"status": "success", **counts}
-
-
-def refresh_fact(warehouse: Warehouse, as_of: dt.date, limits: Limits = DEFAULT_LIMITS) -> dict:
-    """Rebuild only the fact, with keys derived from staging again; empty staging leaves it as it is."""
-    staged, timesheets = warehouse.read(t.STG_EMPLOYEE), warehouse.read(t.STG_TIMESHEET)
-    if staged.isEmpty() or timesheets.isEmpty():
-        return {"status": "skipped", "reason": "no staging data"}
-    _, employees = _dimensions(warehouse, as_of, limits)
-    return {"status": "success", "records": _write_fact(warehouse, gold.fact_timesheet(timesheets, employees, limits=limits), "overwrite")}
-
-
-def star_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {
-        name.rsplit("/", 1)[-1]: warehouse.read(name)
-        for name in (t.DIM_DEPARTMENT, t.DIM_EMPLOYEE, t.DIM_DATE, t.FACT_TIMESHEET)
-    }
+load_gold, refresh_fact, star_tables = star.load_star, star.refresh_fact, star.star_tables
 
 
 def run_medallion(

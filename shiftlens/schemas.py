@@ -36,6 +36,8 @@ STG_TIMESHEET = _struct(
     source_file=_TEXT, bronze_loaded_at=NTZ, etl_batch_id=_TEXT, processed_at=NTZ,
 )
 WATERMARK = _struct(table_name=_TEXT, last_processed_at=NTZ, updated_at=NTZ)
+# One row a staging batch that the star schema holds, with the highest keys given by then.
+STAR_STATE = _struct(table_name=_TEXT, batch_key=_TEXT, recategorize=T.BooleanType(), department_keys=_LONG, employee_keys=_LONG)
 
 DIM_DEPARTMENT = _struct(
     department_key=_LONG, department_id=_TEXT, department_name=_TEXT,

@@ -20,6 +20,7 @@ from . import paths
 RAW_EMPLOYEE, RAW_TIMESHEET = "raw/raw_employee", "raw/raw_timesheet"
 STG_EMPLOYEE, STG_TIMESHEET = "staging/stg_employee", "staging/stg_timesheet"
 WATERMARK = "staging/etl_watermark"
+STAR_STATE = "public/etl_star_state"
 DIM_EMPLOYEE, DIM_DEPARTMENT = "public/dim_employee", "public/dim_department"
 DIM_DATE, FACT_TIMESHEET = "public/dim_date", "public/fact_timesheet"
 
@@ -31,6 +32,7 @@ SCHEMAS = {
     STG_EMPLOYEE: schemas.STG_EMPLOYEE,
     STG_TIMESHEET: schemas.STG_TIMESHEET,
     WATERMARK: schemas.WATERMARK,
+    STAR_STATE: schemas.STAR_STATE,
     DIM_EMPLOYEE: schemas.DIM_EMPLOYEE,
     DIM_DEPARTMENT: schemas.DIM_DEPARTMENT,
     DIM_DATE: schemas.DIM_DATE,
@@ -120,7 +122,14 @@ class Warehouse:
             return self.replace(name, df, first_id)
         self._write(name, df, versions[-1], "append", first_id)
 
-    def _write(self, name: str, df: DataFrame, path: str, mode: str, first_id: int) -> None:
+    def rewrite(self, name: str, df: DataFrame, first_id: int = 1) -> None:
+        """Replace the partitions that the rows belong to, in the current version; all others stay as they are."""
+        versions = self._versions(name)
+        if not versions:
+            return self.replace(name, df, first_id)
+        self._write(name, df, versions[-1], "overwrite", first_id, "dynamic")
+
+    def _write(self, name: str, df: DataFrame, path: str, mode: str, first_id: int, replaced: str = "static") -> None:
         rows = df
         if name in PARTITIONS:
             # Files of even size per partition folder; AQE splits a partition that is too large.
@@ -130,7 +139,7 @@ class Warehouse:
             # replaces all it wrote, so ids stay unique. They are not dense, which would take a sort.
             rows = rows.withColumn(ROW_IDS[name], F.monotonically_increasing_id() + F.lit(first_id))
         rows = rows.select(*SCHEMAS[name].fieldNames(), *[c for c in PARTITIONS.get(name, ()) if c in _HELPERS])
-        writer = rows.write.mode(mode)
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", replaced)
         if name in PARTITIONS:
             writer = writer.partitionBy(*PARTITIONS[name])
         writer.parquet(path)
@@ -139,6 +148,11 @@ class Warehouse:
         for old in self._versions(name)[:-keep]:
             paths.remove(self.spark, old)
 
+    def batches(self, name: str) -> set[str]:
+        """Keys of the batches that a staging table holds, from the folder names alone."""
+        found = paths.glob(self.spark, f"{self.path(name)}/{BATCH_KEY}=*")
+        return {unquote(p.rsplit("=", 1)[1]) for p in found}
+
     def loaded_files(self, name: str) -> set[str]:
         """Loaded files by their paths below the folder of the load, from the folder names alone."""
         found = paths.glob(self.spark, f"{self.path(name)}/{LOAD_DATE}=*/source_file=*")

@@ -14,6 +14,7 @@ from .functions.dates import clean_date, clean_date_with_sentinel, is_active_fla
 from .functions.numbers import clean_numeric
 from .functions.text import categorize_columns, clean_string, recategorize_comment
 from .operators import checks, merge
+from .operators.joins import sized_join
 from .plans import gold, kpi, lookup, medallion, quality, silver
 from .schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS, STG_TIMESHEET
 from .sources.files import discover, new_files, scan_delimited, write_delimited
@@ -239,6 +240,22 @@ def medallion_run(x: Layers) -> DataFrame:
     return results["post_load_validation"]
 
 
+def star_incremental(x: Layers) -> DataFrame:
+    """Files that arrive in three rounds, each brought into the star schema, and a run without new files: the fact by employee and month."""
+    folder, warehouse = scratch_path(x.spark, "arrivals"), Warehouse(x.spark, scratch_path(x.spark, "star"))
+    for day in range(4):
+        at = dt.datetime(2025, 1, 1 + day)
+        sources = {0: [0], 1: [1], 2: [2, 3], 3: []}[day]
+        if sources:
+            write_delimited(x.raw_employee.where(F.col("loaded_at") == F.lit(at).cast("timestamp_ntz")).select(*RAW_EMPLOYEE_COLUMNS), folder, prefix="employee")
+            arrived = x.raw_timesheet.where(F.col("source_file").isin([f"timesheet_{n}.csv" for n in sources]))
+            write_delimited(arrived.select(*RAW_TIMESHEET_COLUMNS), folder, prefix="timesheet")
+        medallion.run_medallion(warehouse, folder, at, AS_OF)
+    stored = medallion.star_tables(warehouse)
+    named = sized_join(stored["fact_timesheet"], stored["dim_employee"].select("employee_key", "employee_id"), "employee_key")
+    return named.groupBy("employee_id", F.date_format("work_date", "yyyy-MM").alias("month")).agg(_n(), F.sum("hours_worked").alias("hours"))
+
+
 # Lookups and changes
 
 
@@ -343,6 +360,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "insert_if_absent": insert_if_absent,
     "refresh_fact": refresh_fact,
     "medallion_run": medallion_run,
+    "star_incremental": star_incremental,
     "gold_counts": lambda x: quality.table_counts(**x.star),
     "post_load_counts": lambda x: quality.post_load_counts(**x.star),
     "kpi_active_headcount": lambda x: kpi.active_headcount(x.dim_employee, x.dim_date),
