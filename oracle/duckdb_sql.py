@@ -221,7 +221,20 @@ SELECT CAST(year(termination_date) AS INTEGER) AS termination_year, count(*) AS
 SELECT d.department_name, d.department_id, round(avg(date_diff('day', e.hire_date, e.termination_date) // 365), 0) AS avg_tenure_years FROM dim_employee e JOIN dim_department d USING (department_key) WHERE e.termination_date <> DATE '2222-12-31' GROUP BY 1, 2
 """,
     "kpi_avg_hours": """
-SELECT e.employee_id, e.first_name, e.last_name, round(CAST(sum(cast(coalesce(f.hours_worked, 0) AS DECIMAL(28,10))) AS DOUBLE) / count(*), 0) + 0.0 AS avg_daily_hours FROM fact_timesheet f JOIN dim_employee e USING (employee_key) GROUP BY 1, 2, 3
+SELECT e.employee_id, e.first_name, e.last_name, rounded(sum(numeric(coalesce(f.hours_worked, 0))), count(*)) AS avg_daily_hours FROM fact_timesheet f JOIN dim_employee e USING (employee_key) GROUP BY 1, 2, 3
+""",
+    "kpi_avg_hours_exact": """
+, odd AS (
+  SELECT employee_key, CASE WHEN employee_key % 97 = 0 AND pay_code = 'purchase' THEN 1e30 WHEN day(work_date) % 5 = 0 THEN 0.49999999999
+    WHEN day(work_date) % 5 = 1 THEN -0.25 WHEN day(work_date) % 5 = 2 THEN 0.7 WHEN day(work_date) % 5 = 3 THEN 0.3 ELSE hours_worked END AS hours
+  FROM fact_timesheet),
+added AS (
+  SELECT employee_id, first_name, last_name, count(*) AS n, count(*) FILTER (hours = 1e30) AS wild,
+    sum(CASE WHEN hours = 1e30 THEN 0 ELSE numeric(hours) END) AS s
+  FROM odd JOIN dim_employee USING (employee_key) GROUP BY 1, 2, 3)
+SELECT employee_id, first_name, last_name,
+  printf('%.9e', CASE WHEN wild > 0 THEN (wild * 1e30 + CAST(s AS DOUBLE)) / n ELSE rounded(s, n) END) AS avg_daily_hours
+FROM added
 """,
     "kpi_late_arrivals": """
 SELECT e.employee_id, e.first_name, e.last_name, count(*) AS late_days FROM fact_timesheet f JOIN dim_employee e USING (employee_key) WHERE f.punch_in::TIME > (f.scheduled_start::TIME + INTERVAL '5 minutes') GROUP BY 1, 2, 3
@@ -233,7 +246,7 @@ SELECT e.employee_id, e.first_name, e.last_name, count(*) AS early_departure_day
 SELECT employee_key, count(*) AS overtime_count FROM fact_timesheet WHERE punch_in IS NOT NULL AND punch_out IS NOT NULL AND scheduled_start IS NOT NULL AND scheduled_end IS NOT NULL AND ((work_date + punch_out::TIME) - (work_date + punch_in::TIME)) > ((work_date + scheduled_end::TIME) - (work_date + scheduled_start::TIME) + INTERVAL '5 minutes') GROUP BY 1
 """,
     "kpi_rolling_avg_hours": """
-SELECT f.employee_key, e.first_name, e.last_name, f.work_date, f.punch_in, round(CAST(sum(cast(f.hours_worked AS DECIMAL(28,10))) OVER w AS DOUBLE) / count(f.hours_worked) OVER w, 0) + 0.0 AS rolling_avg_7days FROM fact_timesheet f JOIN dim_employee e USING (employee_key) WINDOW w AS (PARTITION BY f.employee_key ORDER BY f.work_date, f.punch_in NULLS FIRST, f.punch_out NULLS FIRST, f.hours_worked ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+SELECT f.employee_key, e.first_name, e.last_name, f.work_date, f.punch_in, rounded(sum(numeric(f.hours_worked)) OVER w, count(f.hours_worked) OVER w) AS rolling_avg_7days FROM fact_timesheet f JOIN dim_employee e USING (employee_key) WINDOW w AS (PARTITION BY f.employee_key ORDER BY f.work_date, f.punch_in NULLS FIRST, f.punch_out NULLS FIRST, f.hours_worked ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 """,
     "kpi_early_attrition": """
 SELECT round(count(*) FILTER (WHERE date_diff('day', hire_date, termination_date) <= 90)::DECIMAL / count(*) * 100, 2) AS early_attrition_rate_percentage FROM dim_employee WHERE termination_date <> DATE '2222-12-31'
@@ -388,6 +401,30 @@ def _expand(text: str) -> str:
     return re.sub(r"\bdcln\((\w+)\)", lambda m: bare.replace("{c}", m[1]), text)
 
 
+_NUMERIC = "CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))"
+# Half away from zero in whole numbers: the digits of the sum without their point, against those of the count.
+_ROUNDED = """CAST(sign({s}) * ((2 * CAST(replace(CAST(abs({s}) AS VARCHAR), '.', '') AS HUGEINT) + CAST({n} AS HUGEINT) * 1000000000000000000)
+  // nullif(2 * CAST({n} AS HUGEINT) * 1000000000000000000, 0)) AS DOUBLE)"""
+
+
+def _call(text: str, name: str, *names: str, body: str) -> str:
+    """Write out calls of a macro whose arguments may hold brackets themselves."""
+    while (start := text.find(f"{name}(")) >= 0:
+        at, depth, given = start + len(name) + 1, 1, [""]
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[at], 0)
+            if text[at] == "," and depth == 1:
+                given.append("")
+            elif depth:
+                given[-1] += text[at]
+            at += 1
+        out = body
+        for key, value in zip(names, given, strict=True):
+            out = out.replace(f"{{{key}}}", value.strip())
+        text = text[:start] + out + text[at:]
+    return text
+
+
 def statements() -> dict[str, str]:
     prelude = f"WITH raw_employee AS ({RAW_EMPLOYEE}), raw_timesheet AS ({RAW_TIMESHEET}), {_expand(PRELUDE)}"
     parts = {"{qc_gold_suite}": BODIES["qc_gold_suite"], "{silver_checks}": SILVER_CHECKS}
@@ -395,5 +432,6 @@ def statements() -> dict[str, str]:
     for name, body in BODIES.items():
         for marker, text in parts.items():
             body = body.replace(marker, text)
+        body = _call(_call(body, "rounded", "s", "n", body=_ROUNDED), "numeric", "x", body=_NUMERIC)
         out[name] = prelude + body
     return out

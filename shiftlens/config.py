@@ -26,8 +26,7 @@ class Limits:
 
     broadcast_bytes: int = 64 << 20  # a join side is broadcast only when measured below this
     hot_rows: int = 5_000_000  # a key with this many rows is too much for one task
-    max_hot_keys: int = 1024  # only the most frequent keys are split; any other holds < 1/1024 of the rows
-    max_salts: int = 512
+    tracked_keys: int = 1 << 16  # a key is found frequent when it holds 3.5 of this many parts of the rows
     deep_page_rows: int = 2_000  # a top-k gathers this many rows a partition; later pages sort in parallel
 
 

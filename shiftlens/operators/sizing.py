@@ -31,19 +31,14 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str, limits: Limits = DEFAULT_LIMITS) -> dict:
-    """Row counts of the keys too frequent for one task, at most ``max_hot_keys`` of them.
+    """Rows of the keys that are too many for one task, NULL among them, from one pass that shuffles sketches only.
 
-    Counts are combined before the shuffle, so a hot key costs one row a map task.
+    The sketch counts frequent items within ``3.5 / tracked_keys`` of all rows, so it misses no key with that share;
+    rarer keys are no burden for a task among that many rows. However many keys are hot, all of them are found.
     """
-    rows = (
-        df.groupBy(F.col(key).alias("k"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= limits.hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(limits.max_hot_keys)
-        .collect()
-    )
-    return {r.k: r.n for r in rows}
+    top = F.expr(f"approx_top_k(`{key}`, {limits.tracked_keys}, {limits.tracked_keys})")
+    found = df.agg(F.filter(top, lambda x: x["count"] >= limits.hot_rows).alias("top")).first()
+    return {r["item"]: r["count"] for r in found.top or ()}
 
 
 def is_one_of(key: str, values) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULT_LIMITS, GRACE_MINUTES, TERMINATION_SENTINEL, Limits
 from ..functions.dates import clock_time, days_between, minutes, shift_clock, time_of_day
+from ..functions.exact import pieces, rounded_mean, sums
 from ..functions.numbers import round_half_away
 from ..operators.joins import sized_join
 from ..operators.ordering import COPIES, PART, POSITION, count_copies, globally_ordered, repeat_rows
@@ -102,16 +103,21 @@ def _by_name(per_key: DataFrame, dim_employee: DataFrame) -> DataFrame:
     return per_key.join(dim_employee.select("employee_key", *_NAMES), "employee_key").groupBy(*_NAMES)
 
 
-#: Hours are summed exactly, in any order of rows; beyond 28 digits they are left out and a sum is NULL.
-_HOURS = "decimal(38,10)"
+_HOURS = "__hours_"
+
+
+def _with_hours(rows: DataFrame, hours: Column) -> DataFrame:
+    """The pieces of the hours, which add up without loss in any order of rows."""
+    return rows.withColumns({f"{_HOURS}{name}": piece for name, piece in pieces(hours).items()})
 
 
 def avg_hours(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """KPI 4: mean hours per fact row."""
-    hours = F.coalesce(F.col("hours_worked"), F.lit(0.0)).try_cast(_HOURS)
-    per_key = fact.groupBy("employee_key").agg(F.try_sum(hours).alias("hours"), F.count(F.lit(1)).alias("n"))
-    mean = F.try_sum("hours").cast("double") / F.sum("n")
-    return _by_name(per_key, dim_employee).agg(round_half_away(mean).alias("avg_daily_hours")).orderBy(F.desc("avg_daily_hours"))
+    hours = _with_hours(fact.select("employee_key", F.coalesce(F.col("hours_worked"), F.lit(0.0)).alias("hours_worked")), F.col("hours_worked"))
+    added = [c.alias(name) for name, c in sums(_HOURS).items()]
+    per_key = hours.groupBy("employee_key").agg(*added, F.count(F.lit(1)).alias("n"))
+    per_name = _by_name(per_key, dim_employee).agg(*added, F.sum("n").alias("n"))
+    return per_name.select(*_NAMES, rounded_mean(_HOURS, F.col("n")).alias("avg_daily_hours")).orderBy(F.desc("avg_daily_hours"))
 
 
 def _count_where(fact: DataFrame, condition: Column, name: str) -> DataFrame:
@@ -163,10 +169,12 @@ _ROLLING_COLUMNS = ("employee_key", "first_name", "last_name", "work_date", "pun
 _FRAME_ROWS = 7
 
 
-def _rolling_mean(*partition: str, order: list[Column]) -> Column:
+def _with_rolling_mean(rows: DataFrame, *partition: str, order: list[Column]) -> DataFrame:
+    """``rolling_avg_7days`` of the row and the six before it; a frame without hours has none."""
     frame = Window.partitionBy(*partition).orderBy(*order).rowsBetween(1 - _FRAME_ROWS, Window.currentRow)
-    hours = F.col("hours_worked").try_cast(_HOURS)
-    return round_half_away(F.try_divide(F.try_sum(hours).over(frame).cast("double"), F.count(hours).over(frame)))
+    within = sums(_HOURS, lambda c: c.over(frame)) | {"__n": F.count("hours_worked").over(frame)}
+    framed = _with_hours(rows, F.col("hours_worked")).select(*rows.columns, *[c.alias(name) for name, c in within.items()])
+    return framed.select(*rows.columns, rounded_mean(_HOURS, F.col("__n")).alias("rolling_avg_7days"))
 
 
 def _rolling_of_hot(fact: DataFrame) -> DataFrame:
@@ -195,8 +203,7 @@ def _rolling_of_hot(fact: DataFrame) -> DataFrame:
         .drop("__to")
     )
     rows = ordered.rows.unionByName(before)
-    mean = _rolling_mean(PART, "employee_key", order=[F.col(POSITION)])
-    wanted = rows.withColumn("rolling_avg_7days", mean).where(F.col("__times") > 0)
+    wanted = _with_rolling_mean(rows, PART, "employee_key", order=[F.col(POSITION)]).where(F.col("__times") > 0)
     return repeat_rows(wanted, "__times", "__copy").select("employee_key", "work_date", "punch_in", "rolling_avg_7days")
 
 
@@ -212,9 +219,7 @@ def rolling_avg_hours(
     hot = hot_keys(punches, "employee_key", limits)
     is_hot = is_one_of("employee_key", hot)
     order = [F.col(c).asc_nulls_first() for c in _ROLLING_ORDER]
-    cold = (punches.where(~is_hot) if hot else punches).withColumn(
-        "rolling_avg_7days", _rolling_mean("employee_key", order=order)
-    )
+    cold = _with_rolling_mean(punches.where(~is_hot) if hot else punches, "employee_key", order=order)
     # A shuffle join on the key finds the rows where the window has put them.
     result = sized_join(cold, names, "employee_key", hot={}, limits=limits).select(*_ROLLING_COLUMNS)
     if hot:

@@ -240,6 +240,17 @@ def medallion_run(x: Layers) -> DataFrame:
     return results["post_load_validation"]
 
 
+def kpi_avg_hours_exact(x: Layers) -> DataFrame:
+    """KPI 4 over hours next to a half, below zero and beyond every decimal type."""
+    day = F.day("work_date") % 5
+    odd = (
+        F.when((F.col("employee_key") % 97 == 0) & (F.col("pay_code") == "purchase"), F.lit(1e30))
+        .when(day == 0, 0.49999999999).when(day == 1, -0.25).when(day == 2, 0.7).when(day == 3, 0.3).otherwise(F.col("hours_worked"))
+    )
+    means = kpi.avg_hours(x.fact.withColumn("hours_worked", odd), x.dim_employee)
+    return means.withColumn("avg_daily_hours", F.format_string("%.9e", "avg_daily_hours"))
+
+
 def star_incremental(x: Layers) -> DataFrame:
     """Files that arrive in three rounds, each brought into the star schema, and a run without new files: the fact by employee and month."""
     folder, warehouse = scratch_path(x.spark, "arrivals"), Warehouse(x.spark, scratch_path(x.spark, "star"))
@@ -367,6 +378,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "kpi_turnover_trend": lambda x: kpi.turnover_trend(x.dim_employee),
     "kpi_avg_tenure": lambda x: kpi.avg_tenure(x.dim_employee, x.dim_department),
     "kpi_avg_hours": lambda x: kpi.avg_hours(x.fact, x.dim_employee),
+    "kpi_avg_hours_exact": kpi_avg_hours_exact,
     "kpi_late_arrivals": lambda x: kpi.late_arrivals(x.fact, x.dim_employee),
     "kpi_early_departures": lambda x: kpi.early_departures(x.fact, x.dim_employee),
     "kpi_overtime": lambda x: kpi.overtime(x.fact),

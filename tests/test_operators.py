@@ -12,7 +12,6 @@ from shiftlens.operators import checks, merge, ordering, sizing
 from shiftlens.operators.joins import sized_join
 
 SHUFFLE = Limits(broadcast_bytes=0, hot_rows=10**9)  # never broadcast, nothing hot
-HOT_BROADCAST = Limits(broadcast_bytes=200, hot_rows=50)  # only the right rows of hot keys are broadcast
 SALTED = Limits(broadcast_bytes=0, hot_rows=50)  # hot keys are salted
 
 
@@ -38,7 +37,7 @@ def test_sized_join_gives_the_same_rows_by_every_strategy(sides, how, null_safe)
     other = right.withColumnRenamed("k", "k2")
     condition = F.col("k").eqNullSafe(F.col("k2")) if null_safe else F.col("k") == F.col("k2")
     wanted = bag(left.join(other, condition, how).drop("k2"))
-    for limits in (Limits(), SHUFFLE, HOT_BROADCAST, SALTED):
+    for limits in (Limits(), SHUFFLE, SALTED):
         joined = sized_join(left, right, "k", how, null_safe=null_safe, limits=limits)
         assert bag(joined.select(*[c for c in ("k", "v", "name") if c in joined.columns])) == wanted
 
@@ -51,11 +50,36 @@ def test_strategies_are_the_intended_ones(sides):
 
     assert "strategy=broadcast" in plan(Limits())
     assert "strategy=broadcast" not in plan(SHUFFLE) and "Union" not in plan(SHUFFLE)
-    assert "strategy=broadcast" in plan(HOT_BROADCAST) and "Union" in plan(HOT_BROADCAST)
-    assert "__salt" in plan(SALTED)
+    assert "__salt" in plan(SALTED) and "Union" not in plan(SALTED)
     assert sizing.hot_keys(left, "k", SALTED) == {"hot": 300, None: 120}
 
 
+def test_many_hot_keys_are_all_spread(spark, tmp_path):
+    path = str(tmp_path / "left")
+    spark.range(0, 120_000, 1, 6).selectExpr("CASE WHEN id % 4 = 0 THEN id ELSE id % 2000 END AS k", "id AS v").write.parquet(path)
+    left = spark.read.parquet(path)
+    right = spark.range(0, 2100).selectExpr("id AS k", "id * 2 AS w")
+    hot = sizing.hot_keys(left, "k", SALTED)
+    wanted = left.groupBy("k").count().where("count >= 50")
+    assert len(hot) >= 1500 and {r.k for r in wanted.collect()} <= set(hot)
+    joined = sized_join(left, right, "k", limits=SALTED)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1  # besides the pass that sketched the keys
+    assert bag(joined.groupBy("k").agg(F.count("*"), F.sum("v"), F.sum("w"))) == bag(left.join(right, "k").groupBy("k").agg(F.count("*"), F.sum("v"), F.sum("w")))
+
+
+def test_copies_of_one_row_are_spread(spark):
+    left = spark.range(0, 4000, 1, 8).selectExpr("'same' AS k")
+    right = spark.createDataFrame([("same", 1), ("other", 2)], "k string, w int")
+    joined = sized_join(left, right, "k", limits=SALTED)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r.n for r in sized_join(left, right, "k", limits=SALTED).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert joined.count() == 4000 == sum(sizes) and max(sizes) < 3000
+
+
 def test_surrogate_keys_are_dense_ordered_and_whole(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["a", "b", "c"]), rng.randint(0, 3)) for _ in range(500)] + [("copy", 1)] * 700 + [(None, 2)] * 3
