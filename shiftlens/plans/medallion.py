@@ -7,11 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..config import DEFAULT_LIMITS, Limits
+from ..config import DEFAULT_LIMITS, Limits, scratch_path
 from ..functions.dates import ntz
 from ..schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS
 from ..sources import paths, tables as t
-from ..sources.files import discover, relative_name, scan_delimited
+from ..sources.files import RECORD, listing, new_files, scan_delimited, spans_lines
 from ..sources.tables import Warehouse
 from . import quality, silver, star
 
@@ -23,6 +23,15 @@ class ValidationFailed(ValueError):
 # Raw
 
 
+def fresh_files(warehouse: Warehouse, table: str, prefix: str, data_dir: str, recursive: bool = False) -> DataFrame:
+    """The files of one table that it does not have yet, as ``listing`` gives them.
+
+    A file is known by its path below ``data_dir``: equal names in two folders are two files.
+    """
+    found = listing(warehouse.spark, data_dir, prefix, recursive=recursive)
+    return new_files(found, warehouse.loaded_files(table))
+
+
 def load_files(
     warehouse: Warehouse,
     table: str,
@@ -33,19 +42,37 @@ def load_files(
     recursive: bool = False,
     multi_line: bool | None = None,
 ) -> int:
-    """Load the files of one table that it does not have yet, in one commit.
+    """Load the files of one table that it does not have yet, in one commit, then note them as loaded; the rows loaded.
 
-    A file is known by its path below ``data_dir``: equal names in two folders are two files.
+    Lines are parsed once, and those with too many fields are kept apart in the same write. Files whose quoted fields
+    span lines show by lines of a wrong length with an odd number of quotes: these files are read again whole.
+    ``multi_line`` says for all files whether to read them whole.
     """
-    loaded, root = warehouse.loaded_files(table), paths.qualified(warehouse.spark, data_dir)
-    found = discover(warehouse.spark, data_dir, prefix, recursive=recursive)
-    fresh = [f for f in found if relative_name(f, root) not in loaded]
-    if not fresh:
+    spark, root = warehouse.spark, paths.qualified(warehouse.spark, data_dir)
+    place = scratch_path(spark, "files")
+    fresh_files(warehouse, table, prefix, data_dir, recursive).write.parquet(place)
+    fresh = spark.read.parquet(place)  # one listing for the load and its list of files
+    names = {r.path: r.source_file for r in fresh.select("path", "source_file").collect()}
+    if not names:
         return 0
-    warehouse.add(table, scan_delimited(warehouse.spark, fresh, columns, loaded_at, multi_line=multi_line, root=root))
+
+    def scan(files: list[str], whole: bool) -> DataFrame:
+        return scan_delimited(spark, files, columns, loaded_at, multi_line=whole, root=root, with_records=True)
+
+    of_load = (F.col(t.LOAD_DATE) == ntz(loaded_at).cast("date")) & (F.col(t.LOAD_KEY) == t.load_key(ntz(loaded_at)))
+    warehouse.add(table, scan(sorted(names), bool(multi_line)))
+    if multi_line is None:
+        odd = warehouse.rejects(table).where((F.col("loaded_at") == ntz(loaded_at)) & spans_lines(F.col(RECORD)))
+        broken = {r.source_file for r in odd.select("source_file").distinct().collect()}
+        if broken:
+            # The load's rows as they are now, but for these files; written apart, since they replace themselves.
+            apart = scratch_path(spark, "load")
+            rows = warehouse.stored_load(table, loaded_at).where(~F.col("source_file").isin(*broken))
+            rows.unionByName(scan(sorted(p for p, name in names.items() if name in broken), True)).write.parquet(apart)
+            warehouse.add(table, spark.read.parquet(apart))
+    warehouse.add(t.FILES_OF[table], fresh.withColumn("loaded_at", ntz(loaded_at)))
     # Counted in the footers of the files written, not by a second scan of the text.
-    of_today = warehouse.read(table, with_helpers=True).where(F.col(t.LOAD_DATE) == ntz(loaded_at).cast("date"))
-    return of_today.where(F.col("loaded_at") == ntz(loaded_at)).count()
+    return warehouse.read(table, with_helpers=True).where(of_load).count()
 
 
 def load_bronze(
@@ -65,7 +92,7 @@ def load_bronze(
 def _unprocessed(warehouse: Warehouse, table: str, mark: dt.datetime) -> DataFrame:
     """Raw rows after the mark. Folders of earlier days are not even listed."""
     raw = warehouse.read(table, with_helpers=True)
-    return silver.rows_after(raw.where(F.col(t.LOAD_DATE) >= ntz(mark).cast("date")), mark).drop(t.LOAD_DATE)
+    return silver.rows_after(raw.where(F.col(t.LOAD_DATE) >= ntz(mark).cast("date")), mark).drop(t.LOAD_DATE, t.LOAD_KEY)
 
 
 def _advance(warehouse: Warehouse, table_name: str, last: dt.datetime, now: dt.datetime) -> None:

@@ -25,6 +25,10 @@ RAW_TIMESHEET_COLUMNS = (
 RAW_EMPLOYEE = _struct(**{c: _TEXT for c in RAW_EMPLOYEE_COLUMNS}, source_file=_TEXT, loaded_at=NTZ)
 RAW_TIMESHEET = _struct(**{c: _TEXT for c in RAW_TIMESHEET_COLUMNS}, source_file=_TEXT, loaded_at=NTZ)
 
+# Files loaded into a raw table, and its lines with more or fewer fields than their header.
+RAW_FILES = _struct(source_file=_TEXT, length=_LONG, modified_at=NTZ, loaded_at=NTZ)
+REJECTS = _struct(source_file=_TEXT, loaded_at=NTZ, record=_TEXT, n_fields=_INT, n_expected=_INT, rejected=T.BooleanType())
+
 STG_EMPLOYEE = _struct(
     employee_id=_TEXT, first_name=_TEXT, last_name=_TEXT, job_title=_TEXT,
     department_id=_TEXT, department_name=_TEXT, hire_date=_DATE, termination_date=_DATE,

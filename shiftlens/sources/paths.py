@@ -46,16 +46,6 @@ def walk(spark: SparkSession, root: str) -> list[str]:
     return sorted(found)
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    fs, p = _open(spark, path)
-    java_io = spark._jvm.java.io
-    reader = java_io.BufferedReader(java_io.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
-
-
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)

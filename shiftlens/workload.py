@@ -17,7 +17,8 @@ from .operators import checks, merge
 from .operators.joins import sized_join
 from .plans import gold, kpi, lookup, medallion, quality, silver
 from .schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS, STG_TIMESHEET
-from .sources.files import discover, new_files, scan_delimited, write_delimited
+from .sources import paths
+from .sources.files import discover, scan_delimited, write_delimited
 from .sources.tables import BATCH_KEY, RAW_EMPLOYEE, RAW_TIMESHEET, STG_EMPLOYEE, STG_TIMESHEET as STAGED_TIMESHEET, Warehouse
 from .streaming.incremental import stream_silver_timesheets
 
@@ -90,12 +91,16 @@ def bronze_scan_csv(x: Layers) -> DataFrame:
     return scan_delimited(x.spark, files, RAW_TIMESHEET_COLUMNS, LOADED_AT).drop("source_file")
 
 
+def _arrive(rows: DataFrame, folder: str, prefix: str, columns: tuple[str, ...]) -> None:
+    write_delimited(rows.select(*columns, "source_file"), folder, prefix=prefix, by=["source_file"])
+
+
 def _loaded(x: Layers, table: str, prefix: str, rows: DataFrame, columns: tuple[str, ...], arrivals: list[dt.datetime]) -> DataFrame:
     """The raw table after its files arrived and were loaded one time after the other, sources by their fixture names."""
     warehouse, folder = Warehouse(x.spark, scratch_path(x.spark, "raw")), scratch_path(x.spark, f"files-{prefix}")
     for at in arrivals:
         arrived = rows.where(F.col("loaded_at") == F.lit(at).cast("timestamp_ntz"))
-        write_delimited(arrived.select(*columns, "source_file"), folder, prefix=prefix, by=["source_file"])
+        _arrive(arrived, folder, prefix, columns)
         medallion.load_files(warehouse, table, prefix, columns, folder, at, recursive=True)
     raw = warehouse.read(table)
     return raw.withColumn("source_file", F.regexp_extract("source_file", "^source_file=([^/]+)/", 1))
@@ -116,8 +121,34 @@ def bronze_lineage(x: Layers) -> DataFrame:
 
 
 def bronze_new_files(x: Layers) -> DataFrame:
-    loaded = x.raw_timesheet.where(F.col("source_file").isin("timesheet_0.csv", "timesheet_1.csv"))
-    return new_files(x.raw_timesheet, loaded).groupBy("source_file").agg(_n())
+    """Rows by source of the files that a raw table lacks, after a load of the first two sources."""
+    warehouse, folder = Warehouse(x.spark, scratch_path(x.spark, "raw")), scratch_path(x.spark, "files")
+    first = F.col("source_file").isin("timesheet_0.csv", "timesheet_1.csv")
+    _arrive(x.raw_timesheet.where(first), folder, "timesheet", RAW_TIMESHEET_COLUMNS)
+    medallion.load_files(warehouse, RAW_TIMESHEET, "timesheet", RAW_TIMESHEET_COLUMNS, folder, dt.datetime(2025, 1, 1), recursive=True)
+    _arrive(x.raw_timesheet.where(~first), folder, "timesheet", RAW_TIMESHEET_COLUMNS)
+    fresh = medallion.fresh_files(warehouse, RAW_TIMESHEET, "timesheet", folder, recursive=True)
+    files = [r.path for r in fresh.select("path").collect()]
+    root = paths.qualified(x.spark, folder)
+    rows = scan_delimited(x.spark, files, RAW_TIMESHEET_COLUMNS, LOADED_AT, root=root)
+    return rows.groupBy(F.regexp_extract("source_file", "^source_file=([^/]+)/", 1).alias("source_file")).agg(_n())
+
+
+def bronze_rejects(x: Layers) -> DataFrame:
+    """Lines by their number of fields, some with one too many and some that end early: rows loaded and rows rejected."""
+    folder = scratch_path(x.spark, "odd-files")
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in RAW_TIMESHEET_COLUMNS]
+    short, whole = F.concat_ws("|", *quoted[:5]), F.concat_ws("|", *quoted)
+    line = F.when(F.col("hours_worked") == "abc", F.concat(whole, F.lit('|"one|more"'))).when(F.col("hours_worked") == "--", short).otherwise(whole)
+    header = "|".join(RAW_TIMESHEET_COLUMNS)
+    lines = x.raw_timesheet.select(line.alias(header))
+    lines.write.option("mapreduce.output.basename", "timesheet").options(header=True, quote="", sep="\x01").csv(folder)
+    warehouse = Warehouse(x.spark, scratch_path(x.spark, "raw"))
+    medallion.load_files(warehouse, RAW_TIMESHEET, "timesheet", RAW_TIMESHEET_COLUMNS, folder, dt.datetime(2025, 1, 1))
+    odd = warehouse.rejects(RAW_TIMESHEET).groupBy("n_fields", "rejected").agg(_n())
+    loaded = warehouse.read(RAW_TIMESHEET).groupBy((F.col("hours_worked") == "--").alias("ends_early")).agg(_n())
+    full = loaded.where(~F.col("ends_early")).select(F.lit(len(RAW_TIMESHEET_COLUMNS)).alias("n_fields"), F.lit(False).alias("rejected"), "n")
+    return odd.unionByName(full)
 
 
 # Staging
@@ -342,6 +373,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "bronze_load_employee": bronze_load_employee,
     "bronze_load_timesheet": bronze_load_timesheet,
     "bronze_new_files": bronze_new_files,
+    "bronze_rejects": bronze_rejects,
     "watermark_state": watermark_state,
     "incremental_employees": incremental_employees,
     "incremental_timesheets": incremental_timesheets,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shiftlens.plans import gold, lookup, medallion, quality, silver
 from shiftlens.sources import tables as t
-from shiftlens.sources.files import discover, header_of, scan_delimited
+from shiftlens.sources.files import discover, headers_of, scan_delimited
 from shiftlens.sources.tables import Warehouse
 from shiftlens.streaming.incremental import batch_writer, file_stream, run_available, stream_silver_timesheets
 
@@ -56,7 +56,7 @@ def test_scan_keeps_text_and_reads_each_layout(spark, place):
     put("employee_2.csv", MORE_EMPLOYEES)
     files = discover(spark, source, "employee")
     assert [os.path.basename(f) for f in files] == ["employee_1.csv", "employee_2.csv"]
-    assert header_of(spark, files[1]) == ("term_date", "last_name", "client_employee_id")
+    assert headers_of(spark, files)[files[1].removeprefix("file:")] == ("term_date", "last_name", "client_employee_id")
     rows = {
         r.client_employee_id: r
         for r in scan_delimited(spark, files, ("client_employee_id", "last_name", "department_name", "term_date"), hour(1)).collect()
@@ -91,7 +91,7 @@ def test_loads_are_incremental_and_repeatable(spark, place, tmp_path):
     assert first["valid"] and first["gold"] == {
         "status": "success", "dim_department": 3, "dim_employee": 3, "dim_date": 2, "fact_timesheet": 2
     }
-    assert warehouse.loaded_files(t.RAW_TIMESHEET) == {"timesheet 1+a%20.csv"}
+    assert {r.source_file for r in warehouse.loaded_files(t.RAW_TIMESHEET).collect()} == {"timesheet 1+a%20.csv"}
     assert {r.source_file for r in warehouse.read(t.RAW_TIMESHEET).collect()} == {"timesheet 1+a%20.csv"}
     assert all(r.passed for r in first["post_load_validation"].collect())
 
@@ -253,3 +253,32 @@ def test_silver_report(spark):
     assert unused.passed and unused.message == "1 employees have no timesheet records"
     summary = {r.layer: (r.passed, r.error_count, r.warning_count) for r in quality.silver_summary(quality.silver_report(employees, sheets)).collect()}
     assert summary == {"Silver - Employee": (False, 1, 2), "Silver - Timesheet": (False, 2, 1), "Silver - Referential Integrity": (True, 0, 1)}
+
+
+def test_lines_with_too_many_fields_are_kept_apart(spark, place, tmp_path):
+    source, put = place
+    put("employee_5.csv", 'client_employee_id|first_name|last_name\n1|a|b\n2|"x|y"|z|SURPLUS\n3|c\n\n"4"|"""q"""|d\n')
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    count = medallion.load_files(warehouse, t.RAW_EMPLOYEE, "employee_5", t.schemas.RAW_EMPLOYEE_COLUMNS, source, hour(1))
+    rows = {(r.client_employee_id, r.last_name) for r in warehouse.read(t.RAW_EMPLOYEE).collect()}
+    assert count == 3 and rows == {("1", "b"), ("3", None), ("4", "d")}
+    odd = {(r.record, r.n_fields, r.n_expected, r.rejected, r.source_file) for r in warehouse.rejects(t.RAW_EMPLOYEE).collect()}
+    assert odd == {('2|"x|y"|z|SURPLUS', 4, 3, True, "employee_5.csv"), ("3|c", 2, 3, False, "employee_5.csv")}
+    assert medallion.load_files(warehouse, t.RAW_EMPLOYEE, "employee_5", t.schemas.RAW_EMPLOYEE_COLUMNS, source, hour(2)) == 0
+    plan = warehouse.rejects(t.RAW_EMPLOYEE)._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(record)" in plan
+
+
+def test_a_load_that_stopped_before_its_list_of_files_is_not_repeated(spark, place, tmp_path):
+    source, put = place
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    file = discover(spark, source, "employee")
+    warehouse.add(t.RAW_EMPLOYEE, scan_delimited(spark, file, t.schemas.RAW_EMPLOYEE_COLUMNS, hour(1), with_records=True))
+    put("employee_2.csv", MORE_EMPLOYEES)
+    put("employee_9.csv", "")
+    assert medallion.load_bronze(warehouse, source, hour(2))["employees"] == 1
+    assert {r.source_file for r in warehouse.loaded_files(t.RAW_EMPLOYEE).collect()} == {"employee_1.csv", "employee_2.csv"}
+    sizes = {r.source_file: r.length for r in warehouse.read(t.EMPLOYEE_FILES).collect()}
+    assert sizes["employee_2.csv"] == len(MORE_EMPLOYEES)
+    folders = {p.name for p in (tmp_path / "warehouse" / "raw" / "raw_employee").rglob("*") if p.is_dir()}
+    assert not any(f.startswith("source_file") for f in folders)  # as many folders as loads
