@@ -5,8 +5,12 @@ Every distinct text is posted under its (coordinate, value) pairs, and two texts
 threshold agree in far more than ``matches`` coordinates. Sorted from the rarest pair to the most common one, two
 such texts must share a pair among the first ``coordinates - matches + 1`` (the prefix); all other postings, the
 longest lists, are skipped. Texts that share a list are compared on whole signatures and, where enough
-coordinates collide, on their whole shingle sets, so that no false link remains. A list longer than ``block``
-is compared block against block in tasks of their own, and a pair only in the first list that it shares.
+coordinates collide, on their whole shingle sets, so that no false link remains.
+
+First each text is held against the smallest text of its lists, which joins most of a large group of near copies at
+one row a posting. Only texts of a list that are still in different components are compared further: those outside the
+list's largest component with all others, block against block in tasks of their own, and a pair only in the first
+list that it shares. No link between different components is left out, and components need no other.
 
 With the defaults a pair at exactly 80 % is missed with a probability of about 1e-6.
 
@@ -106,14 +110,44 @@ def postings(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     return ranked.where(f"rank <= {scheme.prefix} - ({scheme.coordinates} - common)").select("node", "coordinate", "value")
 
 
+def leader_links(posted: DataFrame, signed: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Confirmed links ``(a, b)`` of nodes to the smallest of the leaders of their lists that their signatures agree with."""
+    leaders = posted.groupBy("coordinate", "value").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
+    pairs = posted.join(leaders, ["coordinate", "value"]).where("node <> leader").select("node", "leader").distinct()
+    own = signed.select("node", "n_shingles", "signature")
+    other = own.select(F.col("node").alias("leader"), F.col("n_shingles").alias("n_other"), F.col("signature").alias("other"))
+    equal = F.size(F.filter(F.zip_with("signature", "other", lambda x, y: x == y), lambda same: same))
+    sizes = 100 * F.least("n_shingles", "n_other") >= scheme.percent * F.greatest("n_shingles", "n_other")
+    alike = pairs.join(own, "node").join(other, "leader").where((equal >= scheme.matches) & sizes)
+    chosen = stored(alike.groupBy("node").agg(F.min("leader").alias("leader")))
+    ends = chosen.select("node").union(chosen.select("leader")).distinct()
+    hashes = stored(sets.select(F.col("id").alias("node"), "hashes").join(ends, "node"))
+    both = chosen.join(hashes, "node").join(hashes.select(F.col("node").alias("leader"), F.col("hashes").alias("others")), "leader")
+    common = F.size(F.array_intersect("hashes", "others"))
+    near = 100 * common >= scheme.percent * (F.size("hashes") + F.size("others") - common)
+    return both.where(near).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+
+
 def lists_to_compare(posted: DataFrame, scheme: Scheme) -> DataFrame:
-    """Rows ``(coordinate, value, pair, node)``: members of a list, or of a pair of blocks of a long one, to compare."""
-    sizes = posted.groupBy("coordinate", "value").agg(F.count("*").alias("size")).where("size > 1")
-    rows = posted.join(sizes, ["coordinate", "value"]).withColumn("blocks", F.ceil(F.col("size") / scheme.block).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    """Rows ``(coordinate, value, pair, node, component)``: members of a block, or of a pair of blocks, of a list to compare.
+
+    Lists within one ``component`` are left out. The largest component of a list has blocks of its own, which meet the
+    blocks of all others but not each other.
+    """
+    members = posted.groupBy("coordinate", "value", "component").agg(F.count("*").alias("n"))
+    lists = members.groupBy("coordinate", "value").agg(
+        F.count("*").alias("components"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("largest")
+    ).where("components > 1")
+    blocks = lambda n: F.ceil(n / scheme.block).cast("int")
+    lists = lists.select(
+        "coordinate", "value", F.col("largest.component").alias("largest"), blocks(F.col("size") - F.col("largest.n")).alias("others"), blocks(F.col("largest.n")).alias("own")
+    )
+    rows = posted.join(lists, ["coordinate", "value"]).withColumn("inside", F.col("component") == F.col("largest"))
+    block = F.when(F.col("inside"), F.col("others") + F.pmod(F.xxhash64("node"), "own")).otherwise(F.pmod(F.xxhash64("node"), "others"))
+    last = F.when(F.col("inside"), F.col("others")).otherwise(F.col("others") + F.col("own")) - 1
+    rows = rows.withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     pair = F.least("block", "other").cast("long") * (1 << 31) + F.greatest("block", "other")
-    return rows.withColumn("other", other).select("coordinate", "value", pair.alias("pair"), "node")
+    return rows.select("coordinate", "value", pair.alias("pair"), "node", "component")
 
 
 LIST = ("coordinate", "value", "pair")
@@ -138,17 +172,17 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _collisions(group: pa.Table, scheme: Scheme) -> np.ndarray:
-    """Which members have enough equal coordinates, for pairs whose first common posting is this list."""
+    """Which members of different components have enough equal coordinates, for pairs whose first common posting is this list."""
     n = group.num_rows
     values = group.column("signature").combine_chunks().flatten().to_numpy().reshape(n, -1)
     posted = (group.column("posted").to_numpy()[:, None] >> np.arange(scheme.coordinates)) & 1 == 1
-    sizes = group.column("n_shingles").to_numpy()
+    sizes, components = group.column("n_shingles").to_numpy(), group.column("component").to_numpy()
     here, close = group.column("coordinate")[0].as_py(), np.zeros((n, n), bool)
     for i in range(n - 1):
         same = values[i + 1 :] == values[i]
         first = (same & posted[i + 1 :] & posted[i]).argmax(axis=1)
         least, most = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
-        close[i, i + 1 :] = (same.sum(axis=1) >= scheme.matches) & (first == here) & (100 * least >= scheme.percent * most)
+        close[i, i + 1 :] = (same.sum(axis=1) >= scheme.matches) & (first == here) & (components[i + 1 :] != components[i]) & (100 * least >= scheme.percent * most)
     return close
 
 
@@ -202,12 +236,15 @@ def _links(scheme: Scheme):
 
 
 def links_of(nodes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """Confirmed links ``(a, b)`` between nodes; within one list only as many as connect it."""
+    """Confirmed links ``(a, b)`` between nodes, only as many as connect them."""
     posted = stored(postings(nodes, scheme))
+    led = stored(leader_links(posted, nodes, sets, scheme))
+    roots = stored(component_roots(led))
+    grouped = posted.join(roots, "node", "left").select("node", "coordinate", "value", F.coalesce("root", "node").alias("component"))
     masks = posted.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, coordinate)) AS posted"))
     signed = nodes.join(masks, "node")
-    rows = lists_to_compare(posted, scheme).join(signed, "node")
-    columns = "node long, n_shingles long, signature array<bigint>, posted long, coordinate int, value long, pair long"
+    rows = lists_to_compare(stored(grouped), scheme).join(signed, "node")
+    columns = "node long, n_shingles long, signature array<bigint>, posted long, component long, coordinate int, value long, pair long"
     names = [c.split()[0] for c in columns.split(", ")]
 
     def by_list(frame: DataFrame) -> DataFrame:
@@ -216,7 +253,8 @@ def links_of(nodes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
     near = stored(by_list(rows.select(*names)).mapInArrow(_candidates(scheme), columns))
     wanted = sets.join(near.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
     full = near.join(wanted.select(F.col("id").alias("node"), "text_key", "hashes"), ["node"]).drop("text_key")
-    return by_list(full).mapInArrow(_links(scheme), "a long, b long")
+    crossing = by_list(full).mapInArrow(_links(scheme), "a long, b long")
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(crossing)
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_id", text: str = "text") -> DataFrame:
