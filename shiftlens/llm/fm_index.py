@@ -89,7 +89,7 @@ def sorted_suffixes(symbols: np.ndarray) -> np.ndarray:
         following = np.zeros(n, np.int64)
         following[: n - length] = rank[length:] + 1
         keys = rank * (n + 1) + following
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         names = np.cumsum(np.r_[0, np.diff(keys[order]) != 0])
         if names[-1] == n - 1:
             return order
@@ -132,11 +132,12 @@ class FMIndex:
         """Words as symbols; 0, which no match holds, for words that are not in the index."""
         return np.array([self.words.get(word, 0) for word in words], np.int64)
 
-    def matches(self, streamed: list[np.ndarray], before: np.ndarray) -> list[np.ndarray]:
+    def matches(self, streamed: list[np.ndarray], before: np.ndarray, least: int = 1) -> list[np.ndarray]:
         """Matching statistics of each streamed sequence, given as ``codes``.
 
         At each place: how many words from there on, up to ``longest``, stand in a sequence whose owner is below the
-        streamed sequence's ``before``.
+        streamed sequence's ``before``. A sequence is left, with 0 at its places to come, when so few of them remain
+        that no match there can reach ``least`` words.
         """
         sizes = np.array([len(s) for s in streamed], np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -160,11 +161,14 @@ class FMIndex:
             depth[beyond] = self.longest
             failed = active[~fits]
             ended, shorter = failed[depth[failed] == 0], failed[depth[failed] > 0]
-            least = np.maximum(self.common[first[shorter]], self.common[after[shorter]])
-            first[shorter], after[shorter] = self.shared.widened(first[shorter], after[shorter], least)
-            depth[shorter] = np.maximum(least, 0)
+            shared = np.maximum(self.common[first[shorter]], self.common[after[shorter]])
+            some, none = shorter[shared > 0], shorter[shared <= 0]
+            first[some], after[some] = self.shared.widened(first[some], after[some], shared[shared > 0])
+            first[none], after[none] = 0, self.size
+            depth[shorter] = np.maximum(shared, 0)
             moved = np.concatenate([longer, ended])
             found[at[moved]] = depth[moved]
             at[moved] -= 1
-            active = active[at[active] >= starts[active]]
+            remain = at[active] - starts[active] + 1
+            active = active[(remain > 0) & (remain + depth[active] >= least)]
         return np.split(found, starts[1:]) if len(sizes) else []

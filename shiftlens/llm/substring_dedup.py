@@ -203,7 +203,7 @@ def _shards(window: int):
         index = FMIndex([p.split() for p in pieces], smallest, window)
         later = np.flatnonzero(largest > smallest)
         streamed = [*index.sequences, *(index.sequences[i] for i in later)]
-        lengths = index.matches(streamed, np.concatenate([smallest, largest[later]]))
+        lengths = index.matches(streamed, np.concatenate([smallest, largest[later]]), window)
         runs = [[{"first": a, "after": b + window - 1} for a, b in _runs(found >= window)] for found in lengths]
         of_later: list[list] = [[] for _ in held]
         for i, found in zip(later, runs[len(held) :], strict=True):

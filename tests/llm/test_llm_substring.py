@@ -25,6 +25,9 @@ def test_matching_statistics_equal_brute_force():
                 lengths = range(1, min(longest, len(words) - i) + 1)
                 fits = [k for k in lengths if any(o < limit and s[j : j + k] == words[i : i + k] for s, o in zip(sequences, owners, strict=True) for j in range(len(s)))]
                 assert found[i] == max(fits, default=0)
+        full = index.matches([index.codes(s) for s in streamed], before)
+        for longer, found in zip(full, index.matches([index.codes(s) for s in streamed], before, longest), strict=True):
+            assert ((found >= longest) == (longer >= longest)).all()  # what is left out stays below the least length
 
 
 def test_wavelet_tree_ranks():
