@@ -44,7 +44,7 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
-        F.decode("kept", "UTF-8").alias("kept"),  # characters of which a part stays are shown as U+FFFD
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"),  # characters of which a part stays are shown as U+FFFD
     )
 
 

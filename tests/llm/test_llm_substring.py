@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from shiftlens.llm import fm_index, substring_dedup
+from shiftlens.llm import fm_index, queries, substring_dedup
 
 SCHEMA = "doc_id long, text string, data string, row string, doc string, twin string"
 
@@ -98,3 +98,12 @@ def test_empty_table_and_short_windows(spark):
     assert substring_dedup.first_copies(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):
         substring_dedup.first_copies(spark.createDataFrame([], SCHEMA), window=16)
+
+
+def test_kept_text_of_a_character_cut_in_two(spark, tmp_path):
+    rng = random.Random(6)
+    passage = prose(rng, 120)
+    texts = [passage + "é one", passage + "ü two", passage + "ö three"]  # their first byte is shared, the second is not
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.op2_suffix_array_dedup(spark, str(tmp_path)).collect()
+    assert {r.kept for r in rows} == {"\ufffd one", "\ufffd two", "\ufffd three"}
