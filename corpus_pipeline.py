@@ -52,7 +52,7 @@ STAGES = [
     ("decontamination", benchmark_leaks),
     ("sentencepiece", encoded),
 ]
-#: SQL can't express the encoder: the whole is tested against a brute-force version instead.
+#: SQL can't express the encoder. Tests hold the operators against brute force one by one, and three stages in a row, not the whole.
 ORACLE_SQL = None
 
 
