@@ -146,6 +146,16 @@ SELECT employee_id, work_date, hours_worked FROM cln_timesheet
 """,
     "clean_date": """
 SELECT employee_id, hire_date FROM stg_employee
+""",
+    "clean_date_formats": """
+SELECT employee_id, hire_date, termination_date, is_active, source_file FROM stg_employee
+""",
+    "date_format_votes": """
+SELECT source_file, 'hire_date' AS column, CASE source_file WHEN 'employee_0.csv' THEN 'MM/dd/yyyy[ HH:mm[:ss]]' WHEN 'employee_1.csv' THEN 'yyyyMMdd[ HH:mm[:ss]]' ELSE 'ISO' END AS format,
+       count(*) AS n_texts, count(*) FILTER (hire_date <> 'not-a-date') AS n_parsed FROM raw_employee GROUP BY ALL
+UNION ALL
+SELECT source_file, 'term_date', CASE source_file WHEN 'employee_0.csv' THEN 'MM/dd/yyyy[ HH:mm[:ss]]' WHEN 'employee_1.csv' THEN 'yyyyMMdd[ HH:mm[:ss]]' ELSE 'ISO' END,
+       count(*) FILTER (term_date LIKE '2%'), count(*) FILTER (term_date LIKE '2%') FROM raw_employee GROUP BY ALL
 """,
     "clean_date_sentinel": """
 SELECT employee_id, termination_date FROM stg_employee
@@ -267,6 +277,15 @@ SELECT employee_key, employee_id, first_name FROM dim_employee WHERE first_name
 """,
     "get_employee": """
 SELECT * FROM dim_employee WHERE employee_key = 5
+""",
+    "list_timesheets_deep": """
+SELECT employee_key, work_date, punch_in, hours_worked, pay_code FROM fact_timesheet ORDER BY work_date DESC, employee_key, punch_in NULLS FIRST, punch_out NULLS FIRST, hours_worked LIMIT 20 OFFSET 2580
+""",
+    "list_timesheets_stored": """
+SELECT employee_key, work_date, punch_in, hours_worked, pay_code FROM fact_timesheet WHERE work_date >= DATE '2024-01-10' AND work_date <= DATE '2024-02-09' ORDER BY work_date DESC, employee_key, punch_in NULLS FIRST, punch_out NULLS FIRST, hours_worked LIMIT 20 OFFSET 40
+""",
+    "get_timesheet": """
+SELECT f.employee_key, f.work_date, f.punch_in, f.hours_worked, f.pay_code, e.employee_id, e.first_name FROM (SELECT * FROM fact_timesheet WHERE pay_code = 'click' ORDER BY work_date DESC, employee_key, punch_in NULLS FIRST, punch_out NULLS FIRST, hours_worked LIMIT 1) f LEFT JOIN dim_employee e USING (employee_key)
 """,
     "list_timesheets": """
 SELECT employee_key, work_date, punch_in, hours_worked, pay_code FROM fact_timesheet WHERE work_date >= DATE '2024-01-05' AND work_date <= DATE '2024-01-20' AND pay_code = 'click' ORDER BY work_date DESC, employee_key, punch_in NULLS FIRST, punch_out NULLS FIRST, hours_worked LIMIT 20 OFFSET 20
@@ -347,6 +366,16 @@ FROM raw_timesheet
 """,
     "stream_incremental_silver": """
 SELECT * FROM stg_timesheet
+""",
+    "stream_incremental_employee": """
+SELECT e.*, coalesce(t.n_timesheets, 0) AS n_timesheets FROM stg_employee e LEFT JOIN (SELECT employee_id, count(*) AS n_timesheets FROM stg_timesheet GROUP BY 1) t USING (employee_id)
+""",
+    "gate_stops": """
+SELECT 'Silver - Timesheet' AS layer, 'Null Work Date' AS check_name, count(*) || ' null values found' AS message, true AS stopped, CAST(0 AS BIGINT) AS fact_rows
+FROM raw_timesheet WHERE hours_worked = 'abc' AND client_employee_id IN (SELECT employee_id FROM stg_employee)
+""",
+    "post_load_unreadable": """
+SELECT 'dim_department' AS table_name, CAST(-1 AS BIGINT) AS db_row_count, false AS passed UNION ALL SELECT 'dim_employee', count(*), count(*) > 0 FROM dim_employee UNION ALL SELECT 'dim_date', count(*), count(*) > 0 FROM dim_date UNION ALL SELECT 'fact_timesheet', count(*), count(*) > 0 FROM fact_timesheet
 """,
     "medallion_run": """
 SELECT 'dim_department' AS table_name, count(*) AS db_row_count, count(*) > 0 AS passed FROM dim_department UNION ALL SELECT 'dim_employee', count(*), count(*) > 0 FROM dim_employee UNION ALL SELECT 'dim_date', count(*), count(*) > 0 FROM dim_date UNION ALL SELECT 'fact_timesheet', count(*), count(*) > 0 FROM fact_timesheet

@@ -27,7 +27,8 @@ class Limits:
     broadcast_bytes: int = 64 << 20  # a join side is broadcast only when measured below this
     hot_rows: int = 5_000_000  # a key with this many rows is too much for one task
     tracked_keys: int = 1 << 16  # a key is found frequent when it holds 3.5 of this many parts of the rows
-    deep_page_rows: int = 2_000  # a top-k gathers this many rows a partition; later pages sort in parallel
+    deep_page_rows: int = 2_000  # a top-k gathers this many rows a partition; pages further in are found by counts
+    page_cuts: int = 64  # values at which a column is cut to find such a page
 
 
 DEFAULT_LIMITS = Limits()

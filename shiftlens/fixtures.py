@@ -60,7 +60,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    return employees_from_customers(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+
+
+def employees_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey).where("c_custkey % 7 <> 3")
     return rows.selectExpr(*_columns(_RAW_EMPLOYEE))
 

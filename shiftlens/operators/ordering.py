@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -90,23 +91,106 @@ def surrogate_keys(
     return rows.select((number + F.lit(start + 1)).cast("long").alias(key), *df.columns)
 
 
-def page(df: DataFrame, order: list[Column], number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Rows of one page. Early pages are a top-k; late ones are cut from the global order.
+# Pages
+
+
+@dataclass(frozen=True)
+class By:
+    """A column to order by. NULL is the smallest value: first upwards, last downwards."""
+
+    name: str
+    down: bool = False
+
+    def column(self) -> Column:
+        return F.col(f"`{self.name}`").desc_nulls_last() if self.down else F.col(f"`{self.name}`").asc_nulls_first()
+
+    def turned(self) -> By:
+        return By(self.name, not self.down)
+
+
+def _slice(df: DataFrame, order: list[By], skip: int, size: int) -> DataFrame:
+    """A top-k with an offset; without an order the rows are copies, and any of them will do."""
+    return df.orderBy(*[b.column() for b in order]).offset(skip).limit(size) if order else df.limit(size)
+
+
+def _cuts(df: DataFrame, name: str, limits: Limits) -> list:
+    """Values of a few rows drawn at random, different and in order, to cut the column at; whichever they are, pages are right."""
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        column = (column + 0).cast(kind)  # zero without a sign
+    drawn = df.select(column.alias("cut")).where("cut IS NOT NULL").orderBy(F.rand()).limit(limits.page_cuts)
+    return drawn.agg(F.array_sort(F.collect_set("cut"))).first()[0]
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    return F.lit(str(value) if isinstance(kind, T.TimestampNTZType) else value).cast(kind)
+
+
+def _stretch(column: Column, cuts: list[Column], first: int, last: int) -> Column:
+    """The rows of buckets ``first`` to ``last``: -1 holds NULL, 2 i + 1 the cut i, 2 i what lies below it."""
+    within = F.lit(True)
+    if first > 0:
+        within = within & (column >= cuts[first // 2] if first % 2 else column > cuts[first // 2 - 1])
+    if last < 2 * len(cuts):
+        within = within & (column <= cuts[last // 2] if last % 2 else column < cuts[last // 2]) if last >= 0 else F.lit(False)
+    return column.isNull() | within if first < 0 else column.isNotNull() & within
+
+
+def _pieces(df: DataFrame, order: list[By], skip: int, size: int, total: int, limits: Limits) -> list[DataFrame]:
+    """Rows ``skip`` to ``skip + size`` of ``total``, in pieces, each of them small."""
+    if size <= 0:
+        return []
+    if size == total:
+        return [df]
+    if not order or skip + size <= limits.deep_page_rows:
+        return [_slice(df, order, skip, size)]
+    if total - skip <= limits.deep_page_rows:
+        return [_slice(df, [b.turned() for b in order], total - skip - size, size)]
+    lead, rest = order[0], order[1:]
+    values = _cuts(df, lead.name, limits)
+    if not values:
+        return _pieces(df, rest, skip, size, total, limits)
+    column, kind = F.col(f"`{lead.name}`"), df.schema[lead.name].dataType
+    cuts = [_literal(v, kind) for v in values]
+    known = F.array(*cuts)
+    bucket = F.size(F.filter(known, lambda c: c < column)) + F.size(F.filter(known, lambda c: c <= column))
+    counts = df.groupBy(F.when(column.isNull(), -1).otherwise(bucket).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()
+    ordered = sorted(((r.bucket, r.n) for r in counts), reverse=lead.down)
+    starts = [0, *accumulate(n for _, n in ordered)]
+    met = [i for i, (_, n) in enumerate(ordered) if starts[i] < skip + size and starts[i] + n > skip]
+
+    def taken(some: list[int]) -> list[DataFrame]:
+        """What the page has of a run of buckets."""
+        ends = sorted((ordered[some[0]][0], ordered[some[-1]][0]))
+        begin, end = starts[some[0]], starts[some[-1] + 1]
+        one_value = len(some) == 1 and ends[0] % 2
+        rows = df.where(_stretch(column, cuts, *ends))
+        from_, to = max(skip, begin), min(skip + size, end)
+        return _pieces(rows, rest if one_value else order, from_ - begin, to - from_, end - begin, limits)
+
+    # Buckets between the first and the last one belong to the page as a whole.
+    groups = [met] if len(met) < 2 or starts[met[-1] + 1] - starts[met[0]] <= limits.deep_page_rows else [met[:1], met[1:-1], met[-1:]]
+    return [piece for group in groups if group for piece in taken(group)]
+
+
+def page(df: DataFrame, order: list[By], number: int = 1, size: int = 20, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Rows of one page of a table with atomic columns.
+
+    Early pages, and late ones counted from the end, are a top-k. All others are found by counts: the first column is cut
+    at a few of its values, rows are counted between the cuts, and only the stretch that holds the page is looked
+    at again, down to the next columns where a value is frequent. Nothing is shuffled, sorted or written but
+    the stretch at the end; each look is a scan of one column, with the bounds of the stretch pushed to it.
 
     The order is completed by all columns, so that only exact copies tie: pages neither lose nor repeat a row,
     whichever way each of them is found.
     """
     if number < 1 or not 1 <= size <= 100:
         raise ValueError("page numbers start at 1 and a page has 1 to 100 rows")
-    order = [*order, *(F.col(c).asc_nulls_first() for c in df.columns)]
+    named = {b.name for b in order}
+    order = [*order, *(By(c) for c in df.columns if c not in named)]
     skip = (number - 1) * size
     if skip + size <= limits.deep_page_rows:
-        return df.orderBy(*order).offset(skip).limit(size)
-    ordered = globally_ordered(count_copies(df), order, "page")
-    first, last = F.greatest(POSITION, F.lit(skip)), F.least(F.col(POSITION) + F.col(COPIES), F.lit(skip + size)) - 1
-    return (
-        ordered.rows.where((F.col(POSITION) < skip + size) & (F.col(POSITION) + F.col(COPIES) > skip))
-        .withColumn("__at", F.explode(F.sequence(first, last)))
-        .orderBy("__at")
-        .select(*df.columns)
-    )
+        return _slice(df, order, skip, size)
+    total = df.count()
+    pieces = _pieces(df, order, skip, min(size, total - skip), total, limits) or [df.limit(0)]
+    return reduce(DataFrame.unionByName, pieces).orderBy(*[b.column() for b in order])

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import DEFAULT_LIMITS, Limits
 from ..operators.joins import sized_join
-from ..operators.ordering import page
+from ..operators.ordering import By, page
+from ..sources.tables import WORK_MONTH
 
-def latest_first() -> list[Column]:
+
+def latest_first() -> list[By]:
     """Order of timesheet listings: latest first; ``page`` completes it to a total order."""
-    return [
-        F.desc("work_date"), F.asc("employee_key"), F.asc_nulls_first("punch_in"),
-        F.asc_nulls_first("punch_out"), F.asc("hours_worked"),
-    ]
+    return [By("work_date", down=True), By("employee_key"), By("punch_in"), By("punch_out"), By("hours_worked")]
 
 
 def search_employees(dim_employee: DataFrame, text: str) -> DataFrame:
@@ -45,7 +45,12 @@ def filter_timesheets(
     department_key: int | None = None,
     pay_code: str | None = None,
 ) -> DataFrame:
+    """Timesheets by any of the filters. A stored fact read with its month prunes its folders by the dates."""
     rows = fact
+    if WORK_MONTH in fact.columns:
+        months = [F.col(WORK_MONTH) >= f"{date_from:%Y-%m}"] if date_from is not None else []
+        months += [F.col(WORK_MONTH) <= f"{date_to:%Y-%m}"] if date_to is not None else []
+        rows = reduce(DataFrame.where, months, rows).drop(WORK_MONTH)
     if employee_key is not None:
         rows = rows.where(F.col("employee_key") == employee_key)
     if date_from is not None:
@@ -69,7 +74,7 @@ def list_employees(
 ) -> tuple[DataFrame, DataFrame]:
     """A page of employees by key, and the total."""
     rows = filter_employees(dim_employee, **filters)
-    return page(rows, [F.asc("employee_key")], number, size, limits), total(rows)
+    return page(rows, [By("employee_key")], number, size, limits), total(rows)
 
 
 def list_timesheets(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,7 +14,7 @@ from ..schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS
 from ..sources import paths, tables as t
 from ..sources.files import RECORD, listing, new_files, scan_delimited, spans_lines
 from ..sources.tables import Warehouse
-from . import quality, silver, star
+from . import date_votes, quality, silver, star
 
 
 class ValidationFailed(ValueError):
@@ -59,8 +60,7 @@ def load_files(
     def scan(files: list[str], whole: bool) -> DataFrame:
         return scan_delimited(spark, files, columns, loaded_at, multi_line=whole, root=root, with_records=True)
 
-    of_load = (F.col(t.LOAD_DATE) == ntz(loaded_at).cast("date")) & (F.col(t.LOAD_KEY) == t.load_key(ntz(loaded_at)))
-    warehouse.add(table, scan(sorted(names), bool(multi_line)))
+    loaded = warehouse.add(table, scan(sorted(names), bool(multi_line)))
     if multi_line is None:
         odd = warehouse.rejects(table).where((F.col("loaded_at") == ntz(loaded_at)) & spans_lines(F.col(RECORD)))
         broken = {r.source_file for r in odd.select("source_file").distinct().collect()}
@@ -69,10 +69,9 @@ def load_files(
             apart = scratch_path(spark, "load")
             rows = warehouse.stored_load(table, loaded_at).where(~F.col("source_file").isin(*broken))
             rows.unionByName(scan(sorted(p for p, name in names.items() if name in broken), True)).write.parquet(apart)
-            warehouse.add(table, spark.read.parquet(apart))
+            loaded = warehouse.add(table, spark.read.parquet(apart))
     warehouse.add(t.FILES_OF[table], fresh.withColumn("loaded_at", ntz(loaded_at)))
-    # Counted in the footers of the files written, not by a second scan of the text.
-    return warehouse.read(table, with_helpers=True).where(of_load).count()
+    return loaded
 
 
 def load_bronze(
@@ -113,9 +112,9 @@ def _transform(warehouse: Warehouse, raw_table: str, stg_table: str, clean, now:
         return batch, 0, 0
     # Later arrivals belong to the next run.
     cleaned = clean(rows.where(F.col("loaded_at") <= ntz(found.last)))
-    warehouse.add(stg_table, silver.stamp(cleaned, batch, now), key)
+    kept = warehouse.add(stg_table, silver.stamp(cleaned, batch, now), key)
     _advance(warehouse, name, found.last, now)
-    return batch, found.n, warehouse.read(stg_table, with_helpers=True).where(F.col(t.BATCH_KEY) == key).count()
+    return batch, found.n, kept
 
 
 def transform_silver(
@@ -124,21 +123,39 @@ def transform_silver(
     validate: bool = True,
     date_formats: Sequence[str] = (),
     limits: Limits = DEFAULT_LIMITS,
+    vote_formats: Sequence[str] = (),
 ) -> dict:
-    """Clean new raw rows, drop orphan timesheets, validate staging."""
+    """Clean new raw rows, drop orphan timesheets, validate staging.
+
+    ``vote_formats`` (such as ``date_votes.CANDIDATES``) are formats of which each file's dates elect one; texts that
+    are read by none are counted in the report.
+    """
+    unread: list[DataFrame] = []
+
+    def voted(raw: DataFrame, table: str, layer: str, columns: tuple[str, ...]) -> DataFrame:
+        if not vote_formats:
+            return raw
+        place = scratch_path(warehouse.spark, "votes")
+        date_votes.tally(raw, columns, vote_formats).write.parquet(place)
+        tallied = warehouse.spark.read.parquet(place)  # one row a file, used by the load and by its report
+        unread.append(date_votes.report(table, layer, tallied))
+        return date_votes.iso_dates(raw, tallied, vote_formats, limits)
 
     def clean_employees(raw: DataFrame) -> DataFrame:
-        return silver.clean_employee(raw, date_formats)
+        rows = voted(raw, "stg_employee", "Silver - Employee", ("hire_date", "term_date"))
+        return silver.clean_employee(rows, date_formats)
 
     batch, _, employees = _transform(warehouse, t.RAW_EMPLOYEE, t.STG_EMPLOYEE, clean_employees, processed_at)
 
     def known_timesheets(raw: DataFrame) -> DataFrame:
-        return silver.keep_known(silver.clean_timesheet(raw, date_formats), warehouse.read(t.STG_EMPLOYEE), limits)
+        rows = voted(raw, "stg_timesheet", "Silver - Timesheet", ("punch_apply_date", "punch_in_datetime", "punch_out_datetime"))
+        return silver.keep_known(silver.clean_timesheet(rows, date_formats), warehouse.read(t.STG_EMPLOYEE), limits)
 
     ts_batch, found, kept = _transform(warehouse, t.RAW_TIMESHEET, t.STG_TIMESHEET, known_timesheets, processed_at)
     report = None
     if validate and (employees or kept):
         report = quality.silver_report(warehouse.read(t.STG_EMPLOYEE), warehouse.read(t.STG_TIMESHEET))
+        report = reduce(DataFrame.unionByName, unread, report)
     return {
         "batch_id": batch, "timesheet_batch_id": ts_batch, "employees": employees,
         "timesheets": kept, "orphans": found - kept, "validation": report,
@@ -161,6 +178,11 @@ def check_gate(silver_result: dict, skip_on_validation_fail: bool) -> bool:
 load_gold, refresh_fact, star_tables = star.load_star, star.refresh_fact, star.star_tables
 
 
+def post_load(warehouse: Warehouse) -> DataFrame:
+    """Rows of each stored table of the star schema; one that can't be read is a failed check."""
+    return quality.post_load_report(warehouse.spark, {name: partial(warehouse.read, table) for name, table in star.STAR.items()})
+
+
 def run_medallion(
     warehouse: Warehouse,
     data_dir: str,
@@ -170,11 +192,12 @@ def run_medallion(
     date_formats: Sequence[str] = (),
     recursive: bool = False,
     limits: Limits = DEFAULT_LIMITS,
+    vote_formats: Sequence[str] = (),
 ) -> dict:
     """All layers in order; results of each."""
     results: dict = {"bronze": load_bronze(warehouse, data_dir, loaded_at, recursive)}
-    results["silver"] = transform_silver(warehouse, loaded_at, date_formats=date_formats, limits=limits)
+    results["silver"] = transform_silver(warehouse, loaded_at, date_formats=date_formats, limits=limits, vote_formats=vote_formats)
     results["valid"] = check_gate(results["silver"], skip_on_validation_fail)
     results["gold"] = load_gold(warehouse, as_of, limits=limits)
-    results["post_load_validation"] = quality.post_load_counts(**star_tables(warehouse))
+    results["post_load_validation"] = post_load(warehouse)
     return results

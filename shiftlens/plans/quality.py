@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.checks import count_null
 
@@ -22,7 +25,7 @@ def _sum(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0).cast("long"))
 
 
-def _check(table: str, check: str, failing: Column, message: Column, severity: str = ERROR) -> Column:
+def check_row(table: str, check: str, failing: Column, message: Column, severity: str = ERROR) -> Column:
     failing = failing.cast("long")
     return F.struct(
         F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), failing.alias("failing"),
@@ -39,7 +42,7 @@ def _ranged(opening: str, least: str, most: str, closing: str, outside: str) ->
 
 
 def _at_least_one(table: str, rows: Column) -> Column:
-    return _check(table, "row_count", F.when(rows >= 1, 0).otherwise(1), _said("Row count: ", rows))
+    return check_row(table, "row_count", F.when(rows >= 1, 0).otherwise(1), _said("Row count: ", rows))
 
 
 def _rows(measures: DataFrame, checks: list[Column]) -> DataFrame:
@@ -60,8 +63,8 @@ def _keyed_table_measures(df: DataFrame, keys: list[str], critical: list[str]) -
 def _keyed_table_checks(table: str) -> list[Column]:
     return [
         _at_least_one(table, F.col("n")),
-        _check(table, "null_check", F.col("nulls"), _said("Nulls in critical columns: ", F.col("nulls"))),
-        _check(table, "duplicate_check", F.col("duplicates"), _said("Rows with a duplicate key: ", F.col("duplicates"))),
+        check_row(table, "null_check", F.col("nulls"), _said("Nulls in critical columns: ", F.col("nulls"))),
+        check_row(table, "duplicate_check", F.col("duplicates"), _said("Rows with a duplicate key: ", F.col("duplicates"))),
     ]
 
 
@@ -74,7 +77,7 @@ def _orphans(key: str, flag: str) -> Column:
 
 
 def _orphan_check(table: str, key: str, number: Column) -> Column:
-    return _check(table, f"ref_integrity_{key}", number, _said("Orphan keys: ", number))
+    return check_row(table, f"ref_integrity_{key}", number, _said("Orphan keys: ", number))
 
 
 def gold_suite(dim_employee: DataFrame, dim_department: DataFrame, dim_date: DataFrame, fact: DataFrame) -> DataFrame:
@@ -120,11 +123,11 @@ def gold_suite(dim_employee: DataFrame, dim_department: DataFrame, dim_date: Dat
     name = "fact_timesheet"
     fact_checks = _rows(measures, [
         _at_least_one(name, F.col("n")),
-        _check(name, "null_check", F.col("nulls"), _said("Nulls in critical columns: ", F.col("nulls"))),
-        _check(name, "range_check_hours_worked", F.col("hours"), _ranged("Range [", "least", "most", "], outside: ", "hours")),
+        check_row(name, "null_check", F.col("nulls"), _said("Nulls in critical columns: ", F.col("nulls"))),
+        check_row(name, "range_check_hours_worked", F.col("hours"), _ranged("Range [", "least", "most", "], outside: ", "hours")),
         _orphan_check(name, "employee_key", F.col("employees")),
         _orphan_check(name, "department_key", F.col("departments")),
-        _check(name, "date_range_work_date", F.col("early"), _ranged("Dates [", "first", "last", "], too early: ", "early")),
+        check_row(name, "date_range_work_date", F.col("early"), _ranged("Dates [", "first", "last", "], too early: ", "early")),
     ])
     return reduce(DataFrame.unionByName, [department, employee, employee_orphans, date, fact_checks])
 
@@ -175,11 +178,11 @@ def silver_report(stg_employee: DataFrame, stg_timesheet: DataFrame) -> DataFram
     """The checks of both staging tables, with their severity and layer."""
     def some_rows(table: str) -> Column:
         n = F.col("row_count")
-        return _check(table, "Row Count", F.when(n > 0, 0).otherwise(1), F.concat(n.cast("string"), F.lit(" records")))
+        return check_row(table, "Row Count", F.when(n > 0, 0).otherwise(1), F.concat(n.cast("string"), F.lit(" records")))
 
     def counted(table: str, check: str, column: str, text: str, severity: str = ERROR) -> Column:
         n = F.col(column)
-        return _check(table, check, n, F.concat(n.cast("string"), F.lit(text)), severity)
+        return check_row(table, check, n, F.concat(n.cast("string"), F.lit(text)), severity)
 
     employee = _layer(employee_measures(stg_employee), "Silver - Employee", [
         some_rows("stg_employee"),
@@ -196,8 +199,8 @@ def silver_report(stg_employee: DataFrame, stg_timesheet: DataFrame) -> DataFram
     orphans, unused = F.col("orphan_ids"), F.col("employees_without_timesheets")
     found = F.concat(orphans.cast("string"), F.lit(" employee IDs ("), F.col("orphan_records").cast("string"), F.lit(" records) not found in employee table"))
     integrity = _layer(integrity_measures(stg_employee, stg_timesheet), "Silver - Referential Integrity", [
-        _check("stg_timesheet", "Orphan Timesheet Records", orphans, found, WARNING),
-        _check("stg_employee", "Employees Without Timesheets", F.lit(0), F.concat(unused.cast("string"), F.lit(" employees have no timesheet records")), INFO),
+        check_row("stg_timesheet", "Orphan Timesheet Records", orphans, found, WARNING),
+        check_row("stg_employee", "Employees Without Timesheets", F.lit(0), F.concat(unused.cast("string"), F.lit(" employees have no timesheet records")), INFO),
     ])
     return employee.unionByName(timesheet).unionByName(integrity)
 
@@ -230,6 +233,21 @@ def post_load_counts(**tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def post_load_report(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]) -> DataFrame:
+    """``(table_name, db_row_count, passed, message)`` after a load, one table after the other.
+
+    A table that can't be read fails its check, with the error as its message, and does not stop the others.
+    """
+    found = []
+    for name, read in tables.items():
+        try:
+            n = read().count()
+            found.append((name, n, n > 0, f"Rows in table: {n}"))
+        except (PySparkException, Py4JError) as error:
+            found.append((name, None, False, f"Table not readable: {str(error).splitlines()[0]}"))
+    return spark.createDataFrame(found, "table_name string, db_row_count long, passed boolean, message string")
+
+
 def table_counts(**tables: DataFrame) -> DataFrame:
     """Row counts side by side in one row."""
     long = post_load_counts(**tables)

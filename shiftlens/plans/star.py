@@ -30,6 +30,8 @@ from . import gold, silver
 SKIPPED = {"status": "skipped", "reason": "no staging data"}
 _RAW_OF = {t.STG_EMPLOYEE: "raw_employee", t.STG_TIMESHEET: "raw_timesheet"}
 _STAR = (t.DIM_DEPARTMENT, t.DIM_EMPLOYEE, t.DIM_DATE, t.FACT_TIMESHEET)
+#: Stored tables by their names.
+STAR = {name.rsplit("/", 1)[-1]: name for name in _STAR}
 
 
 @dataclass(frozen=True)
@@ -198,7 +200,7 @@ def _update_fact(warehouse: Warehouse, changes: Changes, rows: NewRows | None, r
 
 def counts(warehouse: Warehouse) -> dict[str, int]:
     """Rows of each table, from the footers of its files."""
-    return {name.rsplit("/", 1)[-1]: warehouse.read(name).count() for name in _STAR}
+    return {name: warehouse.read(table).count() for name, table in STAR.items()}
 
 
 def load_star(
@@ -242,4 +244,4 @@ def refresh_fact(warehouse: Warehouse, as_of: dt.date, limits: Limits = DEFAULT_
 
 
 def star_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {name.rsplit("/", 1)[-1]: warehouse.read(name) for name in _STAR}
+    return {name: warehouse.read(table) for name, table in STAR.items()}

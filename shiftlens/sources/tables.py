@@ -13,7 +13,7 @@ import datetime as dt
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import schemas
 from . import paths
@@ -129,20 +129,25 @@ class Warehouse:
             out = out.withColumn(BATCH_KEY, F.lit(batch_key))
         return out
 
-    def add(self, name: str, df: DataFrame, batch_key: str | None = None) -> None:
-        """Add the partitions of one load in a single commit; those of the same batch are replaced.
+    def add(self, name: str, df: DataFrame, batch_key: str | None = None) -> int:
+        """Add the partitions of one load in a single commit; those of the same batch are replaced. Gives the rows that readers see.
+
+        Rows are counted by the tasks that write them, rejected lines not.
 
         Staging tables need the key of the batch, unlike its short id never the same for two batches.
         """
         if BATCH_KEY in PARTITIONS[name] and not batch_key:
             raise ValueError(f"{name} is stored by batch: the key of the batch is missing")
+        rows, written = self._with_helpers(name, df, batch_key), Observation()
+        seen = F.count_if(~F.col(REJECTED)) if REJECTED in rows.columns else F.count(F.lit(1))
         (
-            self._with_helpers(name, df, batch_key)
+            rows.observe(written, seen.alias("n"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITIONS[name])
             .parquet(self.path(name))
         )
+        return written.get["n"]
 
     def replace(self, name: str, df: DataFrame, first_id: int = 1) -> None:
         """Write a new version. It may be computed from the current one, which stays until ``drop_old``."""

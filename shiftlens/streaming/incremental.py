@@ -14,7 +14,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import ntz
-from ..plans.silver import clean_timesheet, keep_known, stamp
+from ..plans.silver import clean_employee, clean_timesheet, keep_known, stamp
+from ..schemas import STG_EMPLOYEE
+from ..sources import paths
 from ..sources.files import source_name
 from ..sources.tables import BATCH_KEY
 
@@ -75,3 +77,20 @@ def stream_silver_timesheets(
 ) -> None:
     """Clean raw timesheets as they arrive and keep those of known employees."""
     run_available(raw, batch_writer(target, lambda b: keep_known(clean_timesheet(b), employees), processed_at), checkpoint)
+
+
+def stream_silver_employees(raw: DataFrame, target: str, checkpoint: str, processed_at: dt.datetime | str) -> None:
+    """Clean raw employees as they arrive."""
+    run_available(raw, batch_writer(target, clean_employee, processed_at), checkpoint)
+
+
+def stream_silver(
+    employees: DataFrame, timesheets: DataFrame, employee_target: str, timesheet_target: str, checkpoints: str, processed_at: dt.datetime | str
+) -> None:
+    """Both staging tables from their raw streams, on one trigger: timesheets wait until all employees that have arrived are staged."""
+    spark = employees.sparkSession
+    stream_silver_employees(employees, employee_target, f"{checkpoints}/employee", processed_at)
+    staged = spark.createDataFrame([], STG_EMPLOYEE)
+    if paths.exists(spark, employee_target):
+        staged = spark.read.schema(STG_EMPLOYEE).parquet(employee_target)
+    stream_silver_timesheets(timesheets, staged, timesheet_target, f"{checkpoints}/timesheet", processed_at)

@@ -15,12 +15,12 @@ from .functions.numbers import clean_numeric
 from .functions.text import categorize_columns, clean_string, recategorize_comment
 from .operators import checks, merge
 from .operators.joins import sized_join
-from .plans import gold, kpi, lookup, medallion, quality, silver
-from .schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS, STG_TIMESHEET
+from .plans import date_votes, gold, kpi, lookup, medallion, quality, silver, star
+from .schemas import RAW_EMPLOYEE_COLUMNS, RAW_TIMESHEET_COLUMNS, STG_EMPLOYEE as STG_EMPLOYEE_SCHEMA, STG_TIMESHEET
 from .sources import paths
 from .sources.files import discover, scan_delimited, write_delimited
-from .sources.tables import BATCH_KEY, RAW_EMPLOYEE, RAW_TIMESHEET, STG_EMPLOYEE, STG_TIMESHEET as STAGED_TIMESHEET, Warehouse
-from .streaming.incremental import stream_silver_timesheets
+from .sources.tables import BATCH_KEY, DIM_DEPARTMENT, FACT_TIMESHEET, RAW_EMPLOYEE, RAW_TIMESHEET, STG_EMPLOYEE, STG_TIMESHEET as STAGED_TIMESHEET, Warehouse
+from .streaming.incremental import stream_silver, stream_silver_timesheets
 
 AS_OF = dt.date(2025, 1, 1)
 LOADED_AT = "2025-01-01 00:00:00"
@@ -196,6 +196,29 @@ def _employee_with(x: Layers, name: str, value) -> DataFrame:
     return x.raw_employee.select(clean_string(F.col("client_employee_id"), "UNKNOWN").alias("employee_id"), value.alias(name))
 
 
+def _in_other_formats(x: Layers) -> DataFrame:
+    """The raw employees with the dates of their first two files in formats of their own."""
+    form = F.when(F.col("source_file") == "employee_0.csv", "MM/dd/yyyy").when(F.col("source_file") == "employee_1.csv", "yyyyMMdd")
+
+    def written(name: str) -> Column:
+        date = clean_date(F.col(name))
+        ways = [F.when(form == f, F.date_format(date, f)) for f in ("MM/dd/yyyy", "yyyyMMdd")]
+        return F.coalesce(*ways, F.col(name))
+
+    return x.raw_employee.withColumns({c: written(c) for c in ("hire_date", "term_date")})
+
+
+def clean_date_formats(x: Layers) -> DataFrame:
+    """Employees of files in different date formats, each found by a vote of its texts."""
+    raw = _in_other_formats(x)
+    voted = date_votes.iso_dates(raw, date_votes.tally(raw, ("hire_date", "term_date")))
+    return silver.clean_employee(voted).select("employee_id", "hire_date", "termination_date", "is_active", "source_file")
+
+
+def date_format_votes(x: Layers) -> DataFrame:
+    return date_votes.votes(date_votes.tally(_in_other_formats(x), ("hire_date", "term_date")))
+
+
 def query_is_active(x: Layers) -> DataFrame:
     return x.raw_employee.groupBy(is_active_flag(F.col("term_date")).alias("is_active")).agg(_n())
 
@@ -229,6 +252,22 @@ def stream_incremental_silver(x: Layers) -> DataFrame:
     return staged.drop("etl_batch_id", "processed_at", BATCH_KEY)
 
 
+def stream_incremental_employee(x: Layers) -> DataFrame:
+    """Employees and timesheets by file streams on one trigger: the staged employees, and how many timesheets found theirs."""
+    customer, events = (fixtures.table(x.spark, x.sf_dir, name) for name in ("customer", "events"))
+
+    def stream(name: str, like: DataFrame) -> DataFrame:
+        return x.spark.readStream.schema(like.schema).parquet(fixtures.path(x.sf_dir, name) + "*")
+
+    employees = fixtures.employees_from_customers(stream("customer", customer), fixtures.table(x.spark, x.sf_dir, "nation"))
+    timesheets = fixtures.timesheets_from_events(stream("events", events))
+    staged = scratch_path(x.spark, "stream-employee"), scratch_path(x.spark, "stream-timesheet")
+    stream_silver(employees, timesheets, *staged, scratch_path(x.spark, "stream-state"), LOADED_AT)
+    kept = x.spark.read.schema(STG_TIMESHEET).parquet(staged[1]).groupBy("employee_id").agg(F.count(F.lit(1)).alias("n_timesheets"))
+    rows = x.spark.read.schema(STG_EMPLOYEE_SCHEMA).parquet(staged[0]).drop("etl_batch_id", "processed_at", BATCH_KEY)
+    return sized_join(rows, kept, "employee_id", "left").na.fill(0, ["n_timesheets"])
+
+
 # Star schema
 
 
@@ -268,7 +307,35 @@ def medallion_run(x: Layers) -> DataFrame:
     warehouse = Warehouse(x.spark, scratch_path(x.spark, "warehouse"))
     for hour in (1, 2):
         results = medallion.run_medallion(warehouse, folder, dt.datetime(2025, 1, 1, hour), AS_OF)
-    return results["post_load_validation"]
+    return results["post_load_validation"].drop("message")
+
+
+def gate_stops(x: Layers) -> DataFrame:
+    """A run over timesheets of which some have no date: staging fails its check, the run stops, and no star schema is built."""
+    folder = scratch_path(x.spark, "gate")
+    undated = x.raw_timesheet.withColumn("punch_apply_date", F.when(F.col("hours_worked") == "abc", "never").otherwise(F.col("punch_apply_date")))
+    write_delimited(x.raw_employee.select(*RAW_EMPLOYEE_COLUMNS), folder, prefix="employee")
+    write_delimited(undated.select(*RAW_TIMESHEET_COLUMNS), folder, prefix="timesheet")
+    warehouse, stopped = Warehouse(x.spark, scratch_path(x.spark, "gated")), False
+    try:
+        medallion.run_medallion(warehouse, folder, dt.datetime(2025, 1, 1), AS_OF, skip_on_validation_fail=True)
+    except medallion.ValidationFailed:
+        stopped = True
+    report = quality.silver_report(warehouse.read(STG_EMPLOYEE), warehouse.read(STAGED_TIMESHEET))
+    facts = medallion.star_tables(warehouse)["fact_timesheet"].count()
+    failed = report.where(~F.col("passed") & (F.col("severity") == quality.ERROR)).select("layer", "check_name", "message")
+    return failed.withColumns({"stopped": F.lit(stopped), "fact_rows": F.lit(facts).cast("long")})
+
+
+def post_load_unreadable(x: Layers) -> DataFrame:
+    """The check after a load over a star schema of which one table holds no parquet: its row fails (-1 for no count), the others are counted."""
+    warehouse = Warehouse(x.spark, scratch_path(x.spark, "unreadable"))
+    for name, table in star.STAR.items():
+        if table == DIM_DEPARTMENT:
+            x.dim_department.select("department_name").write.text(f"{warehouse.path(table)}/version=00000001")
+        else:
+            warehouse.replace(table, x.star[name])
+    return medallion.post_load(warehouse).drop("message").na.fill(-1, ["db_row_count"])
 
 
 def kpi_avg_hours_exact(x: Layers) -> DataFrame:
@@ -312,6 +379,32 @@ def list_timesheets(x: Layers) -> tuple[DataFrame, DataFrame]:
     return rows.select("employee_key", "work_date", "punch_in", "hours_worked", "pay_code"), total
 
 
+def list_timesheets_deep(x: Layers) -> DataFrame:
+    """A page far into the whole fact, found by counts."""
+    rows, _ = lookup.list_timesheets(x.fact, number=130)
+    return rows.select("employee_key", "work_date", "punch_in", "hours_worked", "pay_code")
+
+
+def _stored_fact(x: Layers) -> DataFrame:
+    warehouse = Warehouse(x.spark, scratch_path(x.spark, "fact"))
+    warehouse.replace(FACT_TIMESHEET, x.fact)
+    return warehouse.read(FACT_TIMESHEET, with_helpers=True)
+
+
+def list_timesheets_stored(x: Layers) -> DataFrame:
+    """A page of the stored fact, of whose folders only the months of the filter are read."""
+    rows, _ = lookup.list_timesheets(_stored_fact(x).drop("id"), number=3, date_from=dt.date(2024, 1, 10), date_to=dt.date(2024, 2, 9))
+    return rows.select("employee_key", "work_date", "punch_in", "hours_worked", "pay_code")
+
+
+def get_timesheet(x: Layers) -> DataFrame:
+    """A stored timesheet by its id, here the first one of a listing, with its employee."""
+    fact = _stored_fact(x)
+    first = lookup.list_timesheets(fact, size=1, pay_code="click")[0].first()
+    row = lookup.get_timesheet(fact, x.dim_employee, first.id if first else -1)
+    return row.select("employee_key", "work_date", "punch_in", "hours_worked", "pay_code", "employee.employee_id", "employee.first_name")
+
+
 def employee_timesheets(x: Layers) -> DataFrame:
     rows = lookup.timesheets_of_id(x.fact, x.dim_employee, "5")
     return rows.select("employee_key", "work_date", "punch_in", "hours_worked")
@@ -378,10 +471,13 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "incremental_employees": incremental_employees,
     "incremental_timesheets": incremental_timesheets,
     "stream_incremental_silver": stream_incremental_silver,
+    "stream_incremental_employee": stream_incremental_employee,
     "clean_string": query_clean_string,
     "clean_numeric": query_clean_numeric,
     "clean_date": lambda x: _employee_with(x, "hire_date", clean_date(F.col("hire_date"))),
     "clean_date_sentinel": lambda x: _employee_with(x, "termination_date", clean_date_with_sentinel(F.col("term_date"))),
+    "clean_date_formats": clean_date_formats,
+    "date_format_votes": date_format_votes,
     "is_active_flag": query_is_active,
     "categorize_comment": query_categorize,
     "categorize_comment_pipe": query_categorize_pipe,
@@ -403,9 +499,11 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "insert_if_absent": insert_if_absent,
     "refresh_fact": refresh_fact,
     "medallion_run": medallion_run,
+    "gate_stops": gate_stops,
     "star_incremental": star_incremental,
     "gold_counts": lambda x: quality.table_counts(**x.star),
     "post_load_counts": lambda x: quality.post_load_counts(**x.star),
+    "post_load_unreadable": post_load_unreadable,
     "kpi_active_headcount": lambda x: kpi.active_headcount(x.dim_employee, x.dim_date),
     "kpi_turnover_trend": lambda x: kpi.turnover_trend(x.dim_employee),
     "kpi_avg_tenure": lambda x: kpi.avg_tenure(x.dim_employee, x.dim_department),
@@ -427,6 +525,9 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "get_employee": lambda x: lookup.get_employee(x.dim_employee, 5),
     "list_timesheets": lambda x: list_timesheets(x)[0],
     "list_timesheets_total": lambda x: list_timesheets(x)[1],
+    "list_timesheets_deep": list_timesheets_deep,
+    "list_timesheets_stored": list_timesheets_stored,
+    "get_timesheet": get_timesheet,
     "employee_timesheets": employee_timesheets,
     "employee_timesheets_by_key": employee_timesheets_by_key,
     "timesheet_with_employee": timesheet_with_employee,

@@ -115,7 +115,7 @@ def test_repeat_rows_in_chunks(spark):
 
 def test_deep_pages_equal_early_pages(spark):
     df = spark.createDataFrame([(i // 4, i % 2) for i in range(200)], "a int, b int")
-    order = [F.desc("a"), F.asc("b")]
+    order = [ordering.By("a", down=True), ordering.By("b")]
     for number in (1, 3, 20, 21):
         early = [tuple(r) for r in ordering.page(df, order, number, 10).collect()]
         deep = [tuple(r) for r in ordering.page(df, order, number, 10, Limits(deep_page_rows=0)).collect()]

@@ -11,7 +11,7 @@ from shiftlens.plans import kpi
 def test_pages_of_ties_hold_every_row_once(spark):
     df = spark.range(300).select(F.lit("same").alias("day"), F.col("id").cast("string").alias("pay_code")).repartition(7)
     limits = Limits(deep_page_rows=100)  # both ways of finding a page within one walk
-    seen = [r.pay_code for n in range(1, 16) for r in ordering.page(df, [F.desc("day")], n, 20, limits).collect()]
+    seen = [r.pay_code for n in range(1, 16) for r in ordering.page(df, [ordering.By("day", down=True)], n, 20, limits).collect()]
     assert len(seen) == 300 and len(set(seen)) == 300
 
 
@@ -32,3 +32,22 @@ def test_repeated_incoming_keys_stay_one(spark):
     new = spark.createDataFrame([(1, "x"), (1, "y"), (3, "p"), (3, "q")], "k long, v string")
     assert sorted(map(tuple, merge.upsert_by_key(old, new, ["k"]).collect())) == [(1, "y"), (2, "b"), (3, "q")]
     assert sorted(map(tuple, merge.insert_if_absent(old, new, ["k"]).collect())) == [(1, "a"), (2, "b"), (3, "q")]
+
+
+def test_deep_pages_are_found_by_counts(spark, tmp_path):
+    """All pages in order are the table: nulls, ties, copies, and a value that holds most rows."""
+    rows = [(None if i % 50 == 0 else 7 if i % 3 else i % 11, float(i % 5) if i % 7 else None, f"x{i % 40}") for i in range(400)]
+    spark.createDataFrame(rows, "a int, b double, c string").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    order = [ordering.By("a", down=True), ordering.By("b")]
+    limits = Limits(deep_page_rows=60, page_cuts=4)
+    walked = [tuple(r) for n in range(1, 10) for r in ordering.page(df, order, n, 50, limits).collect()]
+    assert walked == [tuple(r) for r in df.orderBy(F.desc("a"), F.asc("b"), F.asc("c")).collect()]
+
+
+def test_deep_pages_write_and_shuffle_no_rows(spark, tmp_path):
+    spark.range(5000).select(F.col("id"), (F.col("id") % 3).alias("k")).write.parquet(str(tmp_path / "t"))
+    found = ordering.page(spark.read.parquet(str(tmp_path / "t")), [ordering.By("id")], 50, 50, Limits(deep_page_rows=100))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in found.collect()] == list(range(2450, 2500))
+    assert "GreaterThan" in plan and plan.count("Scan parquet") <= 3
