@@ -7,7 +7,7 @@ bits: fingerprints within ``RADIUS`` bits must agree with one of them. Candidate
 their five-word shingles, weighted by how often each occurs: common weight over united weight, ``percent`` at least.
 
 Words are runs of letters and digits in lower case. Items without words match nothing, shorter ones than five words
-are one shingle. Null and empty texts hold nothing. Rows that share an id are searched as one document, rows without
+are one shingle and found where these words stand in a row, in texts of any length. Null and empty texts hold nothing. Rows that share an id are searched as one document, rows without
 an id are not reported; ``without_items`` searches each row by itself. Equal items are found under each of their ids.
 Other columns are not read.
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftlens.llm.text import ROW, shared_folder, shingle_hashes, stored, with_row_keys
+from shiftlens.llm.text import BOXED, ROW, shared_folder, shingle_hashes, stored, with_row_keys
 
 SHINGLE = 5
 BLOCKS, BLOCK_BITS = 8, 16
@@ -59,6 +59,12 @@ def _shingle_counts(frame: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys, "shingle").agg(F.count("*").alias("times"))
 
 
+def _short_runs(tokens: Column, n: int) -> Column:
+    """Hashes of all runs of ``n`` words, as ``shingle_hashes`` gives them for a text of so few words."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - n + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(tokens, i, F.lit(n))), F.lit(n)))
+
+
 def find_items(docs: DataFrame, items: DataFrame, percent: int = 80, key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
     """``(key, item_key, similarity, start, n_words, distance)``: each item's best window in each document that holds it."""
     shared_folder(docs.sparkSession)
@@ -68,6 +74,10 @@ def find_items(docs: DataFrame, items: DataFrame, percent: int = 80, key: str =
     anchors = known.select("item", "n", F.posexplode(shingle_hashes(F.col("w"), SHINGLE)).alias("at", "shingle"))
     anchors = stored(anchors.select("shingle", "n", "at").distinct())
     runs = named.select("doc", F.size("w").alias("doc_words"), F.posexplode(shingle_hashes(F.col("w"), SHINGLE)).alias("place", "shingle"))
+    # Items below five words are runs of their own length; there are four such lengths at most.
+    for row in known.where(F.col("n") < SHINGLE).select("n").distinct().collect():
+        whole = named.where(F.size("w") >= row.n)
+        runs = runs.union(whole.select("doc", F.size("w"), F.posexplode(_short_runs(F.col("w"), row.n))))
     latest = F.greatest(F.col("doc_words") - F.col("n"), F.lit(0))
     start = F.greatest(F.least(F.col("place") - F.col("at"), latest), F.lit(0))
     laid = stored(runs.join(_sized(anchors), "shingle").select("doc", "n", start.alias("start")).distinct())
@@ -111,5 +121,6 @@ def without_items(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
     """The rows that hold no item, with their columns as they were. Each row is searched by itself, whatever its id."""
     shared_folder(docs.sparkSession)
     rows = with_row_keys(docs)
-    found = find_items(rows, items, key=ROW, text=text).select(ROW).distinct()
-    return rows.join(found, ROW, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    texts = rows.select(ROW, F.col(BOXED)[text].alias(text))
+    found = find_items(texts, items, key=ROW, text=text).select(ROW).distinct()
+    return rows.join(found, ROW, "left_anti").select(f"{BOXED}.*")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlens.llm.components import component_roots
-from shiftlens.llm.text import ROW, lower_ascii, shared_folder, shingle_hashes, ship_code, stored, with_row_keys, words
+from shiftlens.llm.text import BOXED, ROW, lower_ascii, shared_folder, shingle_hashes, ship_code, stored, with_row_keys, words
 
 
 @dataclass(frozen=True)
@@ -287,7 +287,8 @@ def keep_one(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_id", te
     """
     shared_folder(docs.sparkSession)
     rows = with_row_keys(docs)
-    found = near_duplicates(rows, scheme, ROW, text).select(ROW, "component_id").join(rows.select(ROW, F.col(key).alias("id")), ROW)
+    texts = rows.select(ROW, F.col(BOXED)[text].alias("said"))
+    found = near_duplicates(texts, scheme, ROW, "said").select(ROW, "component_id").join(rows.select(ROW, F.col(BOXED)[key].alias("id")), ROW)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", ROW)).alias("first")
     stay = found.groupBy("component_id").agg(first).select(f"first.{ROW}")
-    return rows.join(stay, ROW, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return rows.join(stay, ROW, "left_semi").select(f"{BOXED}.*")

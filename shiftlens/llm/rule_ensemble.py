@@ -4,8 +4,8 @@ Every path from the root of a tree to one of its nodes is a conjunction of bound
 candidate rules, a logistic regression under the lasso gives most of them weight zero, and the others are compiled
 into one column expression, so that scoring is a projection.
 
-The forest and the lasso learn from at most ``sample_rows`` labelled rows (the first ones by a hash of the key), which
-bounds the fit whatever the corpus; all rows are scored. Only the text enters a score. Null and empty texts have
+The forest and the lasso learn from at most ``sample_rows`` labelled texts (the first ones by a hash of the key, one a
+key, the smallest where rows share it), which bounds the fit whatever the corpus; all rows are scored. Only the text enters a score. Null and empty texts have
 statistics of 0 and are scored by them. Rows are scored one by one. Null labels are left out; of several labels of one key the
 larger one counts. Without rows of both classes every score is the smoothed share of label 1.
 """
@@ -137,7 +137,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, fit: Fit
     shared_folder(docs.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out).groupBy(key).agg(F.max(label).cast("double").alias("label"))
     sample = stored(known.orderBy(F.xxhash64(key), key).limit(fit.sample_rows)).withColumnRenamed(key, "_sampled")
-    labelled = docs.join(F.broadcast(sample), docs[key] == F.col("_sampled")).select("_sampled", "label", F.col(text).alias("_said"))
+    # One text a key, the smallest: rows that share a key count once, so the bound holds for rows.
+    told = docs.select(F.col(key).alias("_told"), F.col(text).alias("_said"))
+    met = told.join(F.broadcast(sample), F.col("_told") == F.col("_sampled"))
+    labelled = met.groupBy("_sampled", "label").agg(F.min("_said").alias("_said"))
     boxed = labelled.select(F.struct("_sampled", "label").alias("_id"), "_said")
     stats, names = statistics(boxed, "_id", "_said")
     ensemble = learn(stats.select(F.col("_key._sampled").alias("_key"), F.col("_key.label").alias("label"), *names), names, fit)

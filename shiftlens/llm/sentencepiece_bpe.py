@@ -85,7 +85,10 @@ class Codec:
         texts = ["".join("\n" + chunk.replace(SPACE, " ") for chunk in part) for part in parts]
         ours = [start + b"".join(line + self.memory[chunk] for chunk in part) for part in parts]
         theirs = self.vocabulary.library.encode_as_numpy(texts, num_threads=1)
-        return all(np.array_equal(np.frombuffer(a, "<i4"), b) for a, b in zip(ours, theirs, strict=True))
+        agree = all(np.array_equal(np.frombuffer(a, "<i4"), b) for a, b in zip(ours, theirs, strict=True))
+        if not agree:
+            self.memory.clear()  # chunks made of wrong ones are wrong too; later batches check all of them again
+        return agree
 
     def encode(self, text: str) -> np.ndarray:
         chunks = map(self.memory.__getitem__, self.vocabulary.chunks(text))

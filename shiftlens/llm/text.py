@@ -71,10 +71,14 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-#: Names a row where ids are repeated or missing.
-ROW = "_row_key"
+#: Names a row where ids are repeated or missing, and holds the row itself.
+ROW, BOXED = "_row_key", "_row"
 
 
 def with_row_keys(docs: DataFrame) -> DataFrame:
-    """The rows with a unique ``ROW``, stored, so that a second reading numbers them alike."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    """Each row as a struct ``BOXED`` with a unique ``ROW``, stored, so that a second reading numbers them alike.
+
+    Boxed, no column of the caller clashes with the key.
+    """
+    box = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(BOXED)
+    return stored(docs.select(box, F.monotonically_increasing_id().alias(ROW)))
