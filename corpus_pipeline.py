@@ -37,10 +37,14 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``ids`` and ``n_tokens``, and ``round_trip``: whether decoding gives the text again."""
+    """The documents with ``ids`` and ``n_tokens``, and ``round_trip``: whether decoding gives the text again.
+
+    Columns of these names that the documents had are replaced.
+    """
     coded = sentencepiece_bpe.encode_and_decode(docs, piece_model(), keep_row=True)
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ("ids", "n_tokens", "round_trip")]
     return coded.select(
-        "row.*", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        *own, "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"),
     )
 
