@@ -7,8 +7,8 @@ their own keys first, so only what overflows moves.
 
 Overflow is settled on counts per node (``shards * nodes`` rows, whatever the input): overflowing keys and free
 rooms are both numbered clockwise, starting where no key passes, and the k-th key takes the k-th room. Keys are
-only ranked within their node's arc, which splits the input evenly, hot texts included, since the ring hashes
-the row's id.
+ranked along the ring by one global order of rows, which is cut into even ranges and numbered by the sizes of these,
+so rows that share an id, or have none, spread over tasks like all others.
 
 Null ids hash as empty text; equal ids share a place and are told apart by checksum and size, exact copies in any order.
 No rows give no rows. Other columns are not read.
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftlens.llm.text import stored
+from shiftlens.llm.text import shared_folder, stored
+from shiftlens.operators.ordering import POSITION, globally_ordered
 
 RING_BITS, CELL_BITS = 32, 20
 NODES_A_SHARD = 64
@@ -64,7 +65,7 @@ def _loads(nodes: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
         .withColumns({"arc": arc, "rows": F.sum("keys").over(Window.partitionBy())})
         .withColumns({"upto": F.sum("arc").over(along), "all": F.sum("arc").over(Window.partitionBy("shard"))})
         .withColumn("upto_room", upto_room)
-        .select("node", "shard", "keys", (F.col("upto_room") - F.coalesce(F.lag("upto_room").over(along), F.lit(0))).alias("room"))
+        .select("node", "shard", "keys", "node_first", (F.col("upto_room") - F.coalesce(F.lag("upto_room").over(along), F.lit(0))).alias("room"))
     )
 
 
@@ -74,6 +75,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     ``moved`` tells whether the key overflowed its own node. The law that holds is on counts: at most one apart.
     """
     spark = docs.sparkSession
+    shared_folder(spark)
     nodes = ring(spark, shards, nodes_a_shard)
     said = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
@@ -84,7 +86,12 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     stretches = F.broadcast(_places(nodes))  # one row a node and cell: about 2 ** 12 + nodes
     homed = rows.join(stretches, "cell").where("place > lo AND place <= hi").drop("cell", "lo", "hi")
 
-    counts = homed.groupBy("node").agg(F.count("*").alias("keys"))
+    # Dealt by the row's place in the input, so that copies of a row fall into several ranges.
+    dealt = homed.withColumn("deal", F.xxhash64(F.monotonically_increasing_id()))
+    along = ["node", "place", "_key", "text_crc32", "size", "deal"]
+    in_order = globally_ordered(dealt, [F.col(c) for c in along], "sharding").rows
+
+    counts = in_order.groupBy("node").agg(F.count("*").alias("keys"), F.min(POSITION).alias("node_first"))
     loads = stored(_loads(nodes, counts, shards))  # one row a node
 
     # Clockwise from the node after which the fewest keys pass on.
@@ -131,8 +138,8 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     )
     plan = F.broadcast(stay.withColumn("moved", F.lit(False)).union(leave.withColumn("moved", F.lit(True))))
 
-    in_node = Window.partitionBy("node").orderBy("place", "_key", "text_crc32", "size")
-    ranked = homed.withColumn("rank", (F.row_number().over(in_node) - 1).cast("long"))
+    firsts = F.broadcast(loads.select("node", "node_first"))
+    ranked = in_order.join(firsts, "node").withColumn("rank", F.col(POSITION) - F.col("node_first"))
     placed = ranked.join(plan, "node").where("rank >= first AND rank < after")
     return placed.select(
         F.col("_key").alias(key), "size", "text_crc32", "shard",

@@ -3,8 +3,10 @@
 import hashlib
 import math
 import random
+import re
 import sys
-from collections import Counter
+import zlib
+from collections import Counter, deque
 from pathlib import Path
 
 import numpy as np
@@ -219,6 +221,58 @@ def test_shards_are_even_and_gapless(spark, docs, rows):
     assert sharding.assign(empty(spark), 4).count() == 0
 
 
+def ring_by_force(rows, shards, nodes_a_shard):
+    """Shard of each row, and whether it left its node, by a walk along the ring."""
+    place = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
+    nodes = sorted((place(f"node/{i}"), i % shards) for i in range(shards * nodes_a_shard))
+    homes = [[] for _ in nodes]
+    for key, crc, size in rows:
+        at = place("" if key is None else str(key))
+        home = next((i for i, (hi, _) in enumerate(nodes) if at <= hi), 0)
+        homes[home].append((at, key is not None, key, crc, size))
+    arcs = [hi - nodes[i - 1][0] + (0 if i else 1 << 32) for i, (hi, _) in enumerate(nodes)]
+    room = [0] * len(nodes)
+    for s in range(shards):
+        mine = [i for i, (_, shard) in enumerate(nodes) if shard == s]
+        share, upto, given = len(rows) // shards + (s < len(rows) % shards), 0, 0
+        for i in mine:
+            upto += arcs[i]
+            room[i] = share * upto // sum(arcs[j] for j in mine) - given
+            given += room[i]
+    for start in range(len(nodes)):
+        placed, passing = [], deque()
+        for i in (*range(start, len(nodes)), *range(start)):
+            own = sorted(homes[i], key=lambda r: (r[:2], r[2] or 0, r[3:]))
+            placed += [(r[2:], nodes[i][1], False) for r in own[: room[i]]]
+            passing.extend(own[room[i] :])
+            free = room[i] - len(own)
+            while free > 0 and passing:
+                placed.append((passing.popleft()[2:], nodes[i][1], True))
+                free -= 1
+        if not passing:
+            return placed
+    raise AssertionError("no start")
+
+
+def test_ring_equals_a_walk_along_it(spark):
+    rng = random.Random(12)
+    found = [(i if i % 3 else None, "copy" if i % 2 else prose(rng, 5)) for i in range(900)] + [(i, "again") for i in range(40)]
+    table = spark.createDataFrame(found, "doc_id long, text string").repartition(7)
+    for shards, nodes_a_shard in ((1, 1), (5, 8), (24, 3)):
+        got = sharding.assign(table, shards, nodes_a_shard=nodes_a_shard).collect()
+        rows = [(i, zlib.crc32(t.encode()), len(t.encode()) + 8) for i, t in found]
+        want = ring_by_force(rows, shards, nodes_a_shard)
+        assert Counter(((r.doc_id, r.text_crc32, r.size), r.shard, r.moved) for r in got) == Counter(want)
+
+
+def test_rows_without_id_are_ordered_by_many_tasks(spark):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN id END AS doc_id", "'same' AS text")
+    plan = sharding.assign(rows, 24)._jdf.queryExecution().toString()
+    assert not re.search(r"Window.*place", plan)
+    parts = sharding.assign(rows, 24).groupBy("shard").count().collect()
+    assert len(parts) == 24 and {p["count"] for p in parts} <= {833, 834}
+
+
 def test_events_fold_and_read_back(spark):
     events = [
         (1, 0, 0, "user", "delta", "hi "), (1, 1, 0, None, "delta", "the&amp;<s>[re]"), (1, 2, 1, "assistant", "delta", "wrong"),
