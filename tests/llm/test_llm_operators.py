@@ -212,6 +212,21 @@ def test_counts_equal_unigram_tokenizer(model):
         assert own.count(text) == len(ids)
 
 
+def test_token_counts_of_rows(spark, docs, model):
+    own = token_counts.Counter(model)
+    want = Counter((r.doc_id, own.count(r.text or "")) for r in docs.collect())
+    got = token_counts.count_tokens(docs.withColumn("n_tokens", F.lit("theirs")), queries.piece_model())
+    assert got.columns == ["doc_id", "n_tokens"] and Counter(map(tuple, got.collect())) == want
+
+
+def test_tokens_and_scores_of_nothing(spark):
+    assert token_counts.count_tokens(empty(spark), queries.piece_model()).count() == 0
+    assert sentencepiece_bpe.encode_and_decode(empty(spark), queries.piece_model()).count() == 0
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    scored, _ = rule_ensemble.score_quality(empty(spark), labels, F.lit(False))
+    assert scored.count() == 0
+
+
 def test_shards_are_even_and_gapless(spark, docs, rows):
     for shards in (1, 3, 24):
         got = sharding.assign(docs, shards).collect()
