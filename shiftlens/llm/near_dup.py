@@ -7,10 +7,15 @@ such texts must share a pair among the first ``coordinates - matches + 1`` (the
 longest lists, are skipped. Texts that share a list are compared on whole signatures and, where enough
 coordinates collide, on their whole shingle sets, so that no false link remains.
 
-First each text is held against the smallest text of its lists, which joins most of a large group of near copies at
-one row a posting. Only texts of a list that are still in different components are compared further: those outside the
-list's largest component with all others, block against block in tasks of their own, and a pair only in the first
-list that it shares. No link between different components is left out, and components need no other.
+First each text is held against the leader of its lists, the text whose pairs are the most common ones, which joins
+most of a large group of near copies at one row a posting. Only texts of a list that are still in different components
+are compared further: those outside the list's largest component with all others, block against block in tasks of
+their own, and a pair only in the first list that it shares. No link between different components is left out, and
+components need no other.
+
+Where a list has more than a block of texts outside its largest component, its texts are posted anew under shingles: those that
+the list's leader lacks come first, and two sets that agree by the threshold must share one of the first few. So texts
+that are alike but not near copies part without being compared pair by pair.
 
 With the defaults a pair at exactly 80 % is missed with a probability of about 1e-6.
 
@@ -26,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlens.llm.components import component_roots
@@ -99,33 +104,83 @@ def shingled(docs: DataFrame, scheme: Scheme, key: str, text: str) -> DataFrame:
 
 
 def postings(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """``(node, coordinate, value)`` of each node's prefix, for values that at least two nodes have."""
+    """``(node, coordinate, value, weight)`` of each node's prefix, for values that at least two nodes have.
+
+    ``weight`` sums over the node's values how many nodes have them: the largest of a group is in its middle.
+    """
     tokens = nodes.select("node", F.posexplode("signature").alias("coordinate", "value"))
     shared = tokens.groupBy("coordinate", "value").agg(F.count("*").alias("df")).where("df > 1")
     rarest_first = Window.partitionBy("node").orderBy("df", "coordinate", "value")
     ranked = tokens.join(shared, ["coordinate", "value"]).withColumns(
-        {"rank": F.row_number().over(rarest_first), "common": F.count("*").over(Window.partitionBy("node"))}
+        {
+            "rank": F.row_number().over(rarest_first), "common": F.count("*").over(Window.partitionBy("node")),
+            "weight": F.sum("df").over(Window.partitionBy("node")),
+        }
     )
     # Values of one node only come first and fill the prefix without being posted.
-    return ranked.where(f"rank <= {scheme.prefix} - ({scheme.coordinates} - common)").select("node", "coordinate", "value")
+    return ranked.where(f"rank <= {scheme.prefix} - ({scheme.coordinates} - common)").select("node", "coordinate", "value", "weight")
+
+
+def _leader() -> Column:
+    return F.max_by("node", F.struct("weight", -F.col("node"))).alias("leader")
 
 
-def leader_links(posted: DataFrame, signed: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """Confirmed links ``(a, b)`` of nodes to the smallest of the leaders of their lists that their signatures agree with."""
-    leaders = posted.groupBy("coordinate", "value").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
+def leader_links(posted: DataFrame, signed: DataFrame, sets: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links ``(a, b)`` of nodes to that leader of their lists that their signatures agree with most.
+
+    Also the ``hashes`` of these nodes and of those in lists of more than a block.
+    """
+    leaders = posted.groupBy("coordinate", "value").agg(_leader(), F.count("*").alias("n")).where("n > 1")
     pairs = posted.join(leaders, ["coordinate", "value"]).where("node <> leader").select("node", "leader").distinct()
     own = signed.select("node", "n_shingles", "signature")
     other = own.select(F.col("node").alias("leader"), F.col("n_shingles").alias("n_other"), F.col("signature").alias("other"))
     equal = F.size(F.filter(F.zip_with("signature", "other", lambda x, y: x == y), lambda same: same))
     sizes = 100 * F.least("n_shingles", "n_other") >= scheme.percent * F.greatest("n_shingles", "n_other")
-    alike = pairs.join(own, "node").join(other, "leader").where((equal >= scheme.matches) & sizes)
-    chosen = stored(alike.groupBy("node").agg(F.min("leader").alias("leader")))
-    ends = chosen.select("node").union(chosen.select("leader")).distinct()
-    hashes = stored(sets.select(F.col("id").alias("node"), "hashes").join(ends, "node"))
-    both = chosen.join(hashes, "node").join(hashes.select(F.col("node").alias("leader"), F.col("hashes").alias("others")), "leader")
+    alike = pairs.join(own, "node").join(other, "leader").withColumn("equal", equal).where((F.col("equal") >= scheme.matches) & sizes)
+    chosen = stored(alike.groupBy("node").agg(F.max_by("leader", F.struct("equal", -F.col("leader"))).alias("leader")))
+    long = posted.join(leaders.where(F.col("n") > scheme.block), ["coordinate", "value"]).select("node")
+    ends = chosen.select("node").union(chosen.select("leader")).union(long).distinct()
+    hashes = stored(sets.select(F.col("id").alias("node"), "text_key", "hashes").join(ends, "node"))
+    both = chosen.join(hashes.drop("text_key"), "node").join(hashes.select(F.col("node").alias("leader"), F.col("hashes").alias("others")), "leader")
     common = F.size(F.array_intersect("hashes", "others"))
     near = 100 * common >= scheme.percent * (F.size("hashes") + F.size("others") - common)
-    return both.where(near).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    return both.where(near).select(F.col("node").alias("a"), F.col("leader").alias("b")), hashes
+
+
+def _sizes(posted: DataFrame) -> DataFrame:
+    """Lists with several components: ``size`` and ``largest``, the size and name of the largest component."""
+    members = posted.groupBy("coordinate", "value", "component").agg(F.count("*").alias("n"))
+    return members.groupBy("coordinate", "value").agg(
+        F.count("*").alias("components"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("largest")
+    ).where("components > 1").drop("components")
+
+
+#: The coordinate of lists of shingles.
+SHINGLE = -1
+
+
+def with_shingle_lists(grouped: DataFrame, hashes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Postings ``(node, coordinate, value, component)``, where lists with more than a block outside the largest component give way to lists of shingles.
+
+    Of the ``n`` shingles of a set, one that agrees by the threshold with a set of ``least`` or more has ``overlap`` at
+    least, so in any one order of all shingles both share one of their first ``n - overlap + 1``. The order of a list
+    is its leader's: shingles that it lacks, then its own.
+    """
+    columns, place = ["node", "coordinate", "value", "component"], ["coordinate", "value"]
+    long = stored(_sizes(grouped).where(F.col("size") - F.col("largest.n") > scheme.block).select(*place))
+    inside = grouped.join(long, place)
+    led = inside.join(inside.groupBy(*place).agg(_leader()), place).select("node", "component", "leader").distinct()
+    members = stored(led.join(hashes, "node").select("node", "component", "leader", "text_key", "hashes"))
+    groups = members.groupBy("leader").agg(F.min(F.size("hashes")).alias("least"))
+    heads = members.where("node = leader").groupBy("leader").agg(F.min_by("hashes", "text_key").alias("common")).join(groups, "leader")
+    n = F.size("hashes")
+    least = F.greatest("least", F.ceil(scheme.percent * n / 100))
+    overlap = F.ceil(scheme.percent * (n + least) / (100 + scheme.percent))
+    ordered = F.concat(F.array_sort(F.array_except("hashes", "common")), F.array_sort(F.array_intersect("hashes", "common")))
+    first = F.slice(ordered, F.lit(1), (n - overlap + 1).cast("int"))
+    shingles = members.join(heads, "leader").select("node", "component", "leader", F.explode(first).alias("shingle"))
+    lists = shingles.select("node", F.lit(SHINGLE).alias("coordinate"), F.xxhash64("leader", "shingle").alias("value"), "component").distinct()
+    return grouped.join(long, place, "left_anti").select(*columns).union(lists)
 
 
 def lists_to_compare(posted: DataFrame, scheme: Scheme) -> DataFrame:
@@ -134,12 +189,8 @@ def lists_to_compare(posted: DataFrame, scheme: Scheme) -> DataFrame:
     Lists within one ``component`` are left out. The largest component of a list has blocks of its own, which meet the
     blocks of all others but not each other.
     """
-    members = posted.groupBy("coordinate", "value", "component").agg(F.count("*").alias("n"))
-    lists = members.groupBy("coordinate", "value").agg(
-        F.count("*").alias("components"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("largest")
-    ).where("components > 1")
     blocks = lambda n: F.ceil(n / scheme.block).cast("int")
-    lists = lists.select(
+    lists = _sizes(posted).select(
         "coordinate", "value", F.col("largest.component").alias("largest"), blocks(F.col("size") - F.col("largest.n")).alias("others"), blocks(F.col("largest.n")).alias("own")
     )
     rows = posted.join(lists, ["coordinate", "value"]).withColumn("inside", F.col("component") == F.col("largest"))
@@ -172,7 +223,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _collisions(group: pa.Table, scheme: Scheme) -> np.ndarray:
-    """Which members of different components have enough equal coordinates, for pairs whose first common posting is this list."""
+    """Which members of different components have enough equal coordinates, for pairs whose first common posting is this list, in lists of shingles for all."""
     n = group.num_rows
     values = group.column("signature").combine_chunks().flatten().to_numpy().reshape(n, -1)
     posted = (group.column("posted").to_numpy()[:, None] >> np.arange(scheme.coordinates)) & 1 == 1
@@ -180,7 +231,7 @@ def _collisions(group: pa.Table, scheme: Scheme) -> np.ndarray:
     here, close = group.column("coordinate")[0].as_py(), np.zeros((n, n), bool)
     for i in range(n - 1):
         same = values[i + 1 :] == values[i]
-        first = (same & posted[i + 1 :] & posted[i]).argmax(axis=1)
+        first = here if here == SHINGLE else (same & posted[i + 1 :] & posted[i]).argmax(axis=1)
         least, most = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
         close[i, i + 1 :] = (same.sum(axis=1) >= scheme.matches) & (first == here) & (components[i + 1 :] != components[i]) & (100 * least >= scheme.percent * most)
     return close
@@ -238,12 +289,12 @@ def _links(scheme: Scheme):
 def links_of(nodes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
     """Confirmed links ``(a, b)`` between nodes, only as many as connect them."""
     posted = stored(postings(nodes, scheme))
-    led = stored(leader_links(posted, nodes, sets, scheme))
-    roots = stored(component_roots(led))
-    grouped = posted.join(roots, "node", "left").select("node", "coordinate", "value", F.coalesce("root", "node").alias("component"))
+    led, hashes = leader_links(posted, nodes, sets, scheme)
+    roots = stored(component_roots(stored(led)))
+    grouped = stored(posted.join(roots, "node", "left").select("node", "coordinate", "value", "weight", F.coalesce("root", "node").alias("component")))
     masks = posted.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, coordinate)) AS posted"))
     signed = nodes.join(masks, "node")
-    rows = lists_to_compare(stored(grouped), scheme).join(signed, "node")
+    rows = lists_to_compare(stored(with_shingle_lists(grouped, hashes, scheme)), scheme).join(signed, "node")
     columns = "node long, n_shingles long, signature array<bigint>, posted long, component long, coordinate int, value long, pair long"
     names = [c.split()[0] for c in columns.split(", ")]
 

@@ -76,3 +76,25 @@ def test_a_group_of_thousands_is_one_component(spark):
     got = near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), near_dup.Scheme(shingle_words=2))
     kept = {r.doc_id for r in got.where(F.col("kept")).collect()}
     assert kept == {0, *range(10_000, 10_020)}
+
+
+def rows_of_a_group(spark, monkeypatch, texts, scheme):
+    """How many rows are compared, and the documents that are kept."""
+    counted, compare = [], near_dup.lists_to_compare
+    monkeypatch.setattr(near_dup, "lists_to_compare", lambda *a: counted.append(rows := compare(*a)) or rows)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], SCHEMA)
+    kept = {r.doc_id for r in near_dup.near_duplicates(docs, scheme).where("kept").collect()}
+    monkeypatch.undo()
+    return counted[0].count(), kept
+
+
+def test_rows_of_texts_alike_but_not_near_grow_with_their_number(spark, monkeypatch):
+    rng = random.Random(5)
+    text = words(rng, 120)
+    # Three words of each are its own, so 105 of 120 runs of words are shared: alike in many coordinates, 78 % at most.
+    alike = [[f"own{n}" if i in (20, 60, 100) else w for i, w in enumerate(text)] for n in range(1000)]
+    few, kept = rows_of_a_group(spark, monkeypatch, alike[:500], near_dup.Scheme(block=64))
+    assert kept == set(range(500))
+    many, kept = rows_of_a_group(spark, monkeypatch, alike, near_dup.Scheme(block=64))
+    assert kept == set(range(1000))
+    assert many <= 2.5 * few + 1000  # 68,573 and 241,896 rows while such lists were compared block by block
