@@ -139,7 +139,7 @@ def leader_links(posted: DataFrame, signed: DataFrame, sets: DataFrame, scheme:
     alike = pairs.join(own, "node").join(other, "leader").withColumn("equal", equal).where((F.col("equal") >= scheme.matches) & sizes)
     chosen = stored(alike.groupBy("node").agg(F.max_by("leader", F.struct("equal", -F.col("leader"))).alias("leader")))
     long = posted.join(leaders.where(F.col("n") > scheme.block), ["coordinate", "value"]).select("node")
-    ends = chosen.select("node").union(chosen.select("leader")).union(long).distinct()
+    ends = stored(chosen.select("node").union(chosen.select("leader")).union(long).distinct())  # of known size, so sets need no shuffle to meet a small one
     hashes = stored(sets.select(F.col("id").alias("node"), "text_key", "hashes").join(ends, "node"))
     both = chosen.join(hashes.drop("text_key"), "node").join(hashes.select(F.col("node").alias("leader"), F.col("hashes").alias("others")), "leader")
     common = F.size(F.array_intersect("hashes", "others"))
@@ -169,7 +169,7 @@ def with_shingle_lists(grouped: DataFrame, hashes: DataFrame, scheme: Scheme) ->
     columns, place = ["node", "coordinate", "value", "component"], ["coordinate", "value"]
     long = stored(_sizes(grouped).where(F.col("size") - F.col("largest.n") > scheme.block).select(*place))
     inside = grouped.join(long, place)
-    led = inside.join(inside.groupBy(*place).agg(_leader()), place).select("node", "component", "leader").distinct()
+    led = stored(inside.join(inside.groupBy(*place).agg(_leader()), place).select("node", "component", "leader").distinct())
     members = stored(led.join(hashes, "node").select("node", "component", "leader", "text_key", "hashes"))
     groups = members.groupBy("leader").agg(F.min(F.size("hashes")).alias("least"))
     heads = members.where("node = leader").groupBy("leader").agg(F.min_by("hashes", "text_key").alias("common")).join(groups, "leader")
