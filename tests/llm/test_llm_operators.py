@@ -360,6 +360,23 @@ def test_language_model_keeps_rare_contexts_in_a_large_corpus(spark, shape):
         assert math.isclose(got[i], want, rel_tol=1e-9)
 
 
+def test_language_model_stores_a_few_bytes_a_token(spark, monkeypatch):
+    rng, sizes = random.Random(12), []
+    words = [f"w{i}" for i in range(5000)]
+    texts = [(i, " ".join(rng.choices(words, [1 / (k + 1) for k in range(len(words))], k=400))) for i in range(500)]
+    stored = suffix_tree_lm.stored
+
+    def measured(frame):
+        out = stored(frame)
+        sizes.append(sum(Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(suffix_tree_lm, "stored", measured)
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    tokens = sum(r.n_tokens for r in suffix_tree_lm.score_texts(table, F.col("doc_id") % 5 == 1).collect())
+    assert tokens == 500 * 401 and sum(sizes) < 20 * tokens
+
+
 def test_quality_classifier_held_out(spark):
     rng = random.Random(3)
     good = [(i, " ".join(rng.choice(["the", "of", "and", prose(rng, 1)]) for _ in range(rng.randrange(20, 80))), 1) for i in range(120)]
